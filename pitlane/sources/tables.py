@@ -38,19 +38,39 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Write df below path, replacing just the partitions that df holds.
+def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows gathered by partition value, for writing.
 
-    The rebalance hint lets the runtime planner split a partition that is too large for one task
-    and merge small ones, so a hot season is written by many tasks and a cold one by few.
+    The rebalance hint lets the runtime planner split a value that is too large for one task and
+    merge small ones, so a hot season is written by many tasks and a cold one by few.
     """
+    return df.hint("rebalance", *[F.col(c) for c in by]) if by else df
+
+
+def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write df below path, replacing just the partitions that df holds."""
     (
-        df.hint("rebalance", *[F.col(c) for c in by]).write
-        .option("partitionOverwriteMode", "dynamic")
+        _balanced(df, by).write.option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by).mode("overwrite").parquet(path)
     )
 
 
+def write_table(df: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Write df as a whole to path and read it back."""
+    _balanced(df, by).write.partitionBy(*by).mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def publish(spark: SparkSession, name: str, df: DataFrame, path: str, by: list[str]) -> None:
+    """Point a catalog table at the files that df was read from."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    partitions = f"PARTITIONED BY ({', '.join(by)})" if by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitions} LOCATION '{path}'")
+    if by:
+        spark.catalog.recoverPartitions(name)
+
+
 def replace_table(df: DataFrame | None, name: str) -> int | None:
     """Replace a catalog table and report its rows, counted by the write itself.
 
