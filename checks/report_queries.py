@@ -128,7 +128,7 @@ ORDER = """
 
 
 def _order(league):
-    ranked = views.teams_latest(league.mart_team_race, league.races)
+    ranked = views.standings(league.mart_team_race, league.races)
     return chips.team_order(league.mart_team_chips, ranked)
 
 

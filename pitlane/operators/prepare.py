@@ -6,14 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.operators.joins import left_join_unique
+from pitlane.operators.joins import join_one_to_one
 from pitlane.operators.ranking import latest_per_key
 
 
-class UnmatchedRows(ValueError):
-    """A left join that has to match every row did not."""
-
-
 def columns_first(df: DataFrame, front: list[str]) -> DataFrame:
     return df.select(*front, *[c for c in df.columns if c not in front])
 
@@ -49,22 +45,19 @@ def not_landed(expected: DataFrame, landed: DataFrame, keys: list[str]) -> DataF
     return expected.join(landed.select(*keys), keys, "left_anti")
 
 
-def _enrich(rows, details, key, columns, sentinel, what, check):
+def _enrich(rows, details, key, columns, sentinel, what):
     """Left join of details one to one; earlier enrichment columns are replaced."""
-    plain = rows.drop(*columns)
-    details = details.select(*key, *columns)
-    if not check:
-        return plain.join(details, key, "left")
-    enriched = left_join_unique(plain, details, key, what=what)
-    if not enriched.filter(F.col(sentinel).isNull()).isEmpty():
-        raise UnmatchedRows(f"{what}: rows without details")
-    return enriched
+    enriched = join_one_to_one(
+        rows.drop(*columns), details.select(*key, *columns), key, what, sentinel
+    )
+    kept = [c for c in rows.columns if c not in columns]
+    return enriched.select(*kept, *columns)
 
 
 LINEUP_ADDED = ["is_captain", "is_mg_captain", "player_position", "is_final"]
 
 
-def enrich_roster(roster: DataFrame, lineups: DataFrame, check: bool = True) -> DataFrame:
+def enrich_roster(roster: DataFrame, lineups: DataFrame) -> DataFrame:
     """Add captain flags, slot and swap status to roster rows of all races at once.
 
     The asset id is text in both feeds and is joined as text.
@@ -72,17 +65,17 @@ def enrich_roster(roster: DataFrame, lineups: DataFrame, check: bool = True) ->
     as_text = F.col("asset_id").cast("string")
     return _enrich(
         roster.withColumn("asset_id", as_text), lineups.withColumn("asset_id", as_text),
-        V.KEYS["team_race_asset"], LINEUP_ADDED, "is_captain", "roster details", check,
+        V.KEYS["team_race_asset"], LINEUP_ADDED, "is_captain", "roster details",
     )
 
 
 FINANCE_ADDED = list(V.FINANCE_COLUMNS.values())
 
 
-def enrich_team_race(team_race: DataFrame, finance: DataFrame, check: bool = True) -> DataFrame:
+def enrich_team_race(team_race: DataFrame, finance: DataFrame) -> DataFrame:
     """Add money and transfers to team rows of all races at once."""
     return _enrich(team_race, finance, V.TEAM_RACE_KEY, FINANCE_ADDED, "remaining_budget",
-                   "team details", check)
+                   "team details")
 
 
 def unmatched(rows: DataFrame, details: DataFrame, key: list[str]) -> DataFrame:

@@ -3,37 +3,37 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.operators.joins import SALTS, attach_small
+from pitlane.operators.joins import attach_small, null_safe_join
 from pitlane.sources.tables import stage
 
-_TALLY, _SALT = "__tally", "__salt"
+_TALLY = "__tally"
 
 
-def competition_rank(df: DataFrame, group: list[str], score: str, out: str) -> DataFrame:
-    """RANK() OVER (PARTITION BY group ORDER BY score DESC NULLS LAST), skew-safe.
+def competition_ranks(df: DataFrame, group: list[str], scores: dict[str, str]) -> DataFrame:
+    """RANK() OVER (PARTITION BY group ORDER BY score DESC NULLS LAST) for {score: out}, skew-safe.
 
     A window would put a whole league into one task. Instead equal scores are tallied (the tally is
     a partial aggregate), the running count goes over the distinct scores of a group only, and the
-    places are joined back. A score that a third of the league shares is spread over salts; the
-    runtime planner turns the join into a broadcast when the places turn out small.
+    places are joined back. The places are staged, so their number is known: few enough, and the
+    rows stay where they are; else the join spreads each score over salts.
     """
-    tallies = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias(_TALLY))
-    ahead = (
-        Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    places = tallies.select(
-        *[F.col(c).alias(f"__{c}") for c in [*group, score]],
-        (F.coalesce(F.sum(_TALLY).over(ahead), F.lit(0)) + 1).cast("bigint").alias(out),
-    )
-    # A second step: a generator beside a window would multiply the rows the window sees.
-    salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    copies = places.withColumn(_SALT, F.explode(salt))
-    salted = df.withColumn("__row_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    same = F.col("__row_salt") == F.col(_SALT)
-    for c in [*group, score]:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return salted.join(copies, same, "inner").select(*df.columns, out)
+    ranked = df
+    for score, out in scores.items():
+        tallies = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias(_TALLY))
+        ahead = (
+            Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        places = tallies.select(
+            *group, score,
+            (F.coalesce(F.sum(_TALLY).over(ahead), F.lit(0)) + 1).cast("bigint").alias(out),
+        )
+        ranked = attach_small(ranked, stage(places, "places"), [*group, score], null_safe=True)
+    return ranked
+
+
+def competition_rank(df: DataFrame, group: list[str], score: str, out: str) -> DataFrame:
+    return competition_ranks(df, group, {score: out})
 
 
 def latest_per_key(df: DataFrame, key: list[str], by: str) -> DataFrame:
@@ -65,8 +65,9 @@ def sequential_position(df: DataFrame, group: list[str], order: list, out: str)
         *group, "__part",
         (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
+    # No key of this join has more rows than one sorted partition, so it needs no salt.
     return (
-        attach_small(written.withColumn("__part", part), offsets, [*group, "__part"])
+        null_safe_join(written.withColumn("__part", part), offsets, [*group, "__part"], "inner")
         .withColumn(out, (F.col(place) + F.col("__shift")).cast("bigint"))
         .select(*df.columns, out)
     )

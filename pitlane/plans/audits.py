@@ -38,8 +38,9 @@ def valuation_backtest(
         F.col("value").alias("price_next"),
     )
     priced = attach_small(
-        attach_small(roster.select(*V.TEAM_RACE_KEY, "asset_id"), here, PRICE_KEY, "left"),
-        after, PRICE_KEY, "left",
+        attach_small(roster.select(*V.TEAM_RACE_KEY, "asset_id"), here, PRICE_KEY, "left",
+                     proof=asset_race),
+        after, PRICE_KEY, "left", proof=asset_race,
     )
     values = priced.groupBy(*V.TEAM_RACE_KEY).agg(
         _rows().alias("assets"), F.count("price_n").alias("found_n"),
@@ -83,7 +84,7 @@ def chip_race_valuations(
 ) -> DataFrame:
     """Recorded money of each team in the races where it used a chip."""
     names = chips.select("chip_id", F.col("display_name").alias("chip"))
-    uses = attach_small(_uses(usage, "chip_id"), names, ["chip_id"])
+    uses = attach_small(_uses(usage, "chip_id"), names, ["chip_id"], proof=chips)
     return team_race.join(uses, V.TEAM_RACE_KEY).select(
         *V.TEAM_RACE_KEY, "team_name", "chip", "recorded_asset_value", "remaining_budget",
         "recorded_total_budget",
@@ -106,7 +107,7 @@ def chip_roster_values(
 
     sums = (
         attach_small(roster.select(*V.TEAM_RACE_KEY, "asset_id", "is_final"),
-                     asset_race.select(*PRICE_KEY, "value"), PRICE_KEY)
+                     asset_race.select(*PRICE_KEY, "value"), PRICE_KEY, proof=asset_race)
         .groupBy(*V.TEAM_RACE_KEY).agg(
             F.round(F.sum(price), 1).alias("all_asset_value"),
             without(V.INCOMING).alias("original_roster_value"),
@@ -114,7 +115,7 @@ def chip_roster_values(
         )
     )
     names = chips.select("chip_id", F.col("display_name").alias("chip"))
-    uses = attach_small(_uses(usage, "chip_id"), names, ["chip_id"]).drop("chip_id")
+    uses = attach_small(_uses(usage, "chip_id"), names, ["chip_id"], proof=chips).drop("chip_id")
     recorded = team_race.select(*V.TEAM_RACE_KEY, "team_name", "recorded_asset_value")
     return uses.join(recorded, V.TEAM_RACE_KEY).join(sums, V.TEAM_RACE_KEY).select(
         *V.TEAM_RACE_KEY, "team_name", "chip", "recorded_asset_value", "all_asset_value",
@@ -212,7 +213,7 @@ def lineup_detail(roster: DataFrame, asset_race: DataFrame, **team: object) -> D
     for column, value in team.items():
         chosen = chosen.filter(F.col(column) == value)
     named = asset_race.select(*PRICE_KEY, "display_name", "asset_type")
-    return attach_small(chosen, named, PRICE_KEY).select(
+    return attach_small(chosen, named, PRICE_KEY, proof=asset_race).select(
         *V.TEAM_RACE_KEY, "asset_id", "display_name", "asset_type", "is_final",
         "player_position", "is_captain", "is_mg_captain",
     ).orderBy(*V.TEAM_RACE_KEY, "player_position", "is_final")
@@ -245,7 +246,7 @@ def boosted_constructors(roster: DataFrame, asset_race: DataFrame) -> DataFrame:
     """Roster rows that boost something other than a driver."""
     boosted = roster.filter("is_captain = 1 OR is_mg_captain = 1")
     others = asset_race.filter(F.col("asset_type") != "DRIVER").select(*PRICE_KEY)
-    return attach_small(boosted, others, PRICE_KEY, "left_semi").select(*roster.columns)
+    return attach_small(boosted, others, PRICE_KEY, "left_semi", proof=asset_race).select(*roster.columns)
 
 
 # --- money ------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.operators.joins import left_join_unique
+from pitlane.operators.joins import join_one_to_one
 from pitlane.operators.ranking import sequential_position
 
 TEAM = [*V.TEAM_KEY, "team_name"]
@@ -22,7 +22,7 @@ def team_order(chips: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
         )
     ranks = ranked.select(*V.TEAM_KEY, "league_rank")
     return sequential_position(
-        left_join_unique(teams, ranks, V.TEAM_KEY, one_to_one=False, what="league ranks"),
+        join_one_to_one(teams, ranks, V.TEAM_KEY, "league ranks"),
         ["season"],
         [F.asc_nulls_last("league_rank"), "team_name", "user_guid", "team_no"], "display_order",
     )

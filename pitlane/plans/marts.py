@@ -87,7 +87,7 @@ def team_assets_latest(
         "latest_value_change", "overall_points", "gameday_points", "points_race_number",
         "price_feed_race_number",
     )
-    return attach_small(with_team, figures, ["season", "asset_id"], "left").select(
+    return attach_small(with_team, figures, ["season", "asset_id"], "left", proof=assets).select(
         "season", F.col("race_number").alias("team_snapshot_race_number"), "user_guid",
         F.when(F.col("__stands"), F.col("team_no")).alias("team_no"), "team_name", "asset_id",
         "asset_type", "display_name", "current_value", "latest_value_change", "overall_points",
@@ -108,7 +108,7 @@ def roster_values(
     """
     priced = attach_small(
         roster.filter(F.col("is_final") != V.INCOMING).select(*V.TEAM_RACE_KEY, "asset_id"),
-        asset_race.select(*ASSET_KEY, "value"), ASSET_KEY, "left",
+        asset_race.select(*ASSET_KEY, "value"), ASSET_KEY, "left", proof=asset_race,
     )
     complete = (F.count(F.lit(1)) == size) & (F.count("value") == size)
     values = priced.groupBy(*V.TEAM_RACE_KEY).agg(
@@ -146,7 +146,7 @@ def team_metrics(team_race: DataFrame, values: DataFrame, races: DataFrame) -> D
     asset_value = F.coalesce(recorded, calculated)
     wealth = F.coalesce("recorded_total_budget", asset_value + F.col("remaining_budget"))
     rows = (
-        attach_small(team_race, races.select(*V.RACE_KEY, "race_name"), V.RACE_KEY)
+        attach_small(team_race, races.select(*V.RACE_KEY, "race_name"), V.RACE_KEY, proof=races)
         .join(values, V.TEAM_RACE_KEY, "left")
         .select(
             "season", "race_number", "race_name", "user_guid", "team_no", "team_name",
@@ -226,7 +226,7 @@ def team_chips(
     uses = attach_small(
         usage.select(*V.TEAM_KEY, "chip_id", "race_used")
         .join(scores, [*V.TEAM_KEY, "race_used"], "left"),
-        places, ["season", "race_used"], "left",
+        places, ["season", "race_used"], "left", proof=races,
     )
     status = (
         F.when(F.col("race_used").isNull(), "unused")

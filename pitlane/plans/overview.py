@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pitlane import fixed_values as V
 from pitlane.functions.columns import movement_label
 from pitlane.operators.joins import attach_small
-from pitlane.operators.ranking import competition_rank
+from pitlane.operators.ranking import competition_rank, competition_ranks
 from pitlane.plans.views import latest_race_rows
 
 
@@ -37,9 +37,9 @@ def rank_movement(mart: DataFrame, races: DataFrame) -> DataFrame:
         mart.select(*V.TEAM_RACE_KEY, "team_name", "cumulative_points", "race_points"),
         last_two_races(mart), V.RACE_KEY, proof=races,
     )
-    ranked = competition_rank(
-        competition_rank(rows, V.RACE_KEY, "cumulative_points", "league_rank"),
-        V.RACE_KEY, "race_points", "league_race_rank",
+    ranked = competition_ranks(
+        rows, V.RACE_KEY,
+        {"cumulative_points": "league_rank", "race_points": "league_race_rank"},
     )
 
     def at(recency, column):

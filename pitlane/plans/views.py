@@ -79,7 +79,7 @@ def teams_by_race(
     rows = _kept(mart, _equals("season", season), _equals("race_number", race_number),
                  _contains("team_name", team_name))
     days = races.select(*V.RACE_KEY, "race_date", "sprint_weekend")
-    return attach_small(rows, days, V.RACE_KEY, "left").select(
+    return attach_small(rows, days, V.RACE_KEY, "left", proof=races).select(
         "season", "race_number", "race_name", "race_date", "sprint_weekend", "user_guid",
         "team_no", "team_name", "race_points", "race_rank", "cumulative_points",
         "league_average_race_points", "league_average_cumulative_points", "asset_value",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitlane import schemas
 from pitlane.functions import columns as C
 from pitlane.operators import prepare
-from pitlane.operators.joins import CardinalityError
+from pitlane.operators.joins import CardinalityError, require_unique
 from pitlane.plans import job
 from pitlane.sources import csv_tables, documents, tables
 from pitlane.streaming import landing
@@ -238,12 +238,23 @@ def test_feed_timestamp_raises_on_another_format(spark):
 def test_guard_raises_on_duplicate_and_unmatched_details(spark, raw):
     details = documents.finance_records(details_of(spark, raw), 2026)
     teams = details.select("season", "race_number", "user_guid", "team_no")
+    assert prepare.enrich_team_race(teams, details).count() == 6
+    with pytest.raises(Exception, match="team details: duplicate keys"):
+        prepare.enrich_team_race(teams, details.union(details)).count()
+    with pytest.raises(Exception, match="team details: duplicate keys"):
+        prepare.enrich_team_race(teams.union(teams), details).count()
+    with pytest.raises(Exception, match="team details: rows without details"):
+        prepare.enrich_team_race(teams, details.filter("user_guid != 'cat'")).count()
+    # Details of a team that is not in the standings are left out, as in any left join.
+    some = teams.filter("user_guid != 'cat'")
+    assert prepare.enrich_team_race(some, details).count() == 4
+
+
+def test_require_unique(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k INT")
     with pytest.raises(CardinalityError):
-        prepare.enrich_team_race(teams, details.union(details))
-    with pytest.raises(CardinalityError):
-        prepare.enrich_team_race(teams.union(teams), details)
-    with pytest.raises(prepare.UnmatchedRows):
-        prepare.enrich_team_race(teams, details.filter("user_guid != 'cat'"))
+        require_unique(df, ["k"], "chip usage")
+    assert require_unique(df.distinct(), ["k"], "chip usage").count() == 2
 
 
 def test_enrichment_idempotent(spark, raw):
