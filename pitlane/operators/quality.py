@@ -16,6 +16,24 @@ class DataQualityError(ValueError):
 Tables = dict[str, DataFrame]
 
 
+# A rule is (check, related column, aggregate that counts the rows concerned).
+Rules = dict[str, list[tuple[str, str | None, Column]]]
+
+
+def _counted(tables: Tables, rules: Rules) -> DataFrame:
+    """(check, source, related, n) for every rule: one aggregate and one scan per table."""
+    def found(name, table_rules):
+        counts = tables[name].agg(*[
+            rule.alias(f"n{i}") for i, (_, _, rule) in enumerate(table_rules)
+        ])
+        return counts.select(F.inline(F.array(*[
+            F.struct(*_named(check, name, related, F.col(f"n{i}")))
+            for i, (check, related, _) in enumerate(table_rules)
+        ])))
+
+    return stack([found(name, table_rules) for name, table_rules in rules.items()])
+
+
 def _named(check: str, source: str, related: str | None, n: Column) -> list[Column]:
     return [
         F.lit(check).alias("check"), F.lit(source).alias("source"),
@@ -23,6 +41,29 @@ def _named(check: str, source: str, related: str | None, n: Column) -> list[Colu
     ]
 
 
+def _row_rules(tables: Tables) -> Rules:
+    return {name: [("rows", None, F.count(F.lit(1)))] for name in tables}
+
+
+def _key_rules(tables: Tables) -> Rules:
+    return {name: [("null key", None, F.count_if(any_null(V.KEYS[name])))] for name in tables}
+
+
+def _null_rules(check: str, columns: dict[str, list[str]]) -> Rules:
+    return {
+        name: [(check, c, F.count_if(F.col(c).isNull())) for c in names]
+        for name, names in columns.items()
+    }
+
+
+def _merged(*parts: Rules) -> Rules:
+    merged: Rules = {}
+    for part in parts:
+        for name, rules in part.items():
+            merged[name] = merged.get(name, []) + rules
+    return merged
+
+
 def missing_tables(spark: SparkSession, names: list[str]) -> list[str]:
     return [name for name in names if not spark.catalog.tableExists(name)]
 
@@ -39,19 +80,22 @@ def missing_columns(tables: Tables) -> dict[str, list[str]]:
 
 
 def row_counts(tables: Tables) -> DataFrame:
-    return stack([
-        df.agg(F.count(F.lit(1)).alias("n")).select(*_named("rows", name, None, F.col("n")))
-        for name, df in tables.items()
-    ])
+    return _counted(tables, _row_rules(tables))
 
 
 def null_keys(tables: Tables) -> DataFrame:
     """Rows of each table with a null in a key column."""
-    return stack([
-        df.agg(F.count_if(any_null(V.KEYS[name])).alias("n"))
-        .select(*_named("null key", name, None, F.col("n")))
-        for name, df in tables.items()
-    ])
+    return _counted(tables, _key_rules(tables))
+
+
+def null_measures(tables: Tables) -> DataFrame:
+    """Nulls of each required measure."""
+    return _counted(tables, _null_rules("null measure", V.REQUIRED))
+
+
+def optional_gaps(tables: Tables) -> DataFrame:
+    """Nulls of measures that may be absent; reported, never fatal."""
+    return _counted(tables, _null_rules("optional gap", V.OPTIONAL))
 
 
 def duplicate_keys(tables: Tables) -> DataFrame:
@@ -64,26 +108,6 @@ def duplicate_keys(tables: Tables) -> DataFrame:
     ])
 
 
-def _nulls_by_column(check: str, tables: Tables, columns: dict[str, list[str]]) -> DataFrame:
-    return stack([
-        tables[name]
-        .agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-        .unpivot([], names, "related", "n")
-        .select(F.lit(check).alias("check"), F.lit(name).alias("source"), "related", "n")
-        for name, names in columns.items()
-    ])
-
-
-def null_measures(tables: Tables) -> DataFrame:
-    """Nulls of each required measure: one aggregate per table, however many columns."""
-    return _nulls_by_column("null measure", tables, V.REQUIRED)
-
-
-def optional_gaps(tables: Tables) -> DataFrame:
-    """Nulls of measures that may be absent; reported, never fatal."""
-    return _nulls_by_column("optional gap", tables, V.OPTIONAL)
-
-
 def unreferenced(source: DataFrame, related: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Distinct source keys without a partner, with their row counts.
 
@@ -130,15 +154,21 @@ def unmatched_chip_rows(usage: DataFrame, team_race: DataFrame) -> DataFrame:
 
 
 def violations(tables: Tables) -> DataFrame:
-    """Every fatal rule with the number of rows that break it, zero rows left out."""
-    empty = row_counts(tables).filter(
-        (F.col("n") == 0) & ~F.col("source").isin(V.MAY_BE_EMPTY)
-    ).select(F.lit("empty table").alias("check"), "source", "related", F.lit(1).alias("n"))
-    broken = stack([
-        null_keys(tables), duplicate_keys(tables), null_measures(tables), referential(tables),
-        historical_usage(tables),
-    ]).filter("n > 0")
-    return stack([empty, broken])
+    """Every fatal rule with the number of rows that break it, zero rows left out.
+
+    All rules on single rows are counted in one scan per table; only keys and references shuffle.
+    """
+    counted = _counted(tables, _merged(
+        _row_rules(tables), _key_rules(tables), _null_rules("null measure", V.REQUIRED)
+    ))
+    is_rows = F.col("check") == "rows"
+    empty = is_rows & (F.col("n") == 0) & ~F.col("source").isin(V.MAY_BE_EMPTY)
+    return stack([
+        counted.filter(empty | (~is_rows & (F.col("n") > 0)))
+        .withColumn("check", F.when(is_rows, "empty table").otherwise(F.col("check"))),
+        duplicate_keys(tables).filter("n > 0"), referential(tables).filter("n > 0"),
+        historical_usage(tables).filter("n > 0"),
+    ])
 
 
 def raise_on_violation(tables: Tables) -> DataFrame:
