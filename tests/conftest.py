@@ -15,6 +15,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g")
+        # Tiny data, many plans: the time goes into compiling, so compile less, and split less.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
