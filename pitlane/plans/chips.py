@@ -41,34 +41,44 @@ def chip_label() -> Column:
 
 
 def chip_matrix(chips: DataFrame, order: DataFrame, chip_ids: list[int]) -> DataFrame:
-    """One row per team, one column per chip. A chip that occurs twice in a team raises."""
-    label = F.when(
-        F.count("chip_label") > 1, F.raise_error(F.lit("duplicate chip rows for a team"))
-    ).otherwise(F.first("chip_label"))
-    cells = (
-        chips.withColumn("chip_label", chip_label())
-        .groupBy(*TEAM, "last_observed_race").pivot("chip_id", chip_ids).agg(label)
-        .withColumnsRenamed({str(chip): f"chip_{chip}" for chip in chip_ids})
-    )
+    """One row per team, one column per chip. A chip that occurs twice in a team raises.
+
+    The labels of a team, six at most, are gathered once and the columns are read out of the list.
+    """
+    label = F.struct("chip_id", chip_label().alias("label"))
+    teams = chips.groupBy(*TEAM, "last_observed_race").agg(F.collect_list(label).alias("cells"))
+    twice = F.raise_error(F.lit("duplicate chip rows for a team")).cast("string")
+
+    def cell(chip):
+        found = F.filter("cells", lambda c: c.chip_id == chip)
+        return F.when(F.size(found) > 1, twice).otherwise(F.get(found, F.lit(0))["label"]).alias(
+            f"chip_{chip}")
+
     numbered = order.select(*V.TEAM_KEY, "display_order")
-    return cells.join(numbered, V.TEAM_KEY, "left").select(
+    return teams.select(*TEAM, "last_observed_race", *[cell(chip) for chip in chip_ids]).join(
+        numbered, V.TEAM_KEY, "left"
+    ).select(
         *TEAM, "last_observed_race", *[f"chip_{chip}" for chip in chip_ids], "display_order"
     ).orderBy("season", "display_order")
 
 
-def _used_at(race: int) -> Column:
-    return F.expr(
-        f"coalesce(listagg(chip_short_name, '{V.CHIP_SEPARATOR}') WITHIN GROUP (ORDER BY chip_id)"
-        f" FILTER (WHERE chip_status = 'used' AND race_used = {int(race)}), '')"
-    ).alias(f"r{race}")
-
-
 def chip_timing_matrix(chips: DataFrame, race_numbers: list[int]) -> DataFrame:
     """One row per team, one column per race, holding the chips used there in chip order.
 
-    Every team has its six rows in the mart, so one aggregate by team gives blank rows as well.
+    Every team has its six rows in the mart, so one aggregate by team gives blank rows as well; the
+    list it gathers holds those six at most. The race columns are then read out of the list.
     """
-    return chips.groupBy(*TEAM).agg(*[_used_at(race) for race in race_numbers])
+    use = F.struct("chip_id", "race_used", "chip_short_name")
+    teams = chips.groupBy(*TEAM).agg(
+        F.sort_array(F.collect_list(F.when(F.col("chip_status") == "used", use))).alias("uses")
+    )
+
+    def used_at(race):
+        there = F.filter("uses", lambda u: u.race_used == race)
+        names = F.transform(there, lambda u: u.chip_short_name)
+        return F.array_join(names, V.CHIP_SEPARATOR).alias(f"r{race}")
+
+    return teams.select(*TEAM, *[used_at(race) for race in race_numbers])
 
 
 def latest_observed_race(chips: DataFrame) -> DataFrame:
