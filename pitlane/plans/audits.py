@@ -246,7 +246,8 @@ def boosted_constructors(roster: DataFrame, asset_race: DataFrame) -> DataFrame:
     """Roster rows that boost something other than a driver."""
     boosted = roster.filter("is_captain = 1 OR is_mg_captain = 1")
     others = asset_race.filter(F.col("asset_type") != "DRIVER").select(*PRICE_KEY)
-    return attach_small(boosted, others, PRICE_KEY, "left_semi", proof=asset_race).select(*roster.columns)
+    found = attach_small(boosted, others, PRICE_KEY, "left_semi", proof=asset_race)
+    return found.select(*roster.columns)
 
 
 # --- money ------------------------------------------------------------------------------------

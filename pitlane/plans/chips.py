@@ -10,12 +10,17 @@ from pitlane.operators.ranking import sequential_position
 TEAM = [*V.TEAM_KEY, "team_name"]
 
 
+def _name() -> Column:
+    """A team's name, the same in all of its rows, kept out of the shuffle key."""
+    return F.max("team_name").alias("team_name")
+
+
 def team_order(chips: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
     """Teams numbered 0, 1, ... within their season.
 
     By championship rank, absent teams last, where `ranked` holds league_rank; else by name.
     """
-    teams = chips.select(*TEAM).distinct()
+    teams = chips.groupBy(*V.TEAM_KEY).agg(_name())
     if ranked is None:
         return sequential_position(
             teams, ["season"], ["team_name", "user_guid", "team_no"], "display_order"
@@ -46,7 +51,10 @@ def chip_matrix(chips: DataFrame, order: DataFrame, chip_ids: list[int]) -> Data
     The labels of a team, six at most, are gathered once and the columns are read out of the list.
     """
     label = F.struct("chip_id", chip_label().alias("label"))
-    teams = chips.groupBy(*TEAM, "last_observed_race").agg(F.collect_list(label).alias("cells"))
+    teams = chips.groupBy(*V.TEAM_KEY).agg(
+        _name(), F.max("last_observed_race").alias("last_observed_race"),
+        F.collect_list(label).alias("cells"),
+    )
     twice = F.raise_error(F.lit("duplicate chip rows for a team")).cast("string")
 
     def cell(chip):
@@ -69,9 +77,8 @@ def chip_timing_matrix(chips: DataFrame, race_numbers: list[int]) -> DataFrame:
     list it gathers holds those six at most. The race columns are then read out of the list.
     """
     use = F.struct("chip_id", "race_used", "chip_short_name")
-    teams = chips.groupBy(*TEAM).agg(
-        F.sort_array(F.collect_list(F.when(F.col("chip_status") == "used", use))).alias("uses")
-    )
+    used = F.collect_list(F.when(F.col("chip_status") == "used", use))
+    teams = chips.groupBy(*V.TEAM_KEY).agg(_name(), F.sort_array(used).alias("uses"))
 
     def used_at(race):
         there = F.filter("uses", lambda u: u.race_used == race)

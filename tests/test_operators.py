@@ -33,7 +33,8 @@ def skewed_records(n=600):
         if key % 3 == 0:
             records.append((key, 1, 50.0))
         else:
-            records.append((key, pick.choice([1, 2, 3, None]), pick.choice([None, *map(float, range(40))])))
+            score = pick.choice([None, *map(float, range(40))])
+            records.append((key, pick.choice([1, 2, 3, None]), score))
     return records
 
 
