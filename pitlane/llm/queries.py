@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlane.llm.bpe import token_digests
 from pitlane.llm.common import documents, find_on_executors
+from pitlane.llm.exact_dedup import exact_duplicates
+from pitlane.llm.packing import pack
 from pitlane.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +65,23 @@ def op1_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded again, as digests."""
     return token_digests(documents(spark, folder))
+
+
+@registered("""
+    WITH normal AS (
+      SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text
+      FROM documents)
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id,
+      count(*) OVER (PARTITION BY text) AS group_size,
+      row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS LAST) = 1 AS kept,
+      sha256(text) AS text_sha256
+    FROM normal""")
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the group of equal texts that they are in."""
+    return exact_duplicates(documents(spark, folder))
+
+
+@registered()
+def op8_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack(documents(spark, folder))
