@@ -9,6 +9,7 @@ from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.packing import pack
 from pitlane.llm.sharding import shard_documents
+from pitlane.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +86,20 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack(documents(spark, folder))
+
+
+@registered("""
+    WITH sized AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest
+      FROM pages),
+    ranked AS (
+      SELECT *, first_value(page_id) OVER same AS original, row_number() OVER same AS place
+      FROM sized WINDOW same AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST))
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN payload_bytes < 100 OR place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN payload_bytes >= 100 AND place > 1 THEN original END AS refers_to
+    FROM ranked""")
+def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to an archive, equal payloads once, and read back."""
+    return archive_pages(spark.read.parquet(f"{folder}/pages.parquet"))
