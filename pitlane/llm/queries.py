@@ -9,6 +9,7 @@ from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.packing import pack
 from pitlane.llm.sharding import shard_documents
+from pitlane.llm.simhash import near_duplicate_components
 from pitlane.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,9 @@ def op8_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to an archive, equal payloads once, and read back."""
     return archive_pages(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@registered()
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their fingerprint and component."""
+    return near_duplicate_components(documents(spark, folder))
