@@ -21,13 +21,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pitlane.llm.common import map_texts
+from pitlane.llm.common import REMEMBERED, Remembered, map_texts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Most pieces, chunks and pairs of tokens of which a Python worker remembers the result, twice.
-REMEMBERED = 300_000
-#: Chunks of more characters are not remembered.
-LONG_CHUNK = 64
 #: Tokens that are decoded at once.
 BLOCK = 1 << 16
 
@@ -115,8 +111,8 @@ class Encoder:
         self.id_bytes = [int(i).to_bytes(4, "little") for i in v.ids]
         self.shorter: dict[int, int] = {}
         self.fitting: dict[tuple[int, int], bool] = {}
-        self.pieces = _Remembered(self.piece)
-        self.chunks = _Remembered(self.after_space)
+        self.pieces = Remembered(self.piece)
+        self.chunks = Remembered(self.after_space)
         self.added = v.added and re.compile("|".join(
             re.escape(a) for a in sorted(v.added, key=len, reverse=True)))
 
@@ -222,26 +218,6 @@ class Encoder:
         return np.frombuffer(self.encode_bytes(text), "<u4").astype(np.int64)
 
 
-class _Remembered(dict):
-    """Results for texts met before: those of the current and of the last generation."""
-
-    def __init__(self, work):
-        super().__init__()
-        self.work, self.older = work, {}
-
-    def __missing__(self, text: str) -> bytes:
-        if len(text) > LONG_CHUNK:
-            return self.work(text)
-        ids = self.older.get(text)
-        if ids is None:
-            ids = self.work(text)
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[text] = ids
-        return ids
-
-
 _encoders: dict[str, Encoder] = {}
 
 

@@ -11,7 +11,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pitlane.sources.tables import stage
 
-__all__ = ["delete", "documents", "find_on_executors", "map_texts", "plain_text", "stage"]
+__all__ = ["REMEMBERED", "Remembered", "delete", "documents", "find_on_executors", "map_texts",
+           "plain_text", "stage"]
+
+#: Most words or pieces of text of which a Python worker remembers the result, twice.
+REMEMBERED = 300_000
+#: Longer ones are not remembered.
+LONGEST_REMEMBERED = 64
 
 def find_on_executors(spark: SparkSession) -> None:
     """Let executors that have this package in the same place find it.
@@ -64,3 +70,23 @@ def map_texts(
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return docs.mapInArrow(run, schema)
+
+
+class Remembered(dict):
+    """Results for short texts met before: those of the current and of the last generation."""
+
+    def __init__(self, work: Callable[[str], object]):
+        super().__init__()
+        self.work, self.older = work, {}
+
+    def __missing__(self, text: str):
+        if len(text) > LONGEST_REMEMBERED:
+            return self.work(text)
+        found = self.older.get(text)
+        if found is None:
+            found = self.work(text)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[text] = found
+        return found

@@ -8,6 +8,7 @@ from pitlane.llm.bpe import token_digests
 from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.packing import pack
+from pitlane.llm.quality import quality_scores
 from pitlane.llm.sharding import shard_documents
 from pitlane.llm.simhash import near_duplicate_components
 from pitlane.llm.warc import archive_pages
@@ -110,3 +111,10 @@ def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with their fingerprint and component."""
     return near_duplicate_components(documents(spark, folder))
+
+
+@registered()
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored for quality."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality_scores(documents(spark, folder), labels)
