@@ -11,6 +11,7 @@ from pitlane.llm.packing import pack
 from pitlane.llm.quality import quality_scores
 from pitlane.llm.sharding import shard_documents
 from pitlane.llm.simhash import near_duplicate_components
+from pitlane.llm.toxicity import toxicity_scores
 from pitlane.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +119,10 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored for quality."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return quality_scores(documents(spark, folder), labels)
+
+
+@registered()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored for toxicity."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity_scores(documents(spark, folder), labels)
