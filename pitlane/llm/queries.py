@@ -9,6 +9,7 @@ from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.packing import pack
 from pitlane.llm.quality import quality_scores
+from pitlane.llm.secret_scan import scan
 from pitlane.llm.sharding import shard_documents
 from pitlane.llm.simhash import near_duplicate_components
 from pitlane.llm.toxicity import toxicity_scores
@@ -126,3 +127,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored for toxicity."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return toxicity_scores(documents(spark, folder), labels)
+
+
+@registered()
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the secrets in them."""
+    return scan(documents(spark, folder))
