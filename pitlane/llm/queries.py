@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlane.llm.bpe import token_digests
 from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
+from pitlane.llm.mtree import top_products
 from pitlane.llm.packing import pack
 from pitlane.llm.quality import quality_scores
 from pitlane.llm.secret_scan import scan
@@ -133,3 +134,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the secrets in them."""
     return scan(documents(spark, folder))
+
+
+@registered("""
+    WITH numbered AS (SELECT row_number() OVER () AS n, vec_id, embedding FROM embeddings
+      WHERE embedding IS NOT NULL),
+    sound AS (
+      SELECT n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM numbered
+      WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+    scored AS (
+      SELECT q.n, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score,
+        row_number() OVER (PARTITION BY q.n
+          ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id NULLS LAST, c.n) AS rank
+      FROM sound q JOIN sound c ON q.n <> c.n WHERE q.vec_id % 50 = 0)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM scored WHERE rank <= 5""")
+def op5_mtree_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector."""
+    return top_products(spark.read.parquet(f"{folder}/embeddings.parquet"))
