@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from pitlane.llm.bpe import token_digests
 from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
@@ -152,3 +153,9 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op5_mtree_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector."""
     return top_products(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@registered(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
