@@ -33,6 +33,8 @@ TREE, LEAF, FAN, BLOCK = 8192, 256, 32, 4096
 PIVOTS = 1024
 #: Bounds are this much wider than computed, far more than rounding can do.
 SLACK = 1e-6
+#: The score of no entry.
+NONE = -(1 << 63)
 
 _PAGE = ("cell int, tree int, page int, parent int, leaf boolean, router binary, radius double, "
          "to_parent double, rows binary, ids array<bigint>, vectors binary, to_router binary")
@@ -53,7 +55,7 @@ class Space:
     """Components of the longest vector, shorter ones being filled up with zeros, and M."""
 
     size: int
-    largest: int
+    largest: float
     exact: bool  # whether products are exact as doubles
 
     def matrix(self, vectors) -> np.ndarray:
@@ -68,7 +70,7 @@ class Space:
         return np.column_stack([matrix, np.sqrt(np.maximum(self.largest - norms, 0))]).astype(float)
 
     def products(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a.astype(float) @ b.T.astype(float) if self.exact else a @ b.T
+        return (a.astype(float) @ b.T.astype(float)).astype(np.int64) if self.exact else a @ b.T
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,6 +125,13 @@ def build(vectors: DataFrame, space: Space) -> DataFrame:
     return vectors.groupBy("cell", "tree").applyInPandas(one, _PAGE)
 
 
+def _reach(norms: np.ndarray, floor: np.ndarray, space: Space) -> np.ndarray:
+    """How far away a vector can be and still have a score of at least `floor`."""
+    whole = norms + space.largest
+    reach = np.sqrt(np.maximum(whole - 2 * floor.astype(float), 0)) + SLACK * (1 + np.sqrt(whole))
+    return np.where(floor == NONE, np.inf, reach)
+
+
 class _Best:
     """The best entries of each query of a block so far, and how far away others may be."""
 
@@ -130,21 +139,19 @@ class _Best:
         self.norms = (queries.astype(float) ** 2).sum(axis=1)
         self.space, self.most = space, most
         self.found: list[list[tuple]] = [[] for _ in queries]
-        self.floor = worst.astype(float)  # scores below can't be among the best
+        self.floor = worst.copy()  # scores below can't be among the best
         self.reach = self._reach()
 
     def _reach(self) -> np.ndarray:
-        squared = np.maximum(self.norms + self.space.largest - 2 * self.floor, 0)
-        return np.where(np.isneginf(self.floor), np.inf, np.sqrt(squared) + SLACK * (
-            1 + np.sqrt(self.norms + self.space.largest)))
+        return _reach(self.norms, self.floor, self.space)
 
     def add(self, at: np.ndarray, scores: np.ndarray, ids: list, rows: np.ndarray) -> None:
-        """Scores of the queries `at` (rows) and entries (columns); -inf is no entry."""
+        """Scores of the queries `at` (rows) and entries (columns)."""
         floor = self.floor[at]
         if scores.shape[1] > self.most:
             kth = np.partition(scores, -self.most, axis=1)[:, -self.most]
             floor = np.maximum(floor, kth)
-        good = (scores >= floor[:, None]) & ~np.isneginf(scores)
+        good = (scores >= floor[:, None]) & (scores != NONE)
         for i in np.flatnonzero(good.any(axis=1)):
             entries = [(-int(scores[i, j]), ids[j] is None, ids[j] or 0, int(rows[j]))
                        for j in np.flatnonzero(good[i])]
@@ -162,7 +169,7 @@ def search(
     """For each query its best entries in one tree: (-score, no id, id, row), the best first.
 
     `own` are the queries' rows, which don't count for them, `worst` scores below which nothing is
-    wanted (-inf: none). A page comes up once, in the order of the least bound of all queries, for
+    wanted. A page comes up once, in the order of the least bound of all queries, for
     those queries that it may still have something for.
     """
     best = _Best(queries, space, most, worst)
@@ -198,8 +205,8 @@ def search(
             some = wanted.any(axis=0)
             if not some.any():
                 continue
-            scores = space.products(queries[at], entries[some]).astype(float)
-            scores[own[at][:, None] == rows[some][None]] = -np.inf
+            scores = space.products(queries[at], entries[some])
+            scores[own[at][:, None] == rows[some][None]] = NONE
             ids = list(itertools.compress(tree["ids"].iloc[i], some))
             ids = [None if x is None or x != x else int(x) for x in ids]
             best.add(at, scores, ids, rows[some])
@@ -217,7 +224,7 @@ def _search_trees(
 ) -> DataFrame:
     """query, query_id, score, no_id, vec_id and row: the best of each tree for its queries.
 
-    `queries` has row, vec_id, vector, floor (a score or null), block, cell and tree.
+    `queries` has row, vec_id, vector, floor (a score), block, cell and tree.
     """
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     schema = "query long, query_id long, score long, no_id boolean, vec_id long, row long"
@@ -225,7 +232,7 @@ def _search_trees(
     def one(asked: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(tree):
-            worst = asked["floor"].astype(float).fillna(-np.inf).to_numpy()
+            worst = asked["floor"].to_numpy(np.int64)
             rows, ids = asked["row"].to_numpy(np.int64), asked["vec_id"].to_numpy(np.int64)
             found = search(space.matrix(asked["vector"]), rows, worst, tree, space, most)
             out = [(row, name, -s, no, None if no else i, r) for row, name, best in zip(
@@ -246,17 +253,18 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
 
     Queries are the rows whose vec_id is divisible by `every`, candidates all rows but the query's
     own; ties go to the smaller vec_id. A vector that is null or holds null or non-finite components
-    takes no part; vectors of unequal length are compared as if filled up with zeros. A row without
-    vec_id is a candidate that comes after others of its score. Rows that repeat a vec_id are rows of
-    their own, as queries too. An empty table gives an empty one; other columns are not read.
+    takes no part; vectors of unequal length are compared as if filled up with zeros. Products are
+    exact as long as they fit a long. A row without vec_id is a candidate that comes after others of
+    its score. Rows that repeat a vec_id are rows of their own, as queries too. An empty table gives
+    an empty one; other columns are not read.
     """
     rows = stage(quantised(embeddings), "vectors")
-    norm = F.aggregate("vector", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    top = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    top = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
     count, size, largest, most = rows.agg(
         F.count(F.lit(1)), F.max(F.size("vector")), F.max(norm), F.max(top)).first()
     size, most = size or 0, most or 0
-    space = Space(size, largest or 0, 4 * size * most * most < 1 << 53)
+    space = Space(size, largest or 0.0, size * most * most < 1 << 52)
     # A bounded sample, by a hash of the row: at most PIVOTS vectors.
     wanted = min(PIVOTS, -(-count // TREE)) or 1
     pivots = rows.orderBy(F.xxhash64("row")).limit(wanted).select("vector").collect()
@@ -285,24 +293,22 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     asked = celled.filter((F.col("vec_id") % every) == 0)
     blocks = -(-asked.count() // BLOCK) or 1
     asked = asked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int"))
-    home = asked.withColumn("floor", F.lit(None).cast("long")).drop("away")
+    home = asked.withColumn("floor", F.lit(NONE).cast("long")).drop("away")
     home = home.select("*", F.explode(F.sequence(
         F.lit(0), tree_count[F.col("cell")] - 1)).alias("tree"))
     first = stage(_top(_search_trees(home, index, space, blocks, best), best), "nearest")
 
     worst = first.filter(F.col("rank") == best).select(F.col("query").alias("row"), F.col("score"))
     bounded = asked.join(worst, "row", "left").select(
-        "row", "vec_id", "vector", F.col("score").alias("floor"), "block", "cell")
+        "row", "vec_id", "vector", F.coalesce("score", F.lit(NONE).cast("long")).alias("floor"), "block",
+        "cell")
 
     def elsewhere(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row per query and tree that may hold something better; not of the query's own cell."""
         for batch in batches:
             queries = space.matrix(batch["vector"]).astype(float)
             norms = (queries**2).sum(axis=1)
-            floor = batch["floor"].astype(float).to_numpy()
-            reach = np.sqrt(np.maximum(norms + space.largest - 2 * floor, 0))
-            reach = np.where(np.isnan(floor), np.inf, reach) + SLACK * (
-                1 + np.sqrt(norms + space.largest))
+            reach = _reach(norms, batch["floor"].to_numpy(np.int64), space)
             away = distances(np.column_stack([queries, np.zeros(len(queries))]), shared.value)
             for cell in trees:
                 near = (away[:, cell] - radius[cell] <= reach) & (batch["cell"] != cell).to_numpy()

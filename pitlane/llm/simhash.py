@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) ->
 
 
 def _byte_counts(prints: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(prints.view(np.uint8).reshape(-1, 8))
+    return np.bitwise_count(np.ascontiguousarray(prints).view(np.uint8).reshape(-1, 8))
 
 
 def _hook(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

@@ -296,6 +296,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Entries, np.ndarray]:
     """The lexicons and the classifier's weights."""
     entries = lexicons(stage(
         labelled_texts(docs, labels, "toxic", ~held_out(), LABELLED), "labelled"))
+    if not entries:
+        return entries, np.zeros(SIZE + 1)
     model = count_votes(docs, labels, entries)
     chosen = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(TRAINED_ON)
@@ -330,7 +332,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     A null id counts as an empty one when rows are held out, a null text as empty; repeated rows
-    stay. Without labels no voter has an entry and all documents score alike.
+    stay. Without labels that give a voter an entry the score is 0.5 for all.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
