@@ -95,8 +95,8 @@ class Encoder:
     """Texts to token ids, exactly as the merges give them."""
 
     #: Fixed value: how the vocabulary's makers cut texts before merging.
-    _PIECES = regex.compile(
-        r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    _PIECES = regex.compile(PIECES)
     #: A space before a character that isn't one always begins a piece.
     _OTHER_SPACES = re.compile(r" (?!\S)")
     _CUTS = re.compile(r" (?=\S)")

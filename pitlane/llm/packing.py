@@ -8,18 +8,20 @@ comes later. A sequence is opened only if no open one has room.
 """
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pitlane.llm.bpe import VOCABULARY, encoder_of, vocabulary_file
+from pitlane.llm.bpe import VOCABULARY, Encoder, Vocabulary, vocabulary_file
 from pitlane.llm.common import stage
 
 SEQUENCE = 1024
@@ -67,6 +69,19 @@ def sum_of_squares(sizes: np.ndarray, sequence: int) -> tuple[np.ndarray, np.nda
     return places, offsets
 
 
+@cache
+def _tokens(spec: str) -> Callable[[str], np.ndarray]:
+    """Texts to ids by a library that merges as the vocabulary does, and several times faster than
+    Python can; it is built once per Python worker."""
+    vocabulary = Vocabulary(spec)
+    ranks = {word.encode("latin-1"): i for i, word in enumerate(vocabulary.words)}
+    added = {token: len(ranks) + i for i, token in enumerate(vocabulary.added)}
+    library = tiktoken.Encoding(
+        "packing", pat_str=Encoder.PIECES, mergeable_ranks=ranks, special_tokens=added)
+    ids = np.array([*vocabulary.ids, *vocabulary.added.values()], "<u4")
+    return lambda text: ids[library.encode_to_numpy(text, allowed_special="all")]
+
+
 def pieces(
     docs: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str = VOCABULARY,
 ) -> DataFrame:
@@ -82,13 +97,13 @@ def pieces(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, closing = encoder_of(spec.value), int(end).to_bytes(4, "little")
+        ids_of, closing = _tokens(spec.value), int(end).to_bytes(4, "little")
         deal = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             rows, taken = [], []
             for i in range(batch.num_rows):
-                tokens = encoder.encode_bytes(texts[i].as_py() or "") + closing
+                tokens = ids_of(texts[i].as_py() or "").tobytes() + closing
                 for n, (start, length) in enumerate(cut(len(tokens) // 4, sequence)):
                     part = tokens[4 * start:4 * (start + length)]
                     rows.append((n, start, length, zlib.crc32(part), deal))
