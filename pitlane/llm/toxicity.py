@@ -52,7 +52,8 @@ Entries = dict[str, int]
 
 def core(word: str) -> str:
     """A word in lower case without the signs around it."""
-    return _EDGES.sub("", word.lower())
+    low = word.lower()
+    return low if low.isalnum() else _EDGES.sub("", low)
 
 
 def marks(word: str) -> list[str]:
@@ -87,10 +88,10 @@ def lexicons(sample: DataFrame) -> Entries:
         F.sum("target").alias("toxic"), (F.count(F.lit(1)) - F.sum("target")).alias("clean"))
     lift = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (every - toxic + 1))
     kind = F.substring_index("mark", ":", 1)
-    best = (
+    best = stage(
         counted.filter((F.col("toxic") >= LEAST_TOXIC) & (lift >= LEAST_LIFT))
-        .select("mark", kind.alias("kind"), (F.col("toxic") * F.log(lift)).alias("worth"))
-    )
+        .select("mark", kind.alias("kind"), (F.col("toxic") * F.log(lift)).alias("worth")),
+        "entries")
     entries = {}
     for n, name in enumerate(["0", *map(str, BEGINNINGS)]):
         top = best.filter(F.col("kind") == name).orderBy(F.desc("worth"), "mark").limit(MOST_ENTRIES)
@@ -104,17 +105,26 @@ class Reader:
     """Reads texts: hashed words and beginnings, hits of each voter's entries, and votes."""
 
     def __init__(self, entries: Entries):
-        self.entries = entries
+        self.whole: dict[str, int] = {}
+        self.beginnings: list[tuple[int, dict[str, int]]] = [(n, {}) for n in BEGINNINGS]
+        kinds = {"0": self.whole, **{str(n): found for n, found in self.beginnings}}
+        for mark, voter in entries.items():
+            kind, _, text = mark.partition(":")
+            kinds[kind][text] = 1 << voter
         self.codes = Remembered(self._code)
 
     def _code(self, word: str) -> int:
         """Hashes of the word and of two beginnings, and a bit for each voter that it hits."""
-        word, hit = core(word), 0
-        for mark in marks(word):
-            if mark in self.entries:
-                hit |= 1 << self.entries[mark]
-        parts = [zlib.crc32(f"{n}:{word[:n]}".encode()) >> 16 for n in (99, *BEGINNINGS[:2])]
-        return hit << 48 | parts[0] << 32 | parts[1] << 16 | parts[2] if word else 0
+        word = core(word)
+        if not word:
+            return 0
+        hit = self.whole.get(word, 0)
+        for n, found in self.beginnings:
+            if len(word) >= n:
+                hit |= found.get(word[:n], 0)
+        hashes = [zlib.crc32(part.encode(), seed) >> 16 for seed, part in (
+            (1, word), (2, word[:BEGINNINGS[0]]), (3, word[:BEGINNINGS[1]]))]
+        return hit << 48 | hashes[0] << 32 | hashes[1] << 16 | hashes[2]
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(codes of the words, votes: 0 clean, 1 none, 2 toxic)."""
@@ -133,6 +143,18 @@ class Reader:
         return int(self.read(text)[1] @ 3 ** np.arange(VOTERS))
 
 
+_readers: dict[tuple, Reader] = {}
+
+
+def reader_of(entries: Entries) -> Reader:
+    """The reader of these entries; a Python worker keeps the last one for its next task."""
+    key = tuple(sorted(entries.items()))
+    if key not in _readers:
+        _readers.clear()
+        _readers[key] = Reader(entries)
+    return _readers[key]
+
+
 def unpacked(patterns: np.ndarray) -> np.ndarray:
     """Numbers of vote combinations -> a row of votes each."""
     return patterns[:, None] // 3 ** np.arange(VOTERS) % 3
@@ -242,7 +264,7 @@ def features(codes: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def scorer(entries: Entries, weights: np.ndarray) -> Callable[[str], float]:
-    reader, constant = Reader(entries), float(weights[-1])
+    reader, constant = reader_of(entries), float(weights[-1])
 
     def score(text: str) -> float:
         codes, votes = reader.read(text)
@@ -276,7 +298,7 @@ def count_votes(docs: DataFrame, labels: DataFrame, entries: Entries) -> LabelMo
     ).groupBy("doc_id").agg(F.avg("toxic").alias("target"))
 
     def start():
-        reader = Reader(shared.value)
+        reader = reader_of(shared.value)
         return lambda text: (reader.votes(text),)
 
     cast = stage(map_texts(
@@ -310,7 +332,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Entries, np.ndarray]:
               T.StructField("votes", T.ArrayType(T.LongType()))]
 
     def start():
-        return Reader(shared.value).read
+        return reader_of(shared.value).read
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
