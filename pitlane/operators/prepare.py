@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pitlane import fixed_values as V
 from pitlane.operators.joins import join_one_to_one
 from pitlane.operators.ranking import latest_per_key
+from pitlane.sources.tables import stack
 
 
 def columns_first(df: DataFrame, front: list[str]) -> DataFrame:
@@ -45,6 +46,31 @@ def not_landed(expected: DataFrame, landed: DataFrame, keys: list[str]) -> DataF
     return expected.join(landed.select(*keys), keys, "left_anti")
 
 
+def missing_documents(
+    races: DataFrame, as_of: date, prices: DataFrame, standings: DataFrame, details: DataFrame,
+    board: DataFrame,
+) -> DataFrame:
+    """What a season needs and has not landed: dataset, season, race_number, user_guid, team_no.
+
+    Prices of every race up to the one after the last completed race, standings of every completed
+    race, and a detail document of every team that stands on the board of a completed race. The
+    other tables hold the keys of what is there.
+    """
+    done = completed_races(races, as_of).select(*V.RACE_KEY)
+    stood = board.select(*V.TEAM_RACE_KEY).join(done, V.RACE_KEY, "left_semi")
+    wanted = {
+        "asset_snapshot": not_landed(price_feed_coverage(races, as_of), prices, V.RACE_KEY),
+        "league_standings": not_landed(done, standings, V.RACE_KEY),
+        "detailed_teams": not_landed(stood, details, V.TEAM_RACE_KEY),
+    }
+    none = {"user_guid": F.lit(None).cast("string"), "team_no": F.lit(None).cast("bigint")}
+    return stack([
+        (df if name == "detailed_teams" else df.withColumns(none))
+        .select(F.lit(name).alias("dataset"), *V.TEAM_RACE_KEY)
+        for name, df in wanted.items()
+    ])
+
+
 def _enrich(rows, details, key, columns, sentinel, what):
     """Left join of details one to one; earlier enrichment columns are replaced."""
     enriched = join_one_to_one(

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.functions.columns import any_null
+from pitlane.functions.columns import any_null, loses_fraction
 from pitlane.operators.joins import attach_small
 from pitlane.sources.tables import stack
 
@@ -79,6 +79,17 @@ def missing_columns(tables: Tables) -> dict[str, list[str]]:
     return lacking
 
 
+def lost_fractions(texts: Tables) -> DataFrame:
+    """Numbers with a fraction among texts that must hold whole numbers, by table and column.
+
+    Coercion makes them null; here they are counted before it.
+    """
+    return _counted(texts, {
+        name: [("lost fraction", c, F.count_if(loses_fraction(F.col(f"`{c}`")))) for c in df.columns]
+        for name, df in texts.items()
+    })
+
+
 def row_counts(tables: Tables) -> DataFrame:
     return _counted(tables, _row_rules(tables))
 

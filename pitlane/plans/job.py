@@ -1,10 +1,13 @@
 """The batch build: landed documents -> source tables -> checks -> marts -> published tables.
 
-Everything is written below one folder per build and checked there. Only then are the catalog
-tables pointed at it, so a build that fails leaves the published tables as they were, and nothing
-is copied.
+A build is of one season. It first makes sure that every document of the season is there, then
+writes everything below one folder and checks it. Only then are the season's partitions of the
+catalog tables pointed at that folder, sources before marts, each by one change of a location. So a
+build that fails before leaves all as it was, one that fails in between leaves every table readable,
+other seasons are never touched, and nothing is copied.
 """
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +33,58 @@ def reference_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+#: Missing documents that an error names; it gives the number of all.
+NAMED = 20
+
+
+@dataclass(frozen=True)
+class Build:
+    """The tables of a build by name, and the gaps of measures that may be absent."""
+
+    tables: dict[str, DataFrame]
+    optional_gaps: list[dict]
+
+
+def missing_documents(
+    landed: dict[str, DataFrame], races: DataFrame, season: int, as_of: date,
+) -> DataFrame:
+    """Documents that the season needs and that have not landed."""
+    of_season = {name: df.filter(F.col("season") == season) for name, df in landed.items()}
+    standings = of_season["league_standings"]
+    board = standings.select("season", "race_number", F.explode("Value.leaderboard").alias("row"))
+    return prepare.missing_documents(
+        races.filter(F.col("season") == season), as_of, of_season["asset_snapshot"], standings,
+        of_season["detailed_teams"],
+        board.select("season", "race_number", F.col("row.user_guid").alias("user_guid"),
+                     coerce_integer("row.team_no").alias("team_no")).distinct(),
+    )
+
+
+def require_documents(
+    landed: dict[str, DataFrame], races: DataFrame, season: int, as_of: date,
+) -> None:
+    """Raise if a document of the season is absent, naming the first ones."""
+    absent = stage(missing_documents(landed, races, season, as_of), "missing")
+    count = absent.count()
+    if count:
+        first = absent.orderBy("dataset", *V.TEAM_RACE_KEY).limit(NAMED).collect()
+        raise quality.DataQualityError(
+            f"{count} missing documents, such as {[tuple(row) for row in first]}")
+
+
+def require_whole_numbers(landed: dict[str, DataFrame], season: int) -> None:
+    """Raise if a field that must hold a whole number holds a fraction, with the counts."""
+    texts = {
+        name: documents.whole_number_texts(df.filter(F.col("season") == season), name)
+        for name, df in landed.items()
+    }
+    # One row per declared field.
+    found = quality.lost_fractions(texts).filter("n > 0").collect()
+    if found:
+        raise quality.DataQualityError(
+            f"lost fractions (check, source, field, rows): {[tuple(row) for row in found]}")
+
+
 def source_tables(
     landed: dict[str, DataFrame], reference: dict[str, DataFrame], season: int, as_of: date,
     retrieved_at: Column,
@@ -39,6 +94,8 @@ def source_tables(
     The parsed standings and details feed several tables each, so they are staged once.
     """
     calendar = reference["races"].filter(F.col("season") == season)
+    landed = {name: df.filter(F.col("season") == season).drop("season")
+              for name, df in landed.items()}
     done = prepare.completed_races(calendar, as_of).select("race_number")
     feeds = prepare.price_feed_coverage(calendar, as_of).select("race_number")
 
@@ -108,19 +165,26 @@ def build_marts(tables: dict[str, DataFrame], folder: str, as_of: date) -> dict[
     return built
 
 
-def _publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> None:
+def _publish(
+    spark: SparkSession, tables: dict[str, DataFrame], folder: str, seasons: list[int],
+) -> None:
     for name, df in tables.items():
-        publish(spark, name, df, f"{folder}/{name}", [] if name in DIMENSIONS else ["season"])
+        if name in DIMENSIONS:
+            publish(spark, name, df, f"{folder}/{name}")
+        else:
+            publish(spark, name, df, f"{folder}/{name}", "season", seasons)
     drop_tables(spark, V.RETIRED_MARTS)
 
 
 def build(
     spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
     season: int, as_of: date, build_id: str, retrieved_at: Column | None = None,
-) -> dict[str, DataFrame]:
-    """Run the whole build and publish its tables; returns them by name."""
+) -> Build:
+    """Run the whole build of a season and publish it."""
     folder = f"{out}/{build_id}"
     reference = reference_tables(spark, reference_folder)
+    require_documents(landed, reference["races"], season, as_of)
+    require_whole_numbers(landed, season)
     source = source_tables(
         landed, reference, season, as_of,
         F.current_timestamp() if retrieved_at is None else retrieved_at,
@@ -129,17 +193,21 @@ def build(
         name: write_table(df, f"{folder}/{name}", [] if name in DIMENSIONS else ["season"])
         for name, df in source.items()
     }
-    quality.raise_on_violation(tables)
+    gaps = quality.raise_on_violation(tables)
+    # One row per optional measure.
+    found = [row.asDict() for row in gaps.filter("n > 0").collect()]
     tables |= build_marts(tables, folder, as_of)
-    _publish(spark, tables, folder)
-    return tables
+    _publish(spark, tables, folder, [season])
+    return Build(tables, found)
 
 
 def rebuild_marts(spark: SparkSession, out: str, as_of: date, build_id: str) -> None:
-    """Build the marts again from the published source tables."""
+    """Build the marts of all published seasons again from the published source tables."""
     absent = quality.missing_tables(spark, list(V.KEYS))
     if absent:
         raise quality.DataQualityError(f"missing tables: {absent}")
     folder = f"{out}/{build_id}"
     tables = {name: spark.table(name) for name in V.KEYS}
-    _publish(spark, build_marts(tables, folder, as_of), folder)
+    # One row per published season.
+    seasons = [r.season for r in tables["team_race"].select("season").distinct().collect()]
+    _publish(spark, build_marts(tables, folder, as_of), folder, seasons)

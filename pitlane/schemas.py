@@ -38,19 +38,17 @@ STANDINGS = _struct({
     "FeedTime": _feed_time,
 })
 
+# So do the scalars of a team document: a feed writes 1, 1.0 and "1" for the same thing.
 TEAM_DETAIL = _struct({
     "Data": _struct({
         "Value": _struct({
-            "mdid": _long,
+            "mdid": _string,
             "userTeam": T.ArrayType(_struct({
-                "teamno": _long, "teamname": _string, "socialId": _long, "teamval": _string,
-                "teambal": _string, "maxteambal": _string, "usersubs": _long,
-                "usersubsleft": _long,
-                "playerid": T.ArrayType(_struct({
-                    "id": _string, "iscaptain": _long, "ismgcaptain": _long,
-                    "playerpostion": _long, "isfinal": _long,
-                })),
-                **{field: _long for pair in V.CHIP_FIELDS.values() for field in pair},
+                "teamno": _string, "teamname": _string, "socialId": _string, "teamval": _string,
+                "teambal": _string, "maxteambal": _string, "usersubs": _string,
+                "usersubsleft": _string,
+                "playerid": T.ArrayType(_struct(list(V.LINEUP_COLUMNS), _string)),
+                **{field: _string for pair in V.CHIP_FIELDS.values() for field in pair},
             })),
         }),
     }),

@@ -5,11 +5,12 @@ One scan reads the documents of all races and teams; nothing loops over files.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from pitlane import fixed_values as V
 from pitlane import schemas
 from pitlane.functions.columns import (
-    coerce_double, coerce_integer, feed_timestamp, percent_decode,
+    coerce_double, coerce_integer, feed_timestamp, loses_fraction, percent_decode,
 )
 
 SCHEMAS = {
@@ -31,9 +32,10 @@ NAME_KEYS = {
 
 
 def keys_from_path(dataset: str) -> list[Column]:
+    """What the file name holds; null where it doesn't."""
     path = F.col("_metadata.file_path")
     return [
-        F.regexp_extract(path, pattern, 1).cast(kind).alias(name)
+        F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast(kind).alias(name)
         for name, pattern, kind in NAME_KEYS[dataset]
     ]
 
@@ -44,6 +46,34 @@ def scan(spark: SparkSession, dataset: str, path: str) -> DataFrame:
     return documents.select(*keys_from_path(dataset), "*")
 
 
+_RECORDS = {
+    "asset_snapshot": "Data.Value", "league_standings": "Value.leaderboard",
+    "detailed_teams": "Data.Value.userTeam",
+}
+
+
+def records_of(dataset: str) -> Column:
+    """The array of records that a document is about."""
+    return F.col(_RECORDS[dataset])
+
+
+def stored_schema(dataset: str) -> StructType:
+    """What is stored of a document: its declared schema without the personal fields."""
+    personal = {"league_standings": V.STANDINGS_PERSONAL, "detailed_teams": V.TEAM_DETAIL_PERSONAL}
+
+    def without(kind: DataType) -> DataType:
+        if isinstance(kind, ArrayType):
+            return ArrayType(without(kind.elementType))
+        if isinstance(kind, StructType):
+            return StructType([
+                StructField(f.name, without(f.dataType)) for f in kind.fields
+                if f.name != personal.get(dataset)
+            ])
+        return kind
+
+    return without(SCHEMAS[dataset])
+
+
 def without_personal_fields(documents: DataFrame, dataset: str) -> DataFrame:
     """Remove account identifiers before anything is stored."""
     if dataset == "league_standings":
@@ -142,19 +172,24 @@ def roster_rows(team_race: DataFrame) -> DataFrame:
 def first_team(documents: DataFrame) -> DataFrame:
     """The team of each detail document beside its keys. A document without a team is an error."""
     return documents.select(
-        "user_guid", F.col("Data.Value.mdid").alias("race_number"),
+        "user_guid", coerce_integer("Data.Value.mdid").alias("race_number"),
         F.element_at("Data.Value.userTeam", 1).alias("team"),
     )
 
 
+def _team_no() -> Column:
+    return coerce_integer("team.teamno").alias("team_no")
+
+
 def lineup_records(documents: DataFrame, season: int) -> DataFrame:
     """One row per asset of each lineup, with captain flags, slot and swap status."""
     return (
         first_team(documents)
         .select(F.lit(season).cast("bigint").alias("season"), "race_number", "user_guid",
-                F.col("team.teamno").alias("team_no"), F.explode("team.playerid").alias("p"))
+                _team_no(), F.explode("team.playerid").alias("p"))
         .select(*V.TEAM_RACE_KEY,
-                *[F.col(f"p.{field}").alias(name) for field, name in V.LINEUP_COLUMNS.items()])
+                *[(F.col(f"p.{field}") if name == "asset_id" else coerce_integer(f"p.{field}"))
+                  .alias(name) for field, name in V.LINEUP_COLUMNS.items()])
     )
 
 
@@ -164,14 +199,13 @@ def finance_records(documents: DataFrame, season: int) -> DataFrame:
     The money is cast strictly: an absent amount stays null, junk raises.
     """
     def column(field, name):
+        money = field.endswith("val") or field.endswith("bal")
         value = F.col(f"team.{field}")
-        return (value.cast("double") if field.endswith("val") or field.endswith("bal") else value
-                ).alias(name)
+        return (value.cast("double") if money else coerce_integer(value)).alias(name)
 
     return first_team(documents).select(
         F.lit(season).cast("bigint").alias("season"), "race_number", "user_guid",
-        F.col("team.teamno").alias("team_no"),
-        *[column(field, name) for field, name in V.FINANCE_COLUMNS.items()],
+        _team_no(), *[column(field, name) for field, name in V.FINANCE_COLUMNS.items()],
     )
 
 
@@ -181,8 +215,8 @@ def used_chips(teams: DataFrame) -> DataFrame:
     `teams` holds season, user_guid, team_no, team_name and the twelve fields.
     """
     pairs = F.array(*[
-        F.struct(F.lit(chip).cast("bigint").alias("chip_id"), F.col(flag).alias("flag"),
-                 F.col(race).alias("race_used"))
+        F.struct(F.lit(chip).cast("bigint").alias("chip_id"), coerce_integer(flag).alias("flag"),
+                 coerce_integer(race).alias("race_used"))
         for chip, (flag, race) in V.CHIP_FIELDS.items()
     ])
     return (
@@ -192,13 +226,39 @@ def used_chips(teams: DataFrame) -> DataFrame:
     )
 
 
+def whole_number_texts(documents: DataFrame, dataset: str) -> DataFrame:
+    """The texts of all fields that must hold whole numbers, a row per record, under their names.
+
+    What `loses_fraction` finds among them is lost by coercion.
+    """
+    if dataset == "asset_snapshot":
+        named = {**V.ASSET_COLUMNS}
+        record = documents.select(F.explode(records_of(dataset)).alias("v"))
+        return record.select(*[
+            F.col(f"v.{field}").alias(name) for field, name in named.items()
+            if name in V.ASSET_INTEGERS
+        ])
+    if dataset == "league_standings":
+        record = documents.select(F.explode(records_of(dataset)).alias("v"))
+        return record.select("v.team_no", F.col("v.cur_rank").alias("race_rank"), "v.trend")
+    record = documents.select("Data.Value.mdid", F.explode(records_of(dataset)).alias("v"))
+    lineup = [name for name in V.LINEUP_COLUMNS if name != "id"]
+    chips = [field for pair in V.CHIP_FIELDS.values() for field in pair]
+    # Of a lineup, the first value that isn't whole, so that a team stays one row.
+    broken = lambda field: F.get(F.filter(
+        F.col(f"v.playerid.{field}"), loses_fraction), F.lit(0)).alias(field)
+    return record.select(
+        "mdid", *[F.col(f"v.{f}").alias(f) for f in ("teamno", "usersubs", "usersubsleft", *chips)],
+        *[broken(field) for field in lineup])
+
+
 def chip_usage(documents: DataFrame, latest: DataFrame, season: int) -> DataFrame:
     """Chips used, read from each team's latest document only: chip fields cover the season.
 
     `latest` holds user_guid, team_no and race_number of each team's latest standings row.
     """
     teams = first_team(documents).select(
-        "user_guid", "race_number", F.col("team.teamno").alias("team_no"), "team"
+        "user_guid", "race_number", _team_no(), "team"
     ).join(latest, ["user_guid", "team_no", "race_number"], "left_semi")
     return used_chips(teams.select(
         F.lit(season).cast("bigint").alias("season"), "user_guid", "team_no",

@@ -1,29 +1,50 @@
 """Writing tables: shared staging, partition replacement, catalog tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
-_own_folders: dict[str, str] = {}
+_named: dict[str, str] = {}
+_EMPTY = "_empty"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a folder of its own.
+    Without the setting, it is the one that `name_shared_dir` gave; without either, an error.
     """
-    folder = spark.conf.get(_CHECKPOINT_CONF, None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    folder = spark.conf.get(_CHECKPOINT_CONF, None) or _named.get(spark.sparkContext.applicationId)
+    if not folder:
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
-    return _own_folders[context.applicationId]
+    return folder.rstrip("/")
+
+
+def name_shared_dir(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a running application whose session has no setting for it."""
+    _named[spark.sparkContext.applicationId] = folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.mkdirs(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that is no longer needed, wherever the session keeps it."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -61,14 +82,30 @@ def write_table(df: DataFrame, path: str, by: list[str]) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish(spark: SparkSession, name: str, df: DataFrame, path: str, by: list[str]) -> None:
-    """Point a catalog table at the files that df was read from."""
+def publish(
+    spark: SparkSession, name: str, df: DataFrame, path: str, by: str | None = None,
+    values: list[int] | None = None,
+) -> None:
+    """Point a catalog table at the files that df was read from.
+
+    A table without `by` is swapped as a whole, a partitioned one partition by partition, for the
+    values given; other partitions stay. Each swap is one change of a location, so a reader finds
+    the old files or the new ones, and the table is always there.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    partitions = f"PARTITIONED BY ({', '.join(by)})" if by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitions} LOCATION '{path}'")
-    if by:
-        spark.catalog.recoverPartitions(name)
+    if by is None:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        # Its own folder stays empty: every partition has a location of its own.
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                  f"PARTITIONED BY ({by}) LOCATION '{path}/{_EMPTY}'")
+        for value in values or []:
+            part, place = f"PARTITION ({by}={value})", f"{path}/{by}={value}"
+            make_folder(spark, place)  # a table may have no rows for a value
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{place}'")
+            spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
 
 
 def replace_table(df: DataFrame | None, name: str) -> int | None:

@@ -1,68 +1,143 @@
-"""Land new JSON documents into typed bronze tables, each document once.
+"""Land new JSON documents of a season into bronze tables; set aside what can't be read.
 
-A file stream remembers which files it has read; a document that arrives again under another path
-is kept out by its key. Every micro-batch writes its own folder in overwrite mode, so a batch that
-is repeated after a lost executor or driver replaces what it had begun to write.
+A file stream reads each file once. A document that can't be parsed, whose name holds no key or that
+holds no records goes to the rejects table, by path and reason and without its text, and takes no
+key: the corrected file lands like any new one. Of several valid documents of one key the newest
+file counts, whenever it came, so a correction replaces what it corrects and an old copy does not.
+
+Bronze is laid out by season, race and micro-batch. A batch that is repeated after a lost executor
+or driver replaces the partitions that it had begun to write; no batch reads what is landed.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from pitlane.operators.joins import attach_small
 from pitlane.sources import documents
+from pitlane.sources.tables import overwrite_partitions
 
-BATCH = "batch"
+LAYOUT = ["season", "race_number", "batch"]
+REJECTS = "rejects"
+_FILE = ["path", "modified_at"]
+_DAMAGED = "__damaged"
+#: A stream passes over files that are older than its newest one by more than this.
+_ANY_AGE = "36500d"
 
 
 def keys_of(dataset: str) -> list[str]:
-    return [name for name, _, _ in documents.NAME_KEYS[dataset]]
-
-
-def first_of_each(rows: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key, the one with the smallest path."""
-    rest = [c for c in rows.columns if c not in (*key, "path")]
-    kept = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), "path").alias("__row"))
-    return kept.select(*key, "__row.*")
-
-
-def read_bronze(spark: SparkSession, dataset: str, bronze: str) -> DataFrame:
-    """Every landed document of a data set."""
-    return spark.read.parquet(f"{bronze}/{dataset}").drop(BATCH)
+    """What tells the documents of a data set apart."""
+    return ["season", *[name for name, _, _ in documents.NAME_KEYS[dataset]]]
+
+
+def bronze_schema(dataset: str) -> StructType:
+    """Name keys, the file, the document without personal fields, then the layout."""
+    schema = StructType()
+    for name, _, kind in documents.NAME_KEYS[dataset]:
+        if name not in LAYOUT:
+            schema.add(name, LongType() if kind == "bigint" else StringType())
+    schema.add("path", StringType()).add("modified_at", TimestampType())
+    for field in documents.stored_schema(dataset).fields:
+        schema.add(field)
+    for name in LAYOUT:
+        schema.add(name, LongType())
+    return schema
+
+
+def read_all(spark: SparkSession, dataset: str, bronze: str) -> DataFrame:
+    """Every landed document, earlier versions too."""
+    return spark.read.schema(bronze_schema(dataset)).parquet(f"{bronze}/{dataset}")
+
+
+def read_rejects(spark: SparkSession, dataset: str, bronze: str) -> DataFrame:
+    """Files that were set aside: season, path, modified_at, reason."""
+    return spark.read.schema(
+        "path STRING, modified_at TIMESTAMP, reason STRING, season BIGINT, batch BIGINT"
+    ).parquet(f"{bronze}/{REJECTS}/{dataset}")
+
+
+def read_bronze(
+    spark: SparkSession, dataset: str, bronze: str, season: int | None = None,
+) -> DataFrame:
+    """The valid documents of a data set, the newest version of each; of one season if given.
+
+    Only keys and file names are grouped. Keys with several versions are few, and their older files
+    are taken out by a join that leaves the documents where they are.
+    """
+    landed = read_all(spark, dataset, bronze)
+    if season is not None:
+        landed = landed.filter(F.col("season") == season)
+    key = keys_of(dataset)
+    file = F.struct("modified_at", "path")
+    several = (
+        landed.select(*key, *_FILE).groupBy(*key)
+        .agg(F.max(file).alias("newest"), F.count(F.lit(1)).alias("versions"))
+        .filter("versions > 1").select(*key, "newest")
+    )
+    older = landed.select(*key, *_FILE).join(several, key).filter(
+        F.col("path") != F.col("newest.path")).select(*key, "path")
+    return attach_small(landed, older, [*key, "path"], "left_anti").drop(*_FILE, "batch")
 
 
-def _incoming(spark: SparkSession, dataset: str, folder: str, files_per_batch: int) -> DataFrame:
+def _incoming(
+    spark: SparkSession, dataset: str, folder: str, season: int, files_per_batch: int,
+) -> DataFrame:
+    schema = StructType([*documents.SCHEMAS[dataset].fields, StructField(_DAMAGED, StringType())])
     stream = (
-        spark.readStream.schema(documents.SCHEMAS[dataset])
-        .options(multiLine=True, recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch)
+        spark.readStream.schema(schema)
+        .options(multiLine=True, recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch,
+                 maxFileAge=_ANY_AGE, mode="PERMISSIVE", columnNameOfCorruptRecord=_DAMAGED)
         .json(folder)
     )
     keyed = stream.select(
-        *documents.keys_from_path(dataset), F.col("_metadata.file_path").alias("path"), "*"
+        F.lit(season).cast("bigint").alias("season"), *documents.keys_from_path(dataset),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified_at"), "*",
     )
     return documents.without_personal_fields(keyed, dataset)
 
 
+def _fault(dataset: str) -> Column:
+    """Why a document can't be landed; null if it can."""
+    no_key = F.lit(False)
+    for name in keys_of(dataset):
+        no_key = no_key | F.col(name).isNull()
+    return (
+        F.when(F.col(_DAMAGED).isNotNull(), "unreadable").when(no_key, "no key in the name")
+        .when(F.coalesce(F.size(documents.records_of(dataset)), F.lit(0)) < 1, "no records")
+    )
+
+
 def land(
-    spark: SparkSession, dataset: str, incoming: str, bronze: str, checkpoint: str,
+    spark: SparkSession, dataset: str, incoming: str, bronze: str, checkpoint: str, season: int,
     files_per_batch: int = 10_000,
 ) -> StreamingQuery:
-    """Start a run over whatever has arrived; it ends by itself when that is landed."""
-    key = keys_of(dataset)
-    target = f"{bronze}/{dataset}"
-    stream = _incoming(spark, dataset, incoming, files_per_batch)
-
-    # An empty first folder gives the table its schema, so no batch is a special case.
-    empty = spark.createDataFrame([], stream.drop("path").schema)
-    empty.write.mode("overwrite").parquet(f"{target}/{BATCH}=-1")
+    """Start a run over whatever has arrived of a season; it ends by itself when that is landed."""
+    target, rejects = f"{bronze}/{dataset}", f"{bronze}/{REJECTS}/{dataset}"
+    columns = bronze_schema(dataset).names
+    # An empty first batch makes the tables, so reading them is no special case.
+    none = spark.createDataFrame([], bronze_schema(dataset)).drop(*LAYOUT)
+    none.write.mode("overwrite").parquet(f"{target}/season=0/race_number=0/batch=-1")
+    none.select(*_FILE, F.lit("").alias("reason")).write.mode("overwrite").parquet(
+        f"{rejects}/season=0/batch=-1")
 
     def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        landed = session.read.parquet(target).filter(F.col(BATCH) != number).select(*key)
-        fresh = first_of_each(batch, key).join(landed, key, "left_anti")
-        fresh.select(*empty.columns).write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
-
+        # The documents of a batch are parsed once for both tables.
+        marked = batch.withColumn("batch", F.lit(number).cast("bigint")).withColumn(
+            "reason", _fault(dataset)).persist()
+        try:
+            overwrite_partitions(
+                marked.filter("reason IS NULL").select(*columns), target, LAYOUT)
+            overwrite_partitions(
+                marked.filter("reason IS NOT NULL").select(*_FILE, "reason", "season", "batch"),
+                rejects, ["season", "batch"])
+        finally:
+            marked.unpersist()
+
+    stream = _incoming(spark, dataset, incoming, season, files_per_batch)
     return (
         stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/{dataset}")
+        .option("checkpointLocation", f"{checkpoint}/{dataset}/season={season}")
         .trigger(availableNow=True).start()
     )

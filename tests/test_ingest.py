@@ -1,15 +1,17 @@
 import json
+import os
 from datetime import date, datetime, timezone
 
 import pytest
 from conftest import (
-    TEAMS, asset_document, put, rows, standings_document, team_document, write_race,
+    CHIP_FLAGS, TEAMS, asset_document, put, rows, standings_document, team_document, write_race,
 )
 from pyspark.sql import functions as F
 
+from pitlane import fixed_values as V
 from pitlane import schemas
 from pitlane.functions import columns as C
-from pitlane.operators import prepare
+from pitlane.operators import prepare, quality
 from pitlane.operators.joins import CardinalityError, require_unique
 from pitlane.plans import job
 from pitlane.sources import csv_tables, documents, tables
@@ -274,9 +276,9 @@ def test_coverage(spark, raw):
 
 # --- landing ------------------------------------------------------------------------------------
 
-def run(spark, dataset, raw, out):
+def run(spark, dataset, raw, out, season=2026):
     landing.land(spark, dataset, str(raw / dataset), str(out / "bronze"),
-                 str(out / "marks")).awaitTermination()
+                 str(out / "marks"), season).awaitTermination()
 
 
 def test_landing_stream_lands_each_document_once(spark, raw, tmp_path):
@@ -288,13 +290,42 @@ def test_landing_stream_lands_each_document_once(spark, raw, tmp_path):
     # A second run finds nothing new.
     run(spark, "league_standings", raw, out)
     assert landing.read_bronze(spark, "league_standings", str(out / "bronze")).count() == 2
-    # A new race lands; a race that arrives again elsewhere does not.
+    # A new race lands; of a race that arrives again, the newest file counts.
     put(raw / "league_standings", "league_standings_race_3.json", standings_document(3))
     put(raw / "league_standings" / "again", "league_standings_race_1.json",
         standings_document(1, TEAMS[:1]))
+    old = raw / "league_standings" / "old"
+    put(old, "league_standings_race_2.json", standings_document(2, TEAMS[:2]))
+    os.utime(old / "league_standings_race_2.json", (1_000_000_000, 1_000_000_000))
     run(spark, "league_standings", raw, out)
     landed = landing.read_bronze(spark, "league_standings", str(out / "bronze"))
-    assert rows(landed, "race_number", F.size("Value.leaderboard")) == [(1, 3), (2, 3), (3, 3)]
+    assert rows(landed, "race_number", F.size("Value.leaderboard")) == [(1, 1), (2, 3), (3, 3)]
+    every = landing.read_all(spark, "league_standings", str(out / "bronze"))
+    assert every.count() == 5 and set(every.columns) >= {"season", "race_number", "batch", "path"}
+
+
+def cut(path, length):
+    path.write_text(path.read_text()[:length])
+
+
+def test_a_damaged_document_is_set_aside_and_its_correction_lands(spark, raw, tmp_path):
+    feeds = raw / "asset_snapshot"
+    cut(feeds / "asset_snapshot_race_2.json", 400)
+    put(feeds, "asset_snapshot_race_7.json", {"Data": {"Value": []}})
+    put(feeds, "asset_snapshot_latest.json", asset_document(1))
+    run(spark, "asset_snapshot", raw, tmp_path)
+    bronze = str(tmp_path / "bronze")
+    landed = landing.read_bronze(spark, "asset_snapshot", bronze, 2026)
+    assert rows(landed, "race_number") == [(1,), (3,)]
+    rejects = landing.read_rejects(spark, "asset_snapshot", bronze)
+    found = {r.path.rsplit("/", 1)[1]: r.reason for r in rejects.collect()}
+    assert found == {"asset_snapshot_race_2.json": "unreadable",
+                     "asset_snapshot_race_7.json": "no records",
+                     "asset_snapshot_latest.json": "no key in the name"}
+    put(feeds / "corrected", "asset_snapshot_race_2.json", asset_document(2))
+    run(spark, "asset_snapshot", raw, tmp_path)
+    landed = landing.read_bronze(spark, "asset_snapshot", bronze, 2026)
+    assert rows(landed, "race_number", F.size("Data.Value")) == [(1, 9), (2, 9), (3, 9)]
 
 
 def test_landed_documents_equal_a_batch_scan(spark, raw, tmp_path):
@@ -307,9 +338,9 @@ def test_landed_documents_equal_a_batch_scan(spark, raw, tmp_path):
 
 # --- the whole job ------------------------------------------------------------------------------
 
-def land_all(spark, raw, out):
+def land_all(spark, raw, out, season=2026):
     for dataset in documents.SCHEMAS:
-        run(spark, dataset, raw, out)
+        run(spark, dataset, raw, out, season)
     return {d: landing.read_bronze(spark, d, str(out / "bronze")) for d in documents.SCHEMAS}
 
 
@@ -318,7 +349,10 @@ def test_end_to_end_build_and_mart_refresh(spark, raw, tmp_path):
     write_race(raw, 5)  # not completed yet: must not be read
     landed = land_all(spark, raw, out)
     spark.sql("CREATE TABLE mart_team_values_latest (x INT) USING parquet")
-    job.build(spark, landed, str(raw / "reference"), str(out), 2026, date(2026, 3, 1), "b1", now())
+    built = job.build(
+        spark, landed, str(raw / "reference"), str(out), 2026, date(2026, 3, 1), "b1", now())
+    assert {(g["source"], g["related"]): g["n"] for g in built.optional_gaps} == {
+        ("team_race", "recorded_asset_value"): 2}
     assert not spark.catalog.tableExists("mart_team_values_latest")
     assert spark.table("asset_race").count() == 27
     mart = spark.table("mart_team_race")
@@ -357,7 +391,131 @@ def test_failed_build_publishes_nothing(spark, raw, tmp_path):
     put(raw / "asset_snapshot", "asset_snapshot_race_2.json", broken)
     landed = land_all(spark, raw, tmp_path)
     tables.drop_tables(spark, ["asset_race", "mart_team_race"])
-    with pytest.raises(Exception, match="null measure"):
+    with pytest.raises(quality.DataQualityError, match="null measure"):
         job.build(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1),
                   "bad", now())
     assert not spark.catalog.tableExists("asset_race")
+
+
+@pytest.fixture
+def no_tables(spark):
+    names = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
+    tables.drop_tables(spark, names)
+
+
+def built(spark, raw, out, landed, season=2026, name="b1"):
+    return job.build(spark, landed, str(raw / "reference"), str(out), season,
+                     date(season, 3, 1), name, now())
+
+
+def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path, no_tables):
+    cut(raw / "league_standings" / "league_standings_race_2.json", 300)
+    (raw / "asset_snapshot" / "asset_snapshot_race_3.json").unlink()
+    (raw / "detailed_teams" / "cat_team_2_race_1.json").unlink()
+    landed = land_all(spark, raw, tmp_path)
+    with pytest.raises(quality.DataQualityError) as stopped:
+        built(spark, raw, tmp_path, landed)
+    said = str(stopped.value)
+    assert said.startswith("3 missing documents")
+    for part in ("('asset_snapshot', 2026, 3", "('league_standings', 2026, 2",
+                 "('detailed_teams', 2026, 1, 'cat', 2)"):
+        assert part in said
+    assert not spark.catalog.tableExists("mart_team_race")
+    # The corrections alone are enough to go on.
+    write_race(raw / "again", 2)
+    for dataset in ("league_standings", "detailed_teams"):
+        for file in (raw / "again" / dataset).iterdir():
+            put(raw / dataset / "again", file.name, json.loads(file.read_text()))
+    put(raw / "asset_snapshot", "asset_snapshot_race_3.json", asset_document(3))
+    put(raw / "detailed_teams", "cat_team_2_race_1.json", team_document(TEAMS[2], 1))
+    built(spark, raw, tmp_path, land_all(spark, raw, tmp_path))
+    assert spark.table("mart_team_race").count() == 6
+
+
+def test_seasons_do_not_replace_each_other(spark, raw, tmp_path, no_tables):
+    calendar = (raw / "reference" / "races_2026.csv").read_text()
+    (raw / "reference" / "races_2027.csv").write_text(calendar.replace("2026", "2027"))
+    landed = land_all(spark, raw, tmp_path)
+    built(spark, raw, tmp_path, landed, 2026, "first")
+    write_race(raw / "next", 1)
+    write_race(raw / "next", 2)
+    put(raw / "next" / "asset_snapshot", "asset_snapshot_race_3.json", asset_document(3))
+    landed = land_all(spark, raw / "next", tmp_path, 2027)
+    assert rows(landed["league_standings"], "season", "race_number") == [
+        (2026, 1), (2026, 2), (2027, 1), (2027, 2)]
+    built(spark, raw, tmp_path, landed, 2027, "second")
+    both = {(2026,): 6, (2027,): 6}
+
+    def seasons(name):
+        return {(r.season,): r["count"] for r in spark.table(name).groupBy("season").count().collect()}
+
+    assert seasons("mart_team_race") == seasons("team_race") == both
+    # A repeat of one season, with another result, leaves the other alone.
+    put(raw / "league_standings" / "again", "league_standings_race_2.json",
+        standings_document(2, TEAMS[:2]))
+    landed = land_all(spark, raw, tmp_path)
+    built(spark, raw, tmp_path, landed, 2026, "third")
+    assert seasons("mart_team_race") == {(2026,): 5, (2027,): 6}
+    places = [f for f in spark.table("mart_team_race").inputFiles()]
+    assert {p.split("/")[-4] for p in places} <= {"second", "third"} or {
+        p.split("/")[-3] for p in places} <= {"second", "third", "mart_team_race"}
+    job.rebuild_marts(spark, str(tmp_path), date(2027, 3, 1), "fourth")
+    assert seasons("mart_team_race") == {(2026,): 5, (2027,): 6}
+
+
+def test_publishing_that_fails_half_way_leaves_every_table_readable(
+    spark, raw, tmp_path, no_tables, monkeypatch,
+):
+    landed = land_all(spark, raw, tmp_path)
+    built(spark, raw, tmp_path, landed, name="first")
+    names = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
+    before = {name: spark.table(name).count() for name in names}
+    publish, calls = job.publish, []
+
+    def failing(spark, name, *rest):
+        calls.append(name)
+        if len(calls) == 8:
+            raise OSError("the catalog is gone")
+        publish(spark, name, *rest)
+
+    monkeypatch.setattr(job, "publish", failing)
+    with pytest.raises(OSError, match="catalog"):
+        built(spark, raw, tmp_path, landed, name="second")
+    assert {name: spark.table(name).count() for name in names} == before
+    assert calls[:6] == list(V.KEYS) or set(calls[:6]) == set(V.KEYS)
+
+
+@pytest.mark.parametrize("write", [str, int, float], ids=["text", "whole", "decimal"])
+def test_feed_numbers_of_any_type_are_equal(spark, tmp_path, write):
+    document = team_document(TEAMS[0], 1)
+    team = document["Data"]["Value"]["userTeam"][0]
+    plain = json.loads(json.dumps(document))
+    for field in ("teamno", "usersubs", "usersubsleft", *CHIP_FLAGS):
+        team[field] = write(team[field])
+    team["finalfixtakengd"] = write(1)
+    for player in team["playerid"]:
+        for field in ("iscaptain", "ismgcaptain", "playerpostion", "isfinal"):
+            player[field] = write(player[field])
+    latest = spark.createDataFrame([("ann", 1, 1)], "user_guid STRING, team_no BIGINT, race_number BIGINT")
+
+    def prepared(document, folder):
+        put(folder, "ann_team_1_race_1.json", document)
+        found = documents.scan(spark, "detailed_teams", str(folder))
+        return [rows(documents.lineup_records(found, 2026)), rows(documents.finance_records(found, 2026)),
+                rows(documents.chip_usage(found, latest, 2026))]
+
+    assert prepared(document, tmp_path / "a") == prepared(plain, tmp_path / "b")
+    assert len(prepared(document, tmp_path / "a")[2]) == 2
+
+
+def test_a_fraction_in_a_whole_number_field_stops_the_build(spark, raw, tmp_path, no_tables):
+    feed = asset_document(2)
+    feed["Data"]["Value"][0]["GamedayPoints"] = "7.5"
+    put(raw / "asset_snapshot", "asset_snapshot_race_2.json", feed)
+    team = team_document(TEAMS[1], 1)
+    team["Data"]["Value"]["userTeam"][0]["playerid"][3]["isfinal"] = 0.5
+    put(raw / "detailed_teams", "bob_team_1_race_1.json", team)
+    landed = land_all(spark, raw, tmp_path)
+    with pytest.raises(quality.DataQualityError, match="lost fractions") as stopped:
+        built(spark, raw, tmp_path, landed)
+    assert "gameday_points" in str(stopped.value) and "isfinal" in str(stopped.value)
