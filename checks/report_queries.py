@@ -12,7 +12,7 @@ CHIPS = list(V.CHIP_FIELDS)
 @registered("""SELECT season, race_number, user_guid, team_no, team_name, race_points,
     league_race_rank FROM standings""", standings=STANDINGS)
 def latest_race_rank(league):
-    return overview.latest_race_rank(league.mart_team_race, league.races)
+    return overview.latest_race_rank(league.mart_team_race, league.races, league.loaded_races)
 
 
 LABEL = """CASE WHEN {c} <> 0 THEN concat(CASE WHEN {c} > 0 THEN '+' ELSE '' END,
@@ -35,7 +35,7 @@ LABEL = """CASE WHEN {c} <> 0 THEN concat(CASE WHEN {c} > 0 THEN '+' ELSE '' END
          AND x.race_number < (SELECT MAX(race_number) FROM mart_team_race y
                               WHERE y.season = m.season))""")
 def rank_movement(league):
-    return overview.rank_movement(league.mart_team_race, league.races)
+    return overview.rank_movement(league.mart_team_race, league.races, league.loaded_races)
 
 
 FULL = "asset_value IS NOT NULL AND remaining_budget IS NOT NULL AND total_wealth IS NOT NULL"
@@ -52,7 +52,7 @@ FULL = "asset_value IS NOT NULL AND remaining_budget IS NOT NULL AND total_wealt
            'remaining_budget', remaining_budget, 'Cash' FROM standings WHERE {FULL}""",
     standings=STANDINGS)
 def finance_components(league):
-    teams = views.standings(league.mart_team_race, league.races)
+    teams = views.standings(league.mart_team_race, league.races, league.loaded_races)
     return overview.finance_components(teams, "Team 7")
 
 
@@ -61,7 +61,7 @@ def finance_components(league):
     asset_value AS "Asset value ($m)", remaining_budget AS "Cash ($m)" FROM standings""",
     standings=STANDINGS)
 def standings_table(league):
-    return overview.standings_table(views.standings(league.mart_team_race, league.races))
+    return overview.standings_table(views.standings(league.mart_team_race, league.races, league.loaded_races))
 
 
 DIRECTORY = """
@@ -128,7 +128,7 @@ ORDER = """
 
 
 def _order(league):
-    ranked = views.standings(league.mart_team_race, league.races)
+    ranked = views.standings(league.mart_team_race, league.races, league.loaded_races)
     return chips.team_order(league.mart_team_chips, ranked)
 
 

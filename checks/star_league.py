@@ -11,9 +11,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pitlane import fixed_values as V
 from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank
 from pitlane.plans import marts
+from pitlane.plans.views import loaded_races
 from pitlane.sources.tables import stage
 
 AS_OF = date(2001, 9, 1)
@@ -96,7 +98,7 @@ class StarLeague:
             F.expr(SELECTED).alias("selected_percentage"),
             F.lit(None).cast("timestamp").alias("retrieved_at_utc"),
             F.lit(None).cast("timestamp").alias("feed_time_utc"),
-        ), "asset_race")
+        ), "asset_race", V.RACE_KEY)
 
     @cached_property
     def _team_sums(self) -> DataFrame:
@@ -189,7 +191,7 @@ class StarLeague:
             (F.col("k") + 1).alias("player_position"),
             F.when(~F.col("fix"), 0).when(F.col("k") == 6, 2).when(F.col("k") == 7, 1)
             .otherwise(0).cast("bigint").alias("is_final"),
-        ), "team_race_asset")
+        ), "team_race_asset", V.RACE_KEY)
 
     # --- marts --------------------------------------------------------------------------------
 
@@ -200,7 +202,11 @@ class StarLeague:
 
     @cached_property
     def mart_team_race(self) -> DataFrame:
-        return stage(self.build_team_race_mart(), "mart_team_race")
+        return stage(self.build_team_race_mart(), "mart_team_race", V.RACE_KEY)
+
+    @cached_property
+    def loaded_races(self) -> DataFrame:
+        return stage(loaded_races(self.mart_team_race).coalesce(1), "loaded_races")
 
     def build_team_chips(self) -> DataFrame:
         return marts.team_chips(self.team_race, self.team_chip_usage, self.chips, self.races,

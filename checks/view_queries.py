@@ -71,12 +71,14 @@ STANDINGS = """SELECT m.*, rank() OVER (PARTITION BY season ORDER BY cumulative_
 
 @registered(LATEST, standings=STANDINGS)
 def teams_latest(league):
-    return views.teams_latest(league.mart_team_race, league.races)
+    return views.teams_latest(
+        league.mart_team_race, league.races, loaded=league.loaded_races)
 
 
 @registered(LATEST + " WHERE lower(team_name) LIKE '%7%'", standings=STANDINGS)
 def teams_latest_filtered(league):
-    return views.teams_latest(league.mart_team_race, league.races, team_name="7")
+    return views.teams_latest(
+        league.mart_team_race, league.races, team_name="7", loaded=league.loaded_races)
 
 
 @registered("SELECT * FROM mart_team_chips")

@@ -57,7 +57,7 @@ def contains_fold(c, text: str) -> Column:
 
 
 def number_in_url(c, before: str, after: str) -> Column:
-    """The digits between two literal parts of a URL, null where there are none."""
+    """The digits between what two patterns match in a URL, null where there are none."""
     column = F.col(c) if isinstance(c, str) else c
     digits = F.regexp_extract(column, before + r"(\d+)" + after, 1)
     return F.when(digits != "", digits.try_cast("bigint"))
@@ -77,6 +77,10 @@ def all_of(conditions) -> Column:
     return reduce(and_, conditions, F.lit(True))
 
 
+def any_of(conditions) -> Column:
+    return reduce(or_, conditions, F.lit(False))
+
+
 def any_null(names) -> Column:
     return reduce(or_, [F.col(n).isNull() for n in names])
 

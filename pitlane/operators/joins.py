@@ -24,9 +24,9 @@ class CardinalityError(ValueError):
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most max_rows rows; reads no further than that, and once per frame."""
+    """Whether df has at most max_rows rows, counted once per frame and summed over its tasks."""
     if df not in _row_counts:
-        _row_counts[df] = df.limit(BROADCAST_ROWS + 1).count()
+        _row_counts[df] = df.count()
     return _row_counts[df] <= min(max_rows, BROADCAST_ROWS)
 
 

@@ -1,34 +1,65 @@
 """Ranks, positions and latest rows that do not sort a whole league in one task."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.operators.joins import attach_small, null_safe_join
+from pitlane.operators.joins import null_safe_join
 from pitlane.sources.tables import stage
 
 _TALLY = "__tally"
+#: Buckets for the scores between a number and its double.
+_FINENESS = 4096
+
+
+def score_bucket(score: Column) -> Column:
+    """A whole number that never falls as the score rises; null for null.
+
+    The scores between a number and its double share some thousand buckets, wherever they lie, so
+    fractions spread as well as large scores do.
+    """
+    size = F.abs(score)
+    power = F.floor(F.log2(size))
+    part = F.floor(size / F.pow(F.lit(2.0), power) * _FINENESS) - _FINENESS
+    bucket = (power + 1100) * _FINENESS + part
+    return F.when(score == 0, F.lit(0)).otherwise(F.signum(score) * bucket).cast("bigint")
 
 
 def competition_ranks(df: DataFrame, group: list[str], scores: dict[str, str]) -> DataFrame:
     """RANK() OVER (PARTITION BY group ORDER BY score DESC NULLS LAST) for {score: out}, skew-safe.
 
-    A window would put a whole league into one task. Instead equal scores are tallied (the tally is
-    a partial aggregate), the running count goes over the distinct scores of a group only, and the
-    places are joined back. The places are staged, so their number is known: few enough, and the
-    rows stay where they are; else the join spreads each score over salts.
+    A window would put a whole league into one task. Instead equal scores of all kinds are tallied in
+    one aggregate, which combines before its shuffle. Those ahead of a score are the ones in higher
+    buckets, summed over the buckets of a group, and the higher ones in its own bucket. The places
+    are joined back by a plain join, in which the runtime planner can split a score that very many
+    share. Nothing is written.
     """
+    kinds = list(scores)
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("__kind"), F.col(c).cast("double").alias("__score"))
+        for i, c in enumerate(kinds)
+    ])
+    tallies = (
+        df.select(*group, F.inline(pairs)).groupBy(*group, "__kind", "__score")
+        .agg(F.count(F.lit(1)).alias(_TALLY))
+        .withColumn("__bucket", score_bucket(F.col("__score")))
+    )
+    of = [*group, "__kind"]
+    above = Window.partitionBy(*of).orderBy(F.col("__bucket").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    higher = tallies.groupBy(*of, "__bucket").agg(F.sum(_TALLY).alias("__rows")).select(
+        *of, "__bucket", F.coalesce(F.sum("__rows").over(above), F.lit(0)).alias("__above"))
+    within = Window.partitionBy(*of, "__bucket").orderBy(
+        F.col("__score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = tallies.withColumn("__ahead", F.coalesce(F.sum(_TALLY).over(within), F.lit(0)))
+    places = null_safe_join(counted, higher, [*of, "__bucket"], "inner").select(
+        *of, "__score", (F.col("__above") + F.col("__ahead") + 1).cast("bigint").alias("__place"))
     ranked = df
-    for score, out in scores.items():
-        tallies = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias(_TALLY))
-        ahead = (
-            Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last())
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        places = tallies.select(
-            *group, score,
-            (F.coalesce(F.sum(_TALLY).over(ahead), F.lit(0)) + 1).cast("bigint").alias(out),
-        )
-        ranked = attach_small(ranked, stage(places, "places"), [*group, score], null_safe=True)
+    for i, (score, out) in enumerate(scores.items()):
+        own = places.filter(F.col("__kind") == i).select(
+            *group, F.col("__score").alias("__value"), F.col("__place").alias(out))
+        ranked = null_safe_join(
+            ranked.withColumn("__value", F.col(score).cast("double")), own, [*group, "__value"],
+            "inner").drop("__value")
     return ranked
 
 

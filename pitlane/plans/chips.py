@@ -45,11 +45,33 @@ def chip_label() -> Column:
     )
 
 
-def chip_matrix(chips: DataFrame, order: DataFrame, chip_ids: list[int]) -> DataFrame:
-    """One row per team, one column per chip. A chip that occurs twice in a team raises.
+def known_chips(chips: DataFrame) -> list[int]:
+    """The chips of the mart in order: one row per chip."""
+    return [r.chip_id for r in chips.select("chip_id").distinct().orderBy("chip_id").collect()]
 
-    The labels of a team, six at most, are gathered once and the columns are read out of the list.
+
+def races_so_far(chips: DataFrame) -> list[int]:
+    """1 to the latest observed race."""
+    return list(range(1, (latest_observed_race(chips).first().latest_race or 0) + 1))
+
+
+def _all_within(found: Column, wanted: list[int], what: str) -> Column:
+    """True, or an error if an array of numbers holds one that isn't wanted."""
+    outside = F.array_except(found, F.array(*[F.lit(n).cast("bigint") for n in wanted]))
+    fail = F.raise_error(F.concat(F.lit(f"{what} outside the columns: "), F.to_json(outside)))
+    return F.when(F.size(outside) > 0, fail.cast("boolean")).otherwise(F.lit(True))
+
+
+def chip_matrix(
+    chips: DataFrame, order: DataFrame, chip_ids: list[int] | None = None,
+) -> DataFrame:
+    """One row per team, one column per chip: those given, or those of the mart.
+
+    A chip that occurs twice in a team or has no column raises, and so does a team that occurs twice
+    in the order. The labels of a team, one per chip, are gathered once and the columns are read out
+    of the list.
     """
+    chip_ids = known_chips(chips) if chip_ids is None else chip_ids
     label = F.struct("chip_id", chip_label().alias("label"))
     teams = chips.groupBy(*V.TEAM_KEY).agg(
         _name(), F.max("last_observed_race").alias("last_observed_race"),
@@ -63,19 +85,23 @@ def chip_matrix(chips: DataFrame, order: DataFrame, chip_ids: list[int]) -> Data
             f"chip_{chip}")
 
     numbered = order.select(*V.TEAM_KEY, "display_order")
-    return teams.select(*TEAM, "last_observed_race", *[cell(chip) for chip in chip_ids]).join(
-        numbered, V.TEAM_KEY, "left"
+    whole = teams.filter(_all_within(F.col("cells.chip_id"), chip_ids, "chips"))
+    return join_one_to_one(
+        whole.select(*TEAM, "last_observed_race", *[cell(chip) for chip in chip_ids]), numbered,
+        V.TEAM_KEY, "display order",
     ).select(
         *TEAM, "last_observed_race", *[f"chip_{chip}" for chip in chip_ids], "display_order"
     ).orderBy("season", "display_order")
 
 
-def chip_timing_matrix(chips: DataFrame, race_numbers: list[int]) -> DataFrame:
+def chip_timing_matrix(chips: DataFrame, race_numbers: list[int] | None = None) -> DataFrame:
     """One row per team, one column per race, holding the chips used there in chip order.
 
-    Every team has its six rows in the mart, so one aggregate by team gives blank rows as well; the
-    list it gathers holds those six at most. The race columns are then read out of the list.
+    The races are those given, or all up to the latest one; a use in another race raises. Every team
+    has a row per chip in the mart, so one aggregate by team gives blank rows as well; the list it
+    gathers holds those at most. The race columns are then read out of the list.
     """
+    race_numbers = races_so_far(chips) if race_numbers is None else race_numbers
     use = F.struct("chip_id", "race_used", "chip_short_name")
     used = F.collect_list(F.when(F.col("chip_status") == "used", use))
     teams = chips.groupBy(*V.TEAM_KEY).agg(_name(), F.sort_array(used).alias("uses"))
@@ -85,7 +111,8 @@ def chip_timing_matrix(chips: DataFrame, race_numbers: list[int]) -> DataFrame:
         names = F.transform(there, lambda u: u.chip_short_name)
         return F.array_join(names, V.CHIP_SEPARATOR).alias(f"r{race}")
 
-    return teams.select(*TEAM, *[used_at(race) for race in race_numbers])
+    whole = teams.filter(_all_within(F.col("uses.race_used"), race_numbers, "races"))
+    return whole.select(*TEAM, *[used_at(race) for race in race_numbers])
 
 
 def latest_observed_race(chips: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pitlane.functions.columns import coerce_integer
 from pitlane.operators import prepare, quality
 from pitlane.operators.joins import attach_small
 from pitlane.plans import marts
+from pitlane.plans.views import loaded_races
 from pitlane.sources import csv_tables, documents
 from pitlane.sources.tables import drop_tables, publish, stage, write_table
 
@@ -133,12 +134,17 @@ def source_tables(
     }
 
 
+def _within(df: DataFrame) -> list[str]:
+    """Facts by race lie together by race inside their season."""
+    return [c for c in ("race_number",) if c in df.columns]
+
+
 def build_marts(tables: dict[str, DataFrame], folder: str, as_of: date) -> dict[str, DataFrame]:
     """Write the five marts below folder; later ones read the written earlier ones."""
     races = tables["races"]
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{folder}/{name}", ["season"])
+        return write_table(df, f"{folder}/{name}", ["season"], _within(df))
 
     built = {}
     built["mart_asset_value_changes_by_race"] = written(
@@ -162,6 +168,7 @@ def build_marts(tables: dict[str, DataFrame], folder: str, as_of: date) -> dict[
         marts.team_chips(tables["team_race"], tables["team_chip_usage"], tables["chips"], races,
                          built["mart_team_race"]),
     )
+    built["loaded_races"] = written("loaded_races", loaded_races(built["mart_team_race"]))
     return built
 
 
@@ -190,7 +197,8 @@ def build(
         F.current_timestamp() if retrieved_at is None else retrieved_at,
     )
     tables = {
-        name: write_table(df, f"{folder}/{name}", [] if name in DIMENSIONS else ["season"])
+        name: write_table(df, f"{folder}/{name}", [] if name in DIMENSIONS else ["season"],
+                          [] if name in DIMENSIONS else _within(df))
         for name, df in source.items()
     }
     gaps = quality.raise_on_violation(tables)

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
 from pitlane.functions.columns import exact_mean
-from pitlane.operators.joins import attach_small
+from pitlane.operators.joins import attach_small, fits
 from pitlane.operators.prepare import completed_races
+from pitlane.plans.views import rows_of_last_races
 
 ASSET_KEY = V.KEYS["asset_race"]
+#: Chips that a season may have.
+MOST_CHIPS = 1000
 
 
 # --- assets -----------------------------------------------------------------------------------
@@ -75,10 +78,9 @@ def team_assets_latest(
 
     Both rows of a swap stay. `assets` is the latest-asset mart.
     """
-    latest = roster.groupBy("season").agg(F.max("race_number").alias("race_number"))
-    current = attach_small(
-        roster.select(*V.TEAM_RACE_KEY, "asset_id"), latest, V.RACE_KEY, proof=races
-    )
+    current = rows_of_last_races(
+        roster.select(*V.TEAM_RACE_KEY, "asset_id"), races, 1
+    ).drop("recency")
     # The standings row decides what is shown: without one, team number and name are null.
     named = team_race.select(*V.TEAM_RACE_KEY, "team_name", F.lit(True).alias("__stands"))
     with_team = current.join(named, V.TEAM_RACE_KEY, "left")
@@ -164,11 +166,13 @@ def league_averages(metrics: DataFrame) -> DataFrame:
     """One row per race: the values a whole-race window average would repeat on every row.
 
     As a grouped aggregate it combines on the map side, so the largest race costs no more than the
-    others. Means of money are taken over decimals.
+    others. Means are taken over decimals, which add up alike in any order.
     """
     return metrics.groupBy(*V.RACE_KEY).agg(
-        F.round(F.avg("race_points"), 2).alias("league_average_race_points"),
-        F.round(F.avg("cumulative_points"), 2).alias("league_average_cumulative_points"),
+        F.round(exact_mean("race_points", 4), 2).cast("double")
+        .alias("league_average_race_points"),
+        F.round(exact_mean("cumulative_points", 4), 2).cast("double")
+        .alias("league_average_cumulative_points"),
         F.round(exact_mean("total_wealth", 1), 1).cast("double")
         .alias("league_average_total_wealth"),
     )
@@ -195,44 +199,56 @@ def team_race_mart(metrics: DataFrame, races: DataFrame) -> DataFrame:
 
 # --- chips ------------------------------------------------------------------------------------
 
-def chip_grid(teams: DataFrame, chips: DataFrame) -> DataFrame:
-    """One row per team and chip. The chips reach each team as one array value, not by a join."""
-    columns = ["chip_id", F.col("display_name").alias("chip_name"), "chip_short_name",
-               "available_first_race"]
-    every_chip = chips.agg(F.collect_list(F.struct(*columns))).scalar()
-    return teams.withColumn("__chips", every_chip).select(*teams.columns, F.inline("__chips"))
-
-
 def team_chips(
     team_race: DataFrame, usage: DataFrame, chips: DataFrame, races: DataFrame, mart: DataFrame,
 ) -> DataFrame:
     """Every chip of every team with its status, race, score and league average.
 
-    Scores and race names are joined to the uses, which are few, before these meet the grid.
+    A team's uses, one per chip at most, and its scores, one per race at most, are gathered by team
+    and meet its row there. Only then are the chips spread out, so the grid is never moved. The chips
+    are a declared dimension; its size is checked before its rows become part of the plan.
     """
+    if not fits(chips, MOST_CHIPS):
+        raise ValueError(f"more than {MOST_CHIPS} chips")
+    every_chip = F.array(*[
+        F.struct(F.lit(c.chip_id).cast("bigint").alias("chip_id"),
+                 F.lit(c.display_name).cast("string").alias("chip_name"),
+                 F.lit(c.chip_short_name).cast("string").alias("chip_short_name"),
+                 F.lit(c.available_first_race).cast("bigint").alias("available_first_race"))
+        for c in chips.collect()
+    ])
     teams = team_race.groupBy(*V.TEAM_KEY).agg(
         F.max_by("team_name", "race_number").alias("team_name"),
         F.max("race_number").alias("last_observed_race"),
     )
-    scores = mart.select(
-        *V.TEAM_KEY, F.col("race_number").alias("race_used"),
-        F.col("race_points").alias("chip_race_points"), "league_average_race_points",
-    )
     places = races.select(
         "season", F.col("race_number").alias("race_used"),
         F.col("race_name").alias("race_used_name"),
         F.col("race_short_name").alias("race_used_short_name"),
     )
     uses = attach_small(
-        usage.select(*V.TEAM_KEY, "chip_id", "race_used")
-        .join(scores, [*V.TEAM_KEY, "race_used"], "left"),
-        places, ["season", "race_used"], "left", proof=races,
-    )
+        usage.select(*V.TEAM_KEY, "chip_id", "race_used"), places, ["season", "race_used"], "left",
+        proof=races,
+    ).groupBy(*V.TEAM_KEY).agg(F.collect_list(F.struct(
+        "chip_id", "race_used", "race_used_name", "race_used_short_name")).alias("uses"))
+    scores = mart.groupBy(*V.TEAM_KEY).agg(F.collect_list(F.struct(
+        "race_number", "race_points", "league_average_race_points")).alias("scores"))
     status = (
         F.when(F.col("race_used").isNull(), "unused")
         .when(F.col("race_used") > F.col("last_observed_race"), "upcoming").otherwise("used")
     )
-    return chip_grid(teams, chips).join(uses, [*V.TEAM_KEY, "chip_id"], "left").select(
+    first = lambda found: F.get(found, F.lit(0))
+    grid = (
+        teams.join(uses, V.TEAM_KEY, "left").join(scores, V.TEAM_KEY, "left")
+        .withColumn("chip", F.explode(every_chip))
+        .withColumn("use", first(F.filter("uses", lambda u: u.chip_id == F.col("chip.chip_id"))))
+        .withColumn("score", first(F.filter(
+            "scores", lambda s: s.race_number == F.col("use.race_used"))))
+        .select(*teams.columns, "chip.*", "use.race_used", "use.race_used_name",
+                "use.race_used_short_name", F.col("score.race_points").alias("chip_race_points"),
+                "score.league_average_race_points")
+    )
+    return grid.select(
         "season", "user_guid", "team_no", "team_name", "last_observed_race", "chip_id",
         "chip_name", "chip_short_name", "available_first_race", "race_used",
         status.alias("chip_status"), "race_used_name", "race_used_short_name",

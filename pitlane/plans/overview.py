@@ -1,41 +1,36 @@
 """Reports on the latest standings: ranks, movement, finances."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
 from pitlane.functions.columns import movement_label
-from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank, competition_ranks
-from pitlane.plans.views import latest_race_rows
+from pitlane.plans.views import latest_race_rows, rows_of_last_races
 
 
-def latest_race_rank(mart: DataFrame, races: DataFrame) -> DataFrame:
+def latest_race_rank(
+    mart: DataFrame, races: DataFrame, loaded: DataFrame | None = None,
+) -> DataFrame:
     """Rank of each team by the points of its season's latest race."""
+    rows = mart.select(*V.TEAM_RACE_KEY, "team_name", "race_points")
     return competition_rank(
-        latest_race_rows(mart, races), ["season"], "race_points", "league_race_rank"
+        latest_race_rows(rows, races, loaded), ["season"], "race_points", "league_race_rank"
     ).select("season", "race_number", "user_guid", "team_no", "team_name", "race_points",
              "league_race_rank")
 
 
-def last_two_races(mart: DataFrame) -> DataFrame:
-    """The latest race of each season and the league's race before it, as recency 1 and 2."""
-    newest = Window.partitionBy("season").orderBy(F.desc("race_number"))
-    return (
-        mart.select(*V.RACE_KEY).distinct()
-        .withColumn("recency", F.row_number().over(newest)).filter("recency <= 2")
-    )
-
-
-def rank_movement(mart: DataFrame, races: DataFrame) -> DataFrame:
+def rank_movement(
+    mart: DataFrame, races: DataFrame, loaded: DataFrame | None = None,
+) -> DataFrame:
     """Season and race ranks at the latest race against the league's previous race.
 
     Both races are ranked in full, then each team's two rows meet in one aggregate by team. A
     team that was absent from the previous race has no movement.
     """
-    rows = attach_small(
-        mart.select(*V.TEAM_RACE_KEY, "team_name", "cumulative_points", "race_points"),
-        last_two_races(mart), V.RACE_KEY, proof=races,
+    rows = rows_of_last_races(
+        mart.select(*V.TEAM_RACE_KEY, "team_name", "cumulative_points", "race_points"), races, 2,
+        loaded,
     )
     ranked = competition_ranks(
         rows, V.RACE_KEY,

@@ -4,11 +4,11 @@ Text filters are skipped when empty, numeric ones when None. Every order is tota
 order comes first, then keys that settle ties, with nulls where they are stated.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.functions.columns import all_of, contains_fold
+from pitlane.functions.columns import all_of, any_of, contains_fold
 from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank
 
@@ -90,19 +90,54 @@ def teams_by_race(
     )
 
 
-def latest_race_rows(mart: DataFrame, races: DataFrame) -> DataFrame:
+def loaded_races(mart: DataFrame) -> DataFrame:
+    """The races that a table has rows of, from its partitions where it is laid out by race."""
+    return mart.select(*V.RACE_KEY).distinct()
+
+
+def last_races(loaded: DataFrame, count: int) -> DataFrame:
+    """The last races of each season with their recency, 1 being the latest."""
+    newest = Window.partitionBy("season").orderBy(F.desc("race_number"))
+    return (
+        loaded.select(*V.RACE_KEY).distinct()
+        .withColumn("recency", F.row_number().over(newest)).filter(F.col("recency") <= count)
+    )
+
+
+def rows_of_last_races(
+    rows: DataFrame, races: DataFrame, count: int, loaded: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the last races of each season, with their recency.
+
+    `loaded` is a table of the loaded races. Its last ones, a few rows per season, become part of the
+    plan, so partitions, files and row groups of other races are passed over. Without it they are
+    found in `rows` and broadcast, which passes over partitions if the table is laid out by race.
+    """
+    if loaded is None:
+        return attach_small(rows, last_races(loaded_races(rows), count), V.RACE_KEY, proof=races)
+    last = last_races(loaded, count).collect()
+    here = [(F.col("season") == r.season) & (F.col("race_number") == r.race_number) for r in last]
+    recency = F.coalesce(*[F.when(c, r.recency) for c, r in zip(here, last)], F.lit(0))
+    return rows.filter(any_of(here)).withColumn("recency", recency)
+
+
+def latest_race_rows(
+    mart: DataFrame, races: DataFrame, loaded: DataFrame | None = None,
+) -> DataFrame:
     """The rows of each season's latest loaded race."""
-    latest = mart.groupBy("season").agg(F.max("race_number").alias("race_number"))
-    return attach_small(mart, latest, V.RACE_KEY, "left_semi", proof=races)
+    return rows_of_last_races(mart, races, 1, loaded).drop("recency")
 
 
-def standings(mart: DataFrame, races: DataFrame) -> DataFrame:
+def standings(
+    mart: DataFrame, races: DataFrame, loaded: DataFrame | None = None,
+) -> DataFrame:
     """Teams at each season's latest race with their championship rank."""
     return competition_rank(
-        latest_race_rows(mart, races), ["season"], "cumulative_points", "league_rank"
+        latest_race_rows(mart, races, loaded), ["season"], "cumulative_points", "league_rank"
     )
 
 
+# The columns of this query.
 TEAMS_LATEST = [
     "season", "race_number", "race_name", "user_guid", "team_no", "team_name", "race_points",
     "race_rank", "cumulative_points", "league_rank", "asset_value", "remaining_budget",
@@ -112,10 +147,12 @@ TEAMS_LATEST = [
 
 def teams_latest(
     mart: DataFrame, races: DataFrame, season: int | None = None, team_name: str | None = None,
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Ranks are within the season, so the season is filtered before them and names after."""
     seasons = _kept(mart, _equals("season", season))
-    ranked = standings(seasons, races).select(*TEAMS_LATEST)
+    ranked = standings(seasons.select(*[c for c in TEAMS_LATEST if c != "league_rank"]), races,
+                       loaded).select(*TEAMS_LATEST)
     return _kept(ranked, _contains("team_name", team_name)).orderBy(
         "season", "league_rank", "user_guid", "team_no"
     )

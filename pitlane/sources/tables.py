@@ -47,16 +47,16 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
+def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write df to the shared folder, partitioned if asked for, and read it back.
 
     This cuts the lineage at a place that survives lost executors, and gives the planner the true
     size of what follows.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _balanced(df, by or []).write.partitionBy(*by or []).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
@@ -76,9 +76,19 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
-def write_table(df: DataFrame, path: str, by: list[str]) -> DataFrame:
-    """Write df as a whole to path and read it back."""
-    _balanced(df, by).write.partitionBy(*by).mode("overwrite").parquet(path)
+def write_table(
+    df: DataFrame, path: str, by: list[str], within: list[str] | None = None,
+) -> DataFrame:
+    """Write df as a whole to path and read it back.
+
+    Rows are gathered and sorted by partition and then by `within`, so a file and a row group hold
+    few of its values and a filter on it passes over the others.
+    """
+    near = [*by, *(within or [])]
+    gathered = _balanced(df, near)
+    if within:
+        gathered = gathered.sortWithinPartitions(*near)
+    gathered.write.partitionBy(*by).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

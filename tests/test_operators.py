@@ -2,6 +2,7 @@
 
 import random
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -52,12 +53,72 @@ def check_ranks(spark):
     assert sorted((r.key, r.place) for r in ranked.collect()) == brute_ranks(records)
 
 
-def test_competition_rank_broadcast(spark):
+def test_competition_rank(spark):
     check_ranks(spark)
 
 
-def test_competition_rank_salted(spark, tiny_bound):
-    check_ranks(spark)
+def test_score_buckets_never_fall(spark):
+    r = random.Random(1)
+    scores = [0.0, -0.0, 1.0, 2.0, 4.0, 1e-300, 1e300, 8.0, 7.999999999999999, 0.1, 0.3]
+    scores += [r.uniform(-5, 5) * 10 ** r.randint(-8, 8) for _ in range(2000)]
+    scores += [2.0**k * (1 + d) for k in range(-30, 30) for d in (-1e-16, 0.0, 1e-15)]
+    df = spark.createDataFrame([(s,) for s in scores], "score DOUBLE")
+    found = sorted(tuple(x) for x in df.select("score", ranking.score_bucket(F.col("score"))).collect())
+    buckets = [b for _, b in found]
+    assert buckets == sorted(buckets)
+    near = df.sparkSession.range(2000).select((F.col("id") / 2000.0 + 100.0).alias("score"))
+    assert near.select(ranking.score_bucket(F.col("score"))).distinct().count() > 20
+
+
+def test_ranks_of_one_season_of_fractions_are_spread(spark, tmp_path):
+    """All scores distinct: the window over a group's scores runs in many parts."""
+    df = spark.range(4000).select(
+        F.lit(2026).alias("season"), "id", (F.col("id") * 0.37 + 1000.123).alias("score"))
+    ranked = ranking.competition_rank(df, ["season"], "score", "place")
+    expected = [(i, 4000 - i) for i in range(4000)]
+    assert rows(ranked, "id", "place") == sorted(expected, key=repr)
+    parts = df.select(ranking.score_bucket(F.col("score")).alias("b")).groupBy("b").count()
+    largest = parts.agg(F.max("count")).first()[0]
+    assert largest < 4000 / 100
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_views_write_nothing(spark, league):
+    """Building the views, twice, leaves the shared folder as it is."""
+    from pitlane.plans import overview, views
+
+    mart, races, loaded = league.mart_team_race, league.races, league.loaded_races
+    league.mart_team_chips, league.mart_team_assets_latest
+
+    def folders():
+        base = Path(spark.conf.get("spark.checkpoint.dir")) / spark.sparkContext.applicationId
+        return sorted(p.name for p in base.iterdir())
+
+    before = folders()
+    for _ in range(2):
+        views.teams_latest(mart, races, loaded=loaded).count()
+        views.standings(mart, races).count()
+        overview.rank_movement(mart, races, loaded).count()
+        overview.latest_race_rank(mart, races, loaded).count()
+        league.build_team_chips().count()
+        league.build_team_assets_latest().count()
+    assert folders() == before
+
+
+def test_the_latest_race_is_read_alone(spark, league):
+    from pitlane.plans import overview, views
+
+    def scan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    latest = scan(views.teams_latest(league.mart_team_race, league.races, loaded=league.loaded_races))
+    assert "PartitionFilters: [" in latest and "race_number" in latest.split("PartitionFilters: [")[1]
+    moved = scan(overview.rank_movement(league.mart_team_race, league.races, league.loaded_races))
+    read = [part.split("]")[0] for part in moved.split("PartitionFilters: [")[1:]]
+    assert read and all("race_number" in part for part in read)
+    unknown = scan(views.latest_race_rows(league.mart_team_race, league.races))
+    assert "dynamicpruning" in unknown
 
 
 def test_two_ranks_at_once(spark):

@@ -5,8 +5,7 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry
 from checks.compare import differences, duck
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from checks.registry import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -56,6 +56,16 @@ def test_chip_matrix_labels_order_and_guard(spark, some_chips):
                             ("c", "✕", "✕", "✕", None)]
     with pytest.raises(Exception, match="duplicate chip rows"):
         chips.chip_matrix(some_chips.union(some_chips), order, [1, 2, 3]).collect()
+    # Columns come from the data, a seventh chip too; given ones must hold every chip.
+    assert [c for c in chips.chip_matrix(some_chips, order).columns if c.startswith("chip_")] == [
+        "chip_1", "chip_2", "chip_3"]
+    seventh = some_chips.union(some_chips.filter("chip_id = 3").withColumn(
+        "chip_id", F.lit(7).cast("bigint")).select(some_chips.columns))
+    assert "chip_7" in chips.chip_matrix(seventh, order).columns
+    with pytest.raises(Exception, match="chips outside the columns"):
+        chips.chip_matrix(seventh, order, [1, 2, 3]).collect()
+    with pytest.raises(Exception, match="display order: duplicate keys"):
+        chips.chip_matrix(some_chips, order.union(order)).collect()
     with pytest.raises(Exception, match="duplicate keys"):
         chips.team_order(some_chips, ranked.union(ranked))
 
@@ -68,6 +78,11 @@ def test_chip_timing_headers_and_blank_columns(spark, some_chips):
     assert named.columns[4:] == ["R1", "R2 · Spa", "R3"]
     shown = chips.without_blank_columns(named, chips.TEAM)
     assert shown.columns[4:] == ["R2 · Spa", "R3"]
+    # Races 1 to the latest one by default; a use elsewhere is no reason to lose it.
+    assert chips.chip_timing_matrix(some_chips).columns[4:] == [
+        f"r{n}" for n in chips.races_so_far(some_chips)]
+    with pytest.raises(Exception, match="races outside the columns"):
+        chips.chip_timing_matrix(some_chips, [1, 2]).collect()
     # Without any used chip every team still has its blank row.
     none = chips.chip_timing_matrix(some_chips.filter("user_guid = 'c'"), [1, 2])
     assert rows(none, "user_guid", "r1", "r2") == [("c", "", "")]
