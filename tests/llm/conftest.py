@@ -1,12 +1,8 @@
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-from tests_llm_support import document_table, edge_rows  # noqa: E402
+from pitlane.llm.common import find_on_executors
 
-from pitlane.llm.common import find_on_executors  # noqa: E402
+from .support import document_table, edge_rows
 
 
 @pytest.fixture(scope="session", autouse=True)

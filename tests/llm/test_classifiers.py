@@ -8,7 +8,7 @@ from pitlane.llm import toxicity
 from pitlane.llm.linear import Leader, log_odds, sigmoid, train
 from pitlane.llm.quality import features, keep_good, places, quality_scores, scorer, shape
 from pitlane.llm.toxicity import VOTERS, LabelModel, toxicity_scores, unpacked
-from tests_llm_support import document_table
+from .support import document_table
 
 SF = "/root/testdata/sf0.01"
 

@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.queries import QUERIES, SQL
-from tests_llm_support import document_table, texts
+from .support import document_table, texts
 
 SF = "/root/testdata/sf0.001"
 

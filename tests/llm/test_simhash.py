@@ -10,7 +10,7 @@ from pitlane.llm.components import components
 from pitlane.llm.simhash import (
     fingerprint, fingerprint_links, keep_one_each, near_duplicate_components, near_links,
 )
-from tests_llm_support import document_table
+from .support import document_table
 
 
 def slow(text, shingle=4):
