@@ -1,14 +1,16 @@
 """Preparation steps, over league tables turned back into feed form and over the given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import registered
 from checks.star_league import AS_OF
 from pitlane import fixed_values as V
 from pitlane.functions import columns as C
-from pitlane.operators import prepare
+from pitlane.operators import prepare, quality
 from pitlane.sources import documents
-from pitlane.sources.tables import stack
+from pitlane.sources.tables import shared_dir, stack
 
 KEY = "season, race_number, user_guid, team_no"
 
@@ -29,6 +31,30 @@ def landing_new_documents(league):
     )
 
 
+@registered(f"""
+    SELECT 'asset_snapshot' AS dataset, season, race_number, CAST(NULL AS VARCHAR) AS user_guid,
+           CAST(NULL AS BIGINT) AS team_no
+    FROM (SELECT season, CAST(unnest(generate_series(1, race_number + 1)) AS BIGINT) AS race_number
+          FROM completed)
+    WHERE (season, race_number) NOT IN (
+        SELECT (season, race_number) FROM asset_race WHERE (season + race_number) % 5 <> 0)
+    UNION ALL
+    SELECT 'league_standings', season, race_number, NULL, NULL FROM races
+    WHERE race_date < DATE '{AS_OF}' AND (season, race_number) NOT IN (
+        SELECT (season, race_number) FROM team_race WHERE race_number % 4 <> 1)
+    UNION ALL
+    SELECT 'detailed_teams', season, race_number, user_guid, team_no
+    FROM team_race JOIN races USING (season, race_number)
+    WHERE race_date < DATE '{AS_OF}' AND recorded_asset_value IS NULL""")
+def missing_documents(league):
+    """Of a league where some price feeds, standings and team documents have not landed."""
+    team_race = league.team_race
+    return prepare.missing_documents(
+        league.races, AS_OF, league.asset_race.filter("(season + race_number) % 5 != 0"),
+        team_race.filter("race_number % 4 != 1"),
+        team_race.filter("recorded_asset_value IS NOT NULL"), team_race)
+
+
 @registered(f"""SELECT season, race_number, race_name, race_short_name,
     CAST(race_date AS VARCHAR) AS race_date, sprint_weekend FROM races
     WHERE race_date < DATE '{AS_OF}'""")
@@ -72,8 +98,9 @@ def enrich_roster(league):
 
 @registered("SELECT * FROM team_race")
 def enrich_team_race(league):
-    """Runs on rows that are enriched already: the earlier columns are replaced."""
-    return prepare.enrich_team_race(league.team_race, league.team_race)
+    """Rows without money get it from details that hold nothing but their key and the money."""
+    details = league.team_race.select(*V.TEAM_RACE_KEY, *prepare.FINANCE_ADDED)
+    return prepare.enrich_team_race(league.team_race.drop(*prepare.FINANCE_ADDED), details)
 
 
 @registered(f"""SELECT {KEY}, team_name, CAST(asset_id AS VARCHAR) AS asset_id
@@ -86,22 +113,13 @@ def enrich_unmatched_rows(league):
     )
 
 
-@registered("""SELECT CAST(s.asset_id AS VARCHAR) AS asset_id, COUNT(*) AS roster_rows,
-    COUNT(a.asset_id) AS priced_rows
-    FROM team_race_asset s LEFT JOIN asset_race a USING (season, race_number, asset_id)
-    GROUP BY 1""")
+@registered("""SELECT CAST(asset_id AS VARCHAR) AS asset_id, COUNT(*) AS roster_rows,
+    COUNT(is_captain) AS detailed_rows FROM team_race_asset GROUP BY 1""")
 def key_type_alignment(league):
-    """A text id and a whole-number id joined as text; rows are counted by key before the join."""
-    key = V.KEYS["asset_race"]
-    counted = _plain_roster(league).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    priced = league.asset_race.select(
-        *V.RACE_KEY, F.col("asset_id").cast("string").alias("asset_id"),
-        F.lit(1).alias("priced"),
-    )
-    return counted.join(priced, key, "left").groupBy("asset_id").agg(
-        F.sum("n").alias("roster_rows"),
-        F.sum(F.when(F.col("priced") == 1, F.col("n")).otherwise(0)).alias("priced_rows"),
-    )
+    """Rosters with text ids get the details of lineups with whole-number ids."""
+    enriched = prepare.enrich_roster(_plain_roster(league), league.team_race_asset)
+    return enriched.groupBy("asset_id").agg(
+        F.count(F.lit(1)).alias("roster_rows"), F.count("is_captain").alias("detailed_rows"))
 
 
 # --- feed rows --------------------------------------------------------------------------------
@@ -155,22 +173,60 @@ def chip_unpivot(league):
     return documents.used_chips(wide)
 
 
-@registered("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer",
-            views=False)
+def _part_feed(league):
+    """An asset feed document per part; every seventh one has a fraction in its points."""
+    held = {
+        "PlayerId": F.col("p_partkey"), "DisplayName": F.col("p_name"),
+        "PositionName": F.col("p_brand"), "Value": F.col("p_retailprice"),
+        "GamedayPoints": F.when(F.col("p_partkey") % 7 == 0, F.concat("p_size", F.lit(".5")))
+        .otherwise(F.col("p_size").cast("string")),
+        "old_Value": F.col("p_type"), "new_value": F.col("p_type"),
+    }
+    none = F.lit(None).cast("string")
+    statistics = F.struct(*[none.alias(field) for field in V.ASSET_STATISTICS])
+    record = F.struct(
+        *[held.get(field, none).cast("string").alias(field) for field in V.ASSET_COLUMNS],
+        statistics.alias("AdditionalStats"))
+    time = F.struct(F.lit("3/8/2026 5:04:09 PM").alias("UTCTime"))
+    return league.table("part").select(
+        F.col("p_size").cast("bigint").alias("race_number"),
+        F.struct(F.array(record).alias("Value"), time.alias("FeedTime")).alias("Data"))
+
+
+def _part_assets(league):
+    return documents.asset_race(_part_feed(league), 2026, F.current_timestamp())
+
+
+@registered("""SELECT CAST(c_custkey AS VARCHAR) AS user_guid, '1' AS team_no,
+    c_mktsegment AS cur_rank, c_name AS team_name FROM customer""", views=False)
 def drop_personal_fields(league):
-    """Customers as an array of records whose account field is removed inside the array."""
-    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                      F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("account"))
-    held = league.table("customer").select(F.array(record).alias("records"))
-    clean = F.transform("records", lambda r: r.dropFields("account"))
-    return held.select(F.inline(clean))
+    """Customers as leaderboards of one row, with a personal field."""
+    row = F.struct(
+        F.col("c_custkey").cast("string").alias("user_guid"), F.lit("1").alias("team_no"),
+        F.col("c_mktsegment").alias("cur_rank"), F.col("c_name").alias("team_name"),
+        F.lit("secret").alias(V.STANDINGS_PERSONAL))
+    boards = league.table("customer").select(
+        F.struct(F.array(row).alias("leaderboard")).alias("Value"))
+    clean = documents.without_personal_fields(boards, "league_standings")
+    return clean.select(F.inline("Value.leaderboard"))
 
 
 @registered("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events", views=False)
 def json_field_extract(league):
-    return league.table("events").select(
-        "event_id", F.from_json("props", "k BIGINT").alias("p")
-    ).select("event_id", "p.k")
+    """Events written as feed documents, some hundred to a file, and scanned as documents."""
+    events = league.table("events").select(
+        "event_id", F.get_json_object("props", "$.k").alias("k"))
+    record = F.struct(F.col("event_id").cast("string").alias("PlayerId"), F.col("k").alias("Value"))
+    document = F.to_json(F.struct(F.struct(F.array(record).alias("Value")).alias("Data")))
+    files = F.lit(1 + events.count() // 500)
+    # Some hundred documents, as many as a file is meant to hold.
+    arrays = events.groupBy(F.pmod(F.xxhash64("event_id"), files).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(document), ","), F.lit("]")).alias("text"))
+    path = f"{shared_dir(league.spark)}/{league.spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    arrays.write.partitionBy("file").text(path)
+    found = documents.scan(league.spark, "asset_snapshot", path)
+    return documents.asset_records(found, 2026, F.current_timestamp()).select(
+        F.col("PlayerId").cast("bigint").alias("event_id"), C.coerce_integer("Value").alias("k"))
 
 
 # --- columns ----------------------------------------------------------------------------------
@@ -180,18 +236,19 @@ def reorder_columns(league):
     return prepare.columns_first(league.table("supplier"), ["s_name", "s_nationkey"])
 
 
-@registered("""SELECT p_partkey AS asset_id, p_name AS display_name, p_brand AS asset_type, p_type,
-    p_size, p_retailprice AS value FROM part""", views=False)
+@registered("""SELECT p_partkey AS asset_id, p_name AS display_name, p_brand AS asset_type,
+    p_retailprice AS value, CAST(p_size AS BIGINT) AS race_number FROM part""", views=False)
 def rename_columns_map(league):
-    return league.table("part").withColumnsRenamed({
-        "p_partkey": "asset_id", "p_name": "display_name", "p_brand": "asset_type",
-        "p_retailprice": "value", "p_absent": "never",
-    })
+    return _part_assets(league).select(
+        "asset_id", "display_name", "asset_type", "value", "race_number")
 
 
-@registered("SELECT p_partkey, p_name, p_brand, p_size FROM part", views=False)
+@registered("SELECT p_partkey AS asset_id, p_name AS display_name FROM part", views=False)
 def drop_if_present(league):
-    return league.table("part").drop("p_type", "p_retailprice", "p_absent")
+    """Of four columns that the feed has, those that are left after preparation."""
+    assets = _part_assets(league)
+    some = ["asset_id", "display_name", *V.ASSET_DROPPED]
+    return assets.select(*[c for c in some if c in assets.columns])
 
 
 @registered("""SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
@@ -233,6 +290,22 @@ def coerce_integer(league):
     )
 
 
+@registered("""
+    SELECT 'lost fraction' AS "check", 'lineitem' AS source, 'raw' AS related, COUNT(*) AS n
+    FROM lineitem WHERE l_orderkey % 8 = 2
+    UNION ALL
+    SELECT 'lost fraction', 'asset_snapshot', c,
+           CASE WHEN c = 'gameday_points' THEN (SELECT COUNT(*) FROM part WHERE p_partkey % 7 = 0)
+                ELSE 0 END
+    FROM (SELECT unnest(""" + str(V.ASSET_INTEGERS) + ") AS c)", views=False)
+def dq_lost_fractions(league):
+    """Fractions among texts that must hold whole numbers, counted before they are coerced."""
+    return quality.lost_fractions({
+        "lineitem": _raw(league).select("raw"),
+        "asset_snapshot": documents.whole_number_texts(_part_feed(league), "asset_snapshot"),
+    })
+
+
 @registered(f"""SELECT l_orderkey, l_linenumber, {RAW} AS raw,
     CASE WHEN l_orderkey % 8 = 2 THEN CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) + 0.7E0
          WHEN l_orderkey % 8 IN (3, 4, 7) THEN CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) END

@@ -165,14 +165,24 @@ def chip_matrix(league):
     return chips.chip_matrix(league.mart_team_chips, _order(league), CHIPS)
 
 
-@registered("SELECT season, user_guid, team_no, team_name, " + ", ".join(
+TIMING = "SELECT season, user_guid, team_no, team_name, " + ", ".join(
     f"""COALESCE(string_agg(chip_short_name, ' / ' ORDER BY chip_id)
-    FILTER (WHERE chip_status = 'used' AND race_used = {r}), '') AS r{r}""" for r in RACES)
-    + " FROM mart_team_chips GROUP BY 1, 2, 3, 4")
+    FILTER (WHERE chip_status = 'used' AND race_used = {r}), '') AS r{r}""" for r in RACES
+) + " FROM mart_team_chips GROUP BY 1, 2, 3, 4"
+
+
+@registered(TIMING)
 def chip_timing_matrix(league):
     return chips.chip_timing_matrix(league.mart_team_chips, RACES)
 
 
+@registered(TIMING)
+def chip_timing_without_blanks(league):
+    """Two races more, in which no chip was used: their columns go, the months stay."""
+    matrix = chips.chip_timing_matrix(league.mart_team_chips, [*RACES, 13, 14])
+    return chips.without_blank_columns(matrix, [*chips.TEAM, *[f"r{n}" for n in RACES]])
+
+
 @registered("SELECT MAX(last_observed_race) AS latest_race FROM mart_team_chips")
 def chip_latest_race(league):
     return chips.latest_observed_race(league.mart_team_chips)

@@ -98,13 +98,14 @@ def name_contains(league):
     )
 
 
-_JSON = ["season", "asset_id", "asset_type", "points_race_number", "current_value",
-         "latest_value_change"]
+# The columns of a record, in order.
+_JSON = ["season", "asset_id", "asset_type", "display_name", "points_race_number",
+         "price_feed_race_number", "race_causing_change", "current_value", "previous_value",
+         "latest_value_change", "overall_points", "gameday_points", "selected_percentage"]
 
 
-@registered("""SELECT season, asset_id, CAST(to_json({'season': season, 'asset_id': asset_id,
-    'asset_type': asset_type, 'points_race_number': points_race_number,
-    'current_value': current_value, 'latest_value_change': latest_value_change}) AS VARCHAR)
-    AS record FROM mart_assets_latest""")
+@registered("SELECT season, asset_id, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in _JSON)
+            + "}) AS VARCHAR) AS record FROM mart_assets_latest")
 def records_as_json(league):
-    return league.mart_assets_latest.select("season", "asset_id", as_json(_JSON).alias("record"))
+    mart = views.assets_latest(league.mart_assets_latest)
+    return mart.select("season", "asset_id", as_json(mart.columns).alias("record"))

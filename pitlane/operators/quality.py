@@ -104,6 +104,11 @@ def null_measures(tables: Tables) -> DataFrame:
     return _counted(tables, _null_rules("null measure", V.REQUIRED))
 
 
+def null_counts(tables: Tables) -> DataFrame:
+    """Nulls of every column of each table."""
+    return _counted(tables, _null_rules("nulls", {name: df.columns for name, df in tables.items()}))
+
+
 def optional_gaps(tables: Tables) -> DataFrame:
     """Nulls of measures that may be absent; reported, never fatal."""
     return _counted(tables, _null_rules("optional gap", V.OPTIONAL))
