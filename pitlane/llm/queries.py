@@ -11,7 +11,7 @@ from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.mtree import top_products
 from pitlane.llm.packing import pack
 from pitlane.llm.quality import quality_scores
-from pitlane.llm.secret_scan import scan
+from pitlane.llm.secret_scan import KINDS, SCOPE, scan
 from pitlane.llm.sharding import shard_documents
 from pitlane.llm.simhash import near_duplicate_components
 from pitlane.llm.toxicity import toxicity_scores
@@ -131,7 +131,58 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(documents(spark, folder), labels)
 
 
-@registered()
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _near(role: str) -> str:
+    return f"""EXISTS (SELECT 1 FROM spans p WHERE p.n = w.n AND p.role = '{role}'
+            AND p.start - {SCOPE} <= w.finish AND w.start <= p.finish + {SCOPE})"""
+
+
+_KIND_ROWS = ",\n".join(
+    f"({n}, {_quoted(k.name)}, {_quoted(k.role)}, {_quoted(k.pattern)})" for n, k in enumerate(KINDS))
+
+
+@registered(f"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS n, doc_id,
+        replace(coalesce(text, ''), chr(57344), chr(57345)) AS t
+      FROM documents),
+    kinds(kind, name, role, pattern) AS (VALUES {_KIND_ROWS}),
+    parts AS (
+      SELECT n, kind, name, role, string_split(regexp_replace(t, '(' || pattern || ')',
+        chr(57344) || '\\1' || chr(57344), 'g'), chr(57344)) AS p
+      FROM texts, kinds),
+    found AS (
+      SELECT n, kind, name, role, unnest(list_transform(range(2, len(p) + 1, 2), lambda i: {{
+        'start': list_sum(list_transform(p[1:i - 1], lambda x: length(x))), 'match': p[i]}})) AS f
+      FROM parts),
+    spans AS (
+      SELECT n, kind, name, role, f.start::INTEGER AS start,
+        (f.start + length(f.match))::INTEGER AS finish
+      FROM found
+      WHERE CASE kind WHEN 0 THEN regexp_matches(f.match, {_quoted(KINDS[0].keep)})
+        WHEN 1 THEN length(f.match) >= 18
+        WHEN 5 THEN regexp_matches(f.match, '[a-z]') AND regexp_matches(f.match, '[A-Z]')
+          AND regexp_matches(f.match, '[0-9]')
+        ELSE TRUE END),
+    kept AS (
+      SELECT * FROM spans w WHERE kind < 3
+        OR CASE role WHEN 'secret' THEN {_near('identifier')}
+          WHEN 'identifier' THEN {_near('secret')}
+          ELSE {_near('identifier')} AND {_near('secret')} END),
+    written AS (
+      SELECT n, count(*) FILTER (WHERE kind = 0) AS n_assign,
+        count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+        string_agg(name || ':' || start || ':' || finish, ',' ORDER BY start, kind)
+          FILTER (WHERE kind < 3) AS base,
+        string_agg(name || ':' || start || ':' || finish, ',' ORDER BY start, kind) AS spans
+      FROM kept GROUP BY n)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+      coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+      coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN written USING (n)""")
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the secrets in them."""
     return scan(documents(spark, folder))
