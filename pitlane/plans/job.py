@@ -21,7 +21,7 @@ from pitlane.operators.joins import attach_small
 from pitlane.plans import marts
 from pitlane.plans.views import loaded_races
 from pitlane.sources import csv_tables, documents
-from pitlane.sources.tables import drop_tables, publish, stage, write_table
+from pitlane.sources.tables import drop_tables, publish, stage, staging, write_table
 
 DIMENSIONS = ["races", "chips"]
 
@@ -187,7 +187,15 @@ def build(
     spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
     season: int, as_of: date, build_id: str, retrieved_at: Column | None = None,
 ) -> Build:
-    """Run the whole build of a season and publish it."""
+    """Run the whole build of a season and publish it. What it staged is removed at the end."""
+    with staging(spark):
+        return _built(spark, landed, reference_folder, out, season, as_of, build_id, retrieved_at)
+
+
+def _built(
+    spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
+    season: int, as_of: date, build_id: str, retrieved_at: Column | None,
+) -> Build:
     folder = f"{out}/{build_id}"
     reference = reference_tables(spark, reference_folder)
     require_documents(landed, reference["races"], season, as_of)
@@ -218,4 +226,5 @@ def rebuild_marts(spark: SparkSession, out: str, as_of: date, build_id: str) ->
     tables = {name: spark.table(name) for name in V.KEYS}
     # One row per published season.
     seasons = [r.season for r in tables["team_race"].select("season").distinct().collect()]
-    _publish(spark, build_marts(tables, folder, as_of), folder, seasons)
+    with staging(spark):
+        _publish(spark, build_marts(tables, folder, as_of), folder, seasons)

@@ -20,8 +20,10 @@ def scan_prefix(
 
     The digits keep `team_race_` from also taking `team_race_asset_1.csv`.
     """
-    table = scan(spark, folder, schema, pathGlobFilter=f"{prefix}[0-9]*.csv")
-    numbered = re.escape(prefix) + r"\d+\.csv$"
-    if not any(re.search("/" + numbered, name) for name in table.inputFiles()):
+    names = f"{prefix}[0-9]*.csv"
+    numbered = F.col("_metadata.file_name").rlike("^" + re.escape(prefix) + r"\d+\.csv$")
+    # One row per file, without its content.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
+    if files.select("length", "_metadata").filter(numbered).isEmpty():
         return None
-    return table.filter(F.col("_metadata.file_name").rlike("^" + numbered))
+    return scan(spark, folder, schema, pathGlobFilter=names).filter(numbered)

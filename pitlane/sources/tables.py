@@ -1,12 +1,15 @@
 """Writing tables: shared staging, partition replacement, catalog tables."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _named: dict[str, str] = {}
+_staged: list[str] = []
 _EMPTY = "_empty"
 
 
@@ -55,10 +58,23 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
     _balanced(df, by or []).write.partitionBy(*by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, what was staged inside; for work whose results are written elsewhere."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            delete(spark, path)
+        del _staged[before:]
+
+
 def _balanced(df: DataFrame, by: list[str]) -> DataFrame:
     """Rows gathered by partition value, for writing.
 

@@ -1,6 +1,7 @@
 import json
 import os
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import (
@@ -349,10 +350,13 @@ def test_end_to_end_build_and_mart_refresh(spark, raw, tmp_path):
     write_race(raw, 5)  # not completed yet: must not be read
     landed = land_all(spark, raw, out)
     spark.sql("CREATE TABLE mart_team_values_latest (x INT) USING parquet")
+    staged = Path(tables.shared_dir(spark)) / spark.sparkContext.applicationId
+    before = sorted(staged.glob("*"))
     built = job.build(
         spark, landed, str(raw / "reference"), str(out), 2026, date(2026, 3, 1), "b1", now())
     assert {(g["source"], g["related"]): g["n"] for g in built.optional_gaps} == {
         ("team_race", "recorded_asset_value"): 2}
+    assert sorted(staged.glob("*")) == before
     assert not spark.catalog.tableExists("mart_team_values_latest")
     assert spark.table("asset_race").count() == 27
     mart = spark.table("mart_team_race")
