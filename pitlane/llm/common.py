@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pitlane.sources.tables import stage
 
-__all__ = ["REMEMBERED", "Remembered", "delete", "documents", "find_on_executors", "map_texts",
+__all__ = ["REMEMBERED", "Remembered", "documents", "find_on_executors", "map_texts",
            "plain_text", "stage"]
 
 #: Most words or pieces of text of which a Python worker remembers the result, twice.
@@ -19,6 +19,7 @@ REMEMBERED = 300_000
 #: Longer ones are not remembered.
 LONGEST_REMEMBERED = 64
 
+
 def find_on_executors(spark: SparkSession) -> None:
     """Let executors that have this package in the same place find it.
 
@@ -28,12 +29,6 @@ def find_on_executors(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder that is no longer needed, wherever the session keeps it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

@@ -12,8 +12,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import delete
-from pitlane.sources.tables import shared_dir
+from pitlane.sources.tables import delete, shared_dir
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:

@@ -300,8 +300,8 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
 
     worst = first.filter(F.col("rank") == best).select(F.col("query").alias("row"), F.col("score"))
     bounded = asked.join(worst, "row", "left").select(
-        "row", "vec_id", "vector", F.coalesce("score", F.lit(NONE).cast("long")).alias("floor"), "block",
-        "cell")
+        "row", "vec_id", "vector", F.coalesce("score", F.lit(NONE).cast("long")).alias("floor"),
+        "block", "cell")
 
     def elsewhere(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row per query and tree that may hold something better; not of the query's own cell."""
