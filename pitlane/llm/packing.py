@@ -7,6 +7,7 @@ of open sequences with that gap becomes smallest. That keeps gaps of all sizes a
 comes later. A sequence is opened only if no open one has room.
 """
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -21,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pitlane.llm.bpe import VOCABULARY, Encoder, Vocabulary, vocabulary_file
+from pitlane.llm.bpe import VOCABULARY, Encoder, encoder_of, vocabulary_file
 from pitlane.llm.common import stage
 
 SEQUENCE = 1024
 END = 2
 #: Pieces that one task packs; a group leaves some sequences open, a few in ten thousand at this size.
 GROUP = 1 << 16
+#: The library gives up on a run of about a million white-space characters; from here on it isn't used.
+LONG_RUN = 100_000
+_LONG_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 
 
 def cut(length: int, sequence: int) -> Iterator[tuple[int, int]]:
@@ -72,14 +76,24 @@ def sum_of_squares(sizes: np.ndarray, sequence: int) -> tuple[np.ndarray, np.nda
 @cache
 def _tokens(spec: str) -> Callable[[str], np.ndarray]:
     """Texts to ids by a library that merges as the vocabulary does, and several times faster than
-    Python can; it is built once per Python worker."""
-    vocabulary = Vocabulary(spec)
+    Python can; it is built once per Python worker. Texts that it can't take go to the exact encoder."""
+    encoder = encoder_of(spec)
+    vocabulary = encoder.vocabulary
     ranks = {word.encode("latin-1"): i for i, word in enumerate(vocabulary.words)}
     added = {token: len(ranks) + i for i, token in enumerate(vocabulary.added)}
     library = tiktoken.Encoding(
         "packing", pat_str=Encoder.PIECES, mergeable_ranks=ranks, special_tokens=added)
     ids = np.array([*vocabulary.ids, *vocabulary.added.values()], "<u4")
-    return lambda text: ids[library.encode_to_numpy(text, allowed_special="all")]
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) < LONG_RUN or not _LONG_RUN.search(text):
+            try:
+                return ids[library.encode_to_numpy(text, allowed_special="all")]
+            except ValueError:
+                pass
+        return np.frombuffer(encoder.encode_bytes(text), "<u4")
+
+    return encode
 
 
 def pieces(

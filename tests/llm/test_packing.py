@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from pitlane.llm.bpe import VOCABULARY
 from pitlane.llm.packing import cut, pack, sum_of_squares
+from .support import document_table
 
 
 def test_documents_are_cut_into_full_sequences_after_the_first():
@@ -74,3 +75,17 @@ def test_every_piece(edge, group):
 
 def test_empty(empty):
     assert pack(empty).collect() == []
+
+
+def test_runs_of_over_a_million_spaces(spark):
+    rows = [(0, "a" + " " * 1_200_000 + "b"), (1, "\n" * 1_200_000), (2, "x" + " \t\u3000" * 400_000),
+            (3, " " * 150_000 + "y"), (4, "short")]
+    library = Tokenizer.from_file(VOCABULARY)
+    expected = Counter()
+    for i, text in rows:
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        for n, (start, length) in enumerate(cut(len(ids), 1024)):
+            data = struct.pack(f"<{length}I", *ids[start:start + length])
+            expected[i, n, start, length, zlib.crc32(data)] += 1
+    found = pack(document_table(spark, rows)).collect()
+    assert Counter(tuple(r[:5]) for r in found) == expected
