@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
 Many weak voters look at each document: lexicons of whole words, patterns of word beginnings, and
-how dense their hits are. A vote is toxic, clean or none. How often each combination of votes occurs
-is counted over all documents, and a generative label model is fitted to these counts: how accurate
-each voter is and, in a tree of the strongest ties between voters of one class, how they correlate.
-Its posterior is the label that a linear classifier on hashed words and votes is trained on.
+how dense their hits are, in the whole text and in the densest stretch of it. A vote is toxic, clean
+or none. How often each combination of votes occurs is counted over all documents, and a generative
+label model is fitted to these counts: how accurate each voter is and, in a tree of the strongest
+ties between voters of one class, how they correlate. Its posterior is the label that a linear
+classifier on hashed words and votes is trained on.
 
 The entries of the lexicons come from labelled documents that aren't held out, and so do the counts
 that tell the label model which of its two classes is the toxic one.
@@ -41,6 +42,9 @@ LEAST_LIFT = 6.0
 #: Hits per thousand words from which a voter says toxic, and below which clean, and the least hits
 #: that make it say toxic. A long text hits something by chance, so hits alone say little.
 DENSE, SPARSE, LEAST_HITS = 4.0, 1.0, 2
+#: A stretch of so many words that has so many hits is voted on by itself too, so that a passage
+#: isn't lost in a long text; each voter says the worse of both.
+STRETCH, STRETCH_HITS = 100, 5
 BITS = 16
 EPOCHS = 4
 ROUNDS = 50
@@ -131,12 +135,24 @@ class Reader:
         words = text.split()
         codes = np.array(list(map(self.codes.__getitem__, words)), np.int64)
         hits = codes >> 48
-        hits = hits[hits > 0]
+        at = np.flatnonzero(hits > 0)
+        hits = hits[at]
+        votes = self._vote(hits, len(words))
+        if len(hits) >= STRETCH_HITS:
+            ends = np.searchsorted(at, at + STRETCH)
+            dense = (ends - np.arange(len(at))).argmax()
+            if ends[dense] - dense >= STRETCH_HITS:
+                votes = np.maximum(votes, self._vote(hits[dense:ends[dense]], min(STRETCH, len(words))))
+        return codes, votes
+
+    @staticmethod
+    def _vote(hits: np.ndarray, words: int) -> np.ndarray:
+        """The votes on a number of words, from the voters that each hit in them is of."""
         per_voter = (hits[:, None] >> np.arange(VOTERS - 1) & 1).sum(axis=0)
         found = np.append(per_voter, len(hits))
-        density = 1000 * found / max(len(words), 1)
+        density = 1000 * found / max(words, 1)
         toxic = (density >= DENSE) & (found >= LEAST_HITS)
-        return codes, np.where(toxic, 2, np.where(density < SPARSE, 0, 1))
+        return np.where(toxic, 2, np.where(density < SPARSE, 0, 1))
 
     def votes(self, text: str) -> int:
         """The votes as one number, three values a voter."""

@@ -149,3 +149,18 @@ def test_votes_count_over_all_documents(edge, spark):
     labels = odd_labels(spark, rows)
     model = toxicity.count_votes(docs, labels, {"0:idiot": 0, "4:idio": 3})
     assert model.counts.sum() + model.known.sum() == len(rows)
+
+
+def test_a_passage_in_a_long_text_is_voted_toxic():
+    bad = ["idiot", "moron", "loser", "scum", "clown"]
+    reader = toxicity.Reader({f"0:{w}": n % 3 for n, w in enumerate(bad)} | {"4:idio": 3, "5:moron": 4})
+    body = ["word"] * 20_000
+    passage = (["idiot", "moron", "loser", "it"] * 7)[:25] + ["is"] * 25
+    for place in (0, 9_000, 20_000):
+        votes = reader.read(" ".join(body[:place] + passage + body[place:]))[1]
+        assert (votes[[0, 1, 2, 3, 4, VOTERS - 1]] == 2).all()
+    # As many hits far apart, or fewer together, are no passage.
+    apart = " ".join(w for n in range(19) for w in ["idiot"] + ["word"] * 1_000)
+    assert reader.read(apart)[1].max() < 2
+    assert reader.read(" ".join(body + ["idiot"] * (toxicity.STRETCH_HITS - 1)))[1].max() < 2
+    assert (reader.read(" ".join(body))[1] == 0).all()
