@@ -34,7 +34,7 @@ TRAINED_ON = 8_192
 BEGINNINGS = (4, 5, 6)
 #: Whole-word lexicons that the entries are dealt out to.
 LEXICONS = 3
-#: Most entries of a kind, and the least that an entry needs: toxic documents, and how much more
+#: Most entries of a kind, and the least that an entry needs: different toxic texts, and how much more
 #: often it is in toxic ones.
 MOST_ENTRIES = 4096
 LEAST_TOXIC = 4
@@ -71,8 +71,12 @@ def marks(word: str) -> list[str]:
 def lexicons(sample: DataFrame) -> Entries:
     """Entry -> the number of its voter, from labelled texts (target, text).
 
-    Documents are counted by entry in the executors; what comes back is bounded.
+    Equal texts count as one, with the mean of their targets, so that copies don't fill the lexicons.
+    They are counted by entry in the executors; what comes back is bounded.
     """
+    sample = stage(
+        sample.groupBy(F.sha2("text", 256).alias("digest"))
+        .agg(F.avg("target").alias("target"), F.any_value("text").alias("text")), "labelled")
     schema = T.StructType([T.StructField("mark", T.StringType()), sample.schema["target"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +336,7 @@ def count_votes(docs: DataFrame, labels: DataFrame, entries: Entries) -> LabelMo
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Entries, np.ndarray]:
     """The lexicons and the classifier's weights."""
-    entries = lexicons(stage(
-        labelled_texts(docs, labels, "toxic", ~held_out(), LABELLED), "labelled"))
+    entries = lexicons(labelled_texts(docs, labels, "toxic", ~held_out(), LABELLED))
     if not entries:
         return entries, np.zeros(SIZE + 1)
     model = count_votes(docs, labels, entries)

@@ -164,3 +164,14 @@ def test_a_passage_in_a_long_text_is_voted_toxic():
     assert reader.read(apart)[1].max() < 2
     assert reader.read(" ".join(body + ["idiot"] * (toxicity.STRETCH_HITS - 1)))[1].max() < 2
     assert (reader.read(" ".join(body))[1] == 0).all()
+
+
+def test_copies_count_once_in_the_lexicons(spark):
+    """A third of the labelled rows copies one long text, whose words would fill a lexicon."""
+    r = random.Random(11)
+    long = " ".join(f"{n}filler" for n in range(toxicity.MOST_ENTRIES + 1_000))
+    plain = lambda: " ".join(r.choice("the of and to a in is it".split()) for _ in range(20))
+    rows = [(long, 1.0)] * 30 + [(f"{plain()} scum {n}", 1.0) for n in range(20)]
+    rows += [(f"{plain()} {n}", 0.0) for n in range(40)]
+    found = toxicity.lexicons(spark.createDataFrame(rows, "text string, target double"))
+    assert "0:scum" in found and "0:7filler" not in found
