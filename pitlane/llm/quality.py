@@ -99,10 +99,12 @@ def labelled_texts(
 ) -> DataFrame:
     """doc_id, target and text of at most `most` labelled documents, chosen by a hash of doc_id.
 
-    Labels that aren't 0 or 1 and rows without an id are left out. An id with several labels has
-    their mean, and one with several texts the smallest.
+    Only labels of ids that docs has are chosen from. Labels that aren't 0 or 1 and rows without an
+    id are left out. An id with several labels has their mean, and one with several texts the
+    smallest.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & usable)
+    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & usable).join(
+        docs.select("doc_id"), "doc_id", "left_semi")
     chosen = (
         known.groupBy("doc_id").agg(F.avg(label).alias("target"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -113,8 +115,8 @@ def labelled_texts(
     return met.groupBy("doc_id", "target").agg(F.min("text").alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable, most: int = TRAINED_ON) -> np.ndarray:
-    """The weights, trained in one task on the bounded sample; all zero if there is none."""
+def fit(docs: DataFrame, labels: DataFrame, usable, most: int = TRAINED_ON) -> np.ndarray | None:
+    """The weights, trained in one task on the bounded sample; None if there is none."""
     fields = [T.StructField("at", T.ArrayType(T.IntegerType())),
               T.StructField("values", T.ArrayType(T.FloatType()))]
     sample = labelled_texts(docs, labels, "quality", usable, most)
@@ -126,11 +128,13 @@ def fit(docs: DataFrame, labels: DataFrame, usable, most: int = TRAINED_ON) -> n
         data = [(at, values.astype(float), target) for at, values, target in zip(
             rows["at"], rows["values"], rows["target"], strict=True)]
         weights = fitted(data)
-        used = np.flatnonzero(weights)
+        used = np.union1d(np.flatnonzero(weights), size - 1)
         return pd.DataFrame({"place": used, "weight": weights[used]})
 
     one = examples.groupBy(F.lit("all").alias("sample"))
     found = one.applyInPandas(learn, "place long, weight double").toPandas()
+    if found.empty:
+        return None
     weights = np.zeros(size)
     weights[found["place"]] = found["weight"]
     return weights
@@ -158,6 +162,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     score is 0.5 for all. A null id counts as an empty one, a null text too; repeated rows stay.
     """
     weights = fit(docs, labels, ~held_out())
+    if weights is None:
+        weights = np.zeros((1 << BITS) + 1)
     scored = score_documents(docs.select("doc_id", "text"), weights)
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score",
@@ -165,9 +171,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float) -> DataFrame:
-    """The rows of docs, with all their columns, that the classifier scores at `cut` or above."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        fit(docs, labels, ~held_out()).astype(np.float32))
+    """The rows of docs, with all their columns, that the classifier scores at `cut` or above.
+
+    Raises if there are documents but none with a usable label that isn't held out: nothing could be
+    told about them then. An empty table gives an empty one.
+    """
+    weights = fit(docs, labels, ~held_out())
+    if weights is None:
+        if docs.isEmpty():
+            return docs
+        raise ValueError("no labelled document to fit the quality classifier on")
+    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     schema, place = docs.schema, docs.columns.index("text")
 
     def run(batches):

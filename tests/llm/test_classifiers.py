@@ -3,10 +3,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pitlane.llm import toxicity
 from pitlane.llm.linear import Leader, log_odds, sigmoid, train
-from pitlane.llm.quality import features, keep_good, places, quality_scores, scorer, shape
+from pitlane.llm.quality import (
+    features, keep_good, labelled_texts, places, quality_scores, scorer, shape,
+)
 from pitlane.llm.toxicity import VOTERS, LabelModel, toxicity_scores, unpacked
 from .support import document_table
 
@@ -175,3 +178,20 @@ def test_copies_count_once_in_the_lexicons(spark):
     rows += [(f"{plain()} {n}", 0.0) for n in range(40)]
     found = toxicity.lexicons(spark.createDataFrame(rows, "text string, target double"))
     assert "0:scum" in found and "0:7filler" not in found
+
+
+def test_the_sample_is_drawn_from_labels_with_documents(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2_000)], "doc_id long, quality int")
+    docs = document_table(spark, [(i, f"text {i}") for i in [*range(0, 2_000, 100), 5_000, None]])
+    for most, taken in ((10, 10), (100, 20)):
+        assert labelled_texts(docs, labels, "quality", F.lit(True), most).count() == taken
+
+
+def test_nothing_to_fit_on_is_an_error(edge, empty, spark):
+    rows, docs = edge
+    labels = odd_labels(spark, rows)
+    for none in (labels.limit(0), labels.withColumn("quality", F.lit(None).cast("int")),
+                 labels.filter("doc_id = 99999")):
+        with pytest.raises(ValueError, match="no labelled document"):
+            keep_good(docs, none, 0.7)
+        assert keep_good(empty, none, 0.7).collect() == []
