@@ -8,6 +8,7 @@ import corpus_pipeline
 from pitlane.llm.bpe import token_digests
 from pitlane.llm.common import documents, find_on_executors
 from pitlane.llm.exact_dedup import exact_duplicates
+from pitlane.llm.lexical import rank_documents
 from pitlane.llm.mtree import top_products
 from pitlane.llm.packing import pack
 from pitlane.llm.quality import quality_scores
@@ -206,6 +207,40 @@ def op5_mtree_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+@registered("""
+    WITH found AS (
+      SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(translate(text,
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+      FROM documents WHERE text IS NOT NULL),
+    sized AS (SELECT doc_id, d, t, len(t) AS n FROM found WHERE len(t) > 0),
+    corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sized),
+    asked AS (
+      SELECT i, item_id, term, count(*) AS times FROM (
+        SELECT item_id, row_number() OVER () AS i, unnest(regexp_extract_all(translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark)
+      GROUP BY ALL),
+    postings AS (
+      SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM sized)
+      WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM postings, corpus GROUP BY term, docs),
+    scored AS (
+      SELECT i, item_id, doc_id, d, sum(times * w * ((1000000000 * tf)
+        // (1000 * tf + 12 * (75 + (25 * n * docs) // length))))::BIGINT AS score
+      FROM postings JOIN weights USING (term) JOIN asked USING (term) JOIN sized USING (d), corpus
+      GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS rank
+      FROM scored WHERE score > 0) WHERE rank <= 20""")
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents of every item of the benchmark."""
+    return rank_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @registered(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the pipeline over all documents."""
