@@ -11,6 +11,7 @@ from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.lexical import rank_documents
 from pitlane.llm.mtree import top_products
 from pitlane.llm.packing import pack
+from pitlane.llm.prefix_trie import conversation_trie
 from pitlane.llm.quality import quality_scores
 from pitlane.llm.secret_scan import KINDS, SCOPE, scan
 from pitlane.llm.sharding import shard_documents
@@ -241,6 +242,57 @@ def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return rank_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+@registered("""
+    WITH one_byte AS (
+      SELECT list(v ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(list_concat([b::BIGINT], range(8)),
+          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(b))),
+    turns AS (
+      SELECT conv_id AS c, turn,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+      FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+      SELECT c, list({'x': x, 'words': words} ORDER BY turn NULLS FIRST, x) AS s
+      FROM turns GROUP BY c),
+    heads AS (
+      SELECT c, s, xor(list_reduce(list_concat([4294967295::BIGINT],
+          list_transform(regexp_extract_all(hex(encode(c::VARCHAR)), '..'),
+            lambda h: ('0x' || h)::BIGINT)),
+        lambda v, b: xor(t[(xor(v, b) & 255) + 1], v >> 8)), 4294967295) % 4 AS h
+      FROM own, one_byte),
+    rebuilt AS (
+      SELECT a.c, list_concat(coalesce(b.s, [])[1:h], a.s[h + 1:]) AS s
+      FROM heads a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+    members AS (
+      SELECT c, d, sha256(array_to_string(list_transform(s[1:d], lambda e: e.x), ',')) AS node,
+        CASE WHEN d > 0 THEN sha256(array_to_string(list_transform(s[1:d - 1], lambda e: e.x), ','))
+          END AS above,
+        CASE WHEN d > 0 THEN s[d].words ELSE 0 END AS words, d = len(s) AS ends
+      FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+      SELECT node, any_value(above) AS above, any_value(d) AS depth, min(c) AS conv_id,
+        count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), ''))
+          AS ends_sha256
+      FROM members GROUP BY node),
+    families AS (SELECT above AS node, count(*) AS n_children FROM nodes GROUP BY above),
+    sums AS (
+      SELECT m.node, sum(saved)::BIGINT AS saved_tokens,
+        count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+      FROM nodes n JOIN members m ON m.c = n.conv_id AND m.d <= n.depth
+        LEFT JOIN families f ON f.node = n.node
+      GROUP BY m.node)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+      coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums s ON s.node = n.node LEFT JOIN families f ON f.node = n.node
+      LEFT JOIN nodes p ON p.node = n.above""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct sequence of first turns of the rebuilt conversations."""
+    return conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 @registered(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the pipeline over all documents."""
