@@ -11,6 +11,7 @@ from pitlane.llm.exact_dedup import exact_duplicates
 from pitlane.llm.lexical import rank_documents
 from pitlane.llm.mtree import top_products
 from pitlane.llm.packing import pack
+from pitlane.llm.pii import personal_data
 from pitlane.llm.prefix_trie import conversation_trie
 from pitlane.llm.quality import quality_scores
 from pitlane.llm.secret_scan import KINDS, SCOPE, scan
@@ -293,6 +294,12 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
 
 
+@registered()
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the personal data in them."""
+    return personal_data(documents(spark, folder))
+
+
 @registered(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the pipeline over all documents."""
