@@ -277,18 +277,20 @@ def known_values(
         known = stage(known.unionByName(added), "known")
 
 
-def _links(places: DataFrame, docs: DataFrame) -> DataFrame:
-    """The graph: kind, value, pattern, n, total."""
+def _links(places: DataFrame, docs: DataFrame, support: int) -> DataFrame:
+    """The graph: kind, value, pattern, n, total; without patterns of too few values to be trusted."""
     each = places.select(F.explode("places").alias("p"))
     met = stage(
         each.select("p.kind", "p.value", F.explode("p.contexts").alias("c"))
         .groupBy("kind", "value", F.col("c.pattern").alias("pattern"), F.col("c.word").alias("word"))
         .agg(F.count(F.lit(1)).alias("n")), "met")
-    words = stage(met.select("word").distinct(), "words")
+    shared = stage(met.groupBy(*_PATTERN, "word").count().filter(F.col("count") >= support), "shared")
+    words = stage(shared.select("word").distinct(), "words")
     totals = stage(
         attach_small(_word_counts(docs), words, ["word"], "left_semi")
         .groupBy("word").agg(F.sum("n").alias("total")), "totals")
-    return stage(attach_small(met, totals, ["word"]).drop("word"), "links")
+    patterns = stage(attach_small(shared, totals, ["word"]).select(*_PATTERN, "total"), "patterns")
+    return stage(attach_small(met.drop("word"), patterns, _PATTERN), "links")
 
 
 def _written(spans: Column) -> Column:
@@ -315,7 +317,7 @@ def personal_data(
     # Written with a number for each row, by which what is discovered comes back to it.
     places = stage(_places(docs).withColumn("row", F.monotonically_increasing_id()), "places")
     each = places.select("row", F.explode("places").alias("p"))
-    known = known_values(_links(places, docs), each.filter("p.base").select("p.kind", "p.value"),
+    known = known_values(_links(places, docs, support), each.filter("p.base").select("p.kind", "p.value"),
                          support, precision, accept)
     found = attach_small(
         each.filter("NOT p.base").select("row", "p.kind", "p.value", "p.start", "p.end"),
