@@ -135,13 +135,13 @@ def unreferenced(source: DataFrame, related: DataFrame, columns: dict[str, str])
     return counted.join(partners, list(columns), "left_anti")
 
 
-def referential(tables: Tables) -> DataFrame:
+def referential(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
     """Unmatched rows of each declared relationship."""
     return stack([
         unreferenced(tables[source], tables[related], columns)
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
         .select(*_named("reference", source, related, F.col("n")))
-        for source, related, columns in V.RELATIONSHIPS
+        for source, related, columns in relationships
     ])
 
 
@@ -169,7 +169,7 @@ def unmatched_chip_rows(usage: DataFrame, team_race: DataFrame) -> DataFrame:
     return usage.join(played, [*V.TEAM_KEY, "race_used"], "left_anti").select(*usage.columns)
 
 
-def violations(tables: Tables) -> DataFrame:
+def violations(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
     """Every fatal rule with the number of rows that break it, zero rows left out.
 
     All rules on single rows are counted in one scan per table; only keys and references shuffle.
@@ -182,12 +182,12 @@ def violations(tables: Tables) -> DataFrame:
     return stack([
         counted.filter(empty | (~is_rows & (F.col("n") > 0)))
         .withColumn("check", F.when(is_rows, "empty table").otherwise(F.col("check"))),
-        duplicate_keys(tables).filter("n > 0"), referential(tables).filter("n > 0"),
+        duplicate_keys(tables).filter("n > 0"), referential(tables, relationships).filter("n > 0"),
         historical_usage(tables).filter("n > 0"),
     ])
 
 
-def raise_on_violation(tables: Tables) -> DataFrame:
+def raise_on_violation(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
     """Check schemas, then rules; raise with all findings, or return the optional gaps.
 
     What is collected is one row per broken rule, a list fixed by the declarations.
@@ -198,7 +198,7 @@ def raise_on_violation(tables: Tables) -> DataFrame:
     lacking = missing_columns(tables)
     if lacking:
         raise DataQualityError(f"missing columns: {lacking}")
-    found = [tuple(row) for row in violations(tables).collect()]
+    found = [tuple(row) for row in violations(tables, relationships).collect()]
     if found:
         raise DataQualityError(f"violations (check, source, related, rows): {found}")
     return optional_gaps(tables)

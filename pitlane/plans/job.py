@@ -1,12 +1,15 @@
-"""The batch build: landed documents -> source tables -> checks -> marts -> published tables.
+"""The batch build: landed documents -> source tables -> checks -> marts -> published record.
 
-A build is of one season. It first makes sure that every document of the season is there, then
-writes everything below one folder and checks it. Only then are the season's partitions of the
-catalog tables pointed at that folder, sources before marts, each by one change of a location. So a
-build that fails before leaves all as it was, one that fails in between leaves every table readable,
-other seasons are never touched, and nothing is copied.
+A build is of one season. It first makes sure that every document of the season is there, then writes
+everything below a folder of its own and checks it. Only then is one record published that names the
+new parts beside those of the other seasons, see `sources.builds`. So a build that fails at any place
+leaves all as it was, and a reader has one build or the next, never half of each.
+
+A refresh builds what changed documents change: their races' sources, and the marts from the first
+race that they bear on. What earlier races add up to comes out of the state after the race before.
 """
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -19,19 +22,24 @@ from pitlane.functions.columns import coerce_integer
 from pitlane.operators import prepare, quality
 from pitlane.operators.joins import attach_small
 from pitlane.plans import marts
-from pitlane.plans.views import loaded_races
-from pitlane.sources import csv_tables, documents
-from pitlane.sources.tables import drop_tables, publish, stage, staging, write_table
+from pitlane.sources import builds, csv_tables, documents
+from pitlane.sources.builds import Published, Record, Table
+from pitlane.sources.tables import drop_tables, stack, stage, staging
 
-DIMENSIONS = ["races", "chips"]
+#: Tables that have races but are small and published by season.
+WHOLE = ["races", "loaded_races"]
 
 
-def reference_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The calendar and the chips, from CSV."""
-    return {
-        "races": csv_tables.scan(spark, f"{folder}/races_*.csv", schemas.RACES),
-        "chips": csv_tables.scan(spark, f"{folder}/chips_*.csv", schemas.CHIPS),
-    }
+def reference_tables(
+    spark: SparkSession, folder: str, season: int | None = None,
+) -> dict[str, DataFrame]:
+    """The calendar and the chips, from CSV; of one season if given, the chips stamped with it."""
+    races = csv_tables.scan(spark, f"{folder}/races_*.csv", schemas.RACES)
+    chips = csv_tables.scan(spark, f"{folder}/chips_*.csv", schemas.CHIPS)
+    if season is not None:
+        races = races.filter(F.col("season") == season)
+        chips = chips.withColumn("season", F.lit(season).cast("bigint"))
+    return {"races": races, "chips": chips}
 
 
 #: Missing documents that an error names; it gives the number of all.
@@ -40,11 +48,15 @@ NAMED = 20
 
 @dataclass(frozen=True)
 class Build:
-    """The tables of a build by name, and the gaps of measures that may be absent."""
+    """What a build published, and the gaps of measures that may be absent."""
 
-    tables: dict[str, DataFrame]
+    published: Published
     optional_gaps: list[dict]
 
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return self.published.tables()
+
 
 def missing_documents(
     landed: dict[str, DataFrame], races: DataFrame, season: int, as_of: date,
@@ -63,9 +75,13 @@ def missing_documents(
 
 def require_documents(
     landed: dict[str, DataFrame], races: DataFrame, season: int, as_of: date,
+    only: Iterable[int] | None = None,
 ) -> None:
-    """Raise if a document of the season is absent, naming the first ones."""
-    absent = stage(missing_documents(landed, races, season, as_of), "missing")
+    """Raise if a document of the season, or of some races, is absent, naming the first ones."""
+    missing = missing_documents(landed, races, season, as_of)
+    if only is not None:
+        missing = missing.filter(F.col("race_number").isin(list(only)))
+    absent = stage(missing, "missing")
     count = absent.count()
     if count:
         first = absent.orderBy("dataset", *V.TEAM_RACE_KEY).limit(NAMED).collect()
@@ -86,145 +102,384 @@ def require_whole_numbers(landed: dict[str, DataFrame], season: int) -> None:
             f"lost fractions (check, source, field, rows): {[tuple(row) for row in found]}")
 
 
-def source_tables(
-    landed: dict[str, DataFrame], reference: dict[str, DataFrame], season: int, as_of: date,
-    retrieved_at: Column,
-) -> dict[str, DataFrame]:
-    """Typed and enriched source tables of one season from its landed documents.
+def team_tables(
+    landed: dict[str, DataFrame], season: int, retrieved_at: Column,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Standings, details, roster and team rows of the landed documents of one season.
 
     The parsed standings and details feed several tables each, so they are staged once.
     """
-    calendar = reference["races"].filter(F.col("season") == season)
-    landed = {name: df.filter(F.col("season") == season).drop("season")
-              for name, df in landed.items()}
-    done = prepare.completed_races(calendar, as_of).select("race_number")
-    feeds = prepare.price_feed_coverage(calendar, as_of).select("race_number")
-
-    assets = documents.asset_race(
-        attach_small(landed["asset_snapshot"], feeds, ["race_number"], "left_semi"), season,
-        retrieved_at,
-    )
-    standings = attach_small(landed["league_standings"], done, ["race_number"], "left_semi")
     board = stage(documents.team_race_with_roster(
-        documents.leaderboard_records(standings, season, retrieved_at)
+        documents.leaderboard_records(landed["league_standings"], season, retrieved_at)
     ), "standings")
     wanted = prepare.team_keys(board).select("user_guid", "team_no", "race_number")
     details = stage(
         landed["detailed_teams"].join(wanted, ["user_guid", "team_no", "race_number"],
                                       "left_semi"), "details",
     )
-
     roster = prepare.enrich_roster(
         documents.roster_rows(board), documents.lineup_records(details, season)
     )
     team_race = prepare.enrich_team_race(
         board.drop("user_team"), documents.finance_records(details, season)
     )
-    latest = prepare.latest_snapshots(board).drop("season")
+    return board, details, documents.to_schema(
+        roster.withColumn("asset_id", coerce_integer("asset_id")), schemas.TEAM_RACE_ASSET
+    ), documents.to_schema(team_race, schemas.TEAM_RACE)
+
+
+def _usage(details: DataFrame, latest: DataFrame, season: int) -> DataFrame:
+    return documents.to_schema(
+        documents.chip_usage(details, latest, season), schemas.TEAM_CHIP_USAGE)
+
+
+def source_tables(
+    landed: dict[str, DataFrame], reference: dict[str, DataFrame], season: int, as_of: date,
+    retrieved_at: Column,
+) -> dict[str, DataFrame]:
+    """Typed and enriched source tables of one season from its landed documents."""
+    calendar = reference["races"].filter(F.col("season") == season)
+    landed = {name: df.filter(F.col("season") == season).drop("season")
+              for name, df in landed.items()}
+    done = prepare.completed_races(calendar, as_of).select("race_number")
+    feeds = prepare.price_feed_coverage(calendar, as_of).select("race_number")
+    wanted = landed | {
+        "asset_snapshot": attach_small(landed["asset_snapshot"], feeds, ["race_number"], "left_semi"),
+        "league_standings": attach_small(
+            landed["league_standings"], done, ["race_number"], "left_semi"),
+    }
+    board, details, roster, team_race = team_tables(wanted, season, retrieved_at)
     return {
-        "asset_race": assets,
-        "team_race": documents.to_schema(team_race, schemas.TEAM_RACE),
-        "team_race_asset": documents.to_schema(
-            roster.withColumn("asset_id", coerce_integer("asset_id")), schemas.TEAM_RACE_ASSET
-        ),
-        "team_chip_usage": documents.to_schema(
-            documents.chip_usage(details, latest, season), schemas.TEAM_CHIP_USAGE
-        ),
+        "asset_race": documents.asset_race(wanted["asset_snapshot"], season, retrieved_at),
+        "team_race": team_race,
+        "team_race_asset": roster,
+        "team_chip_usage": _usage(details, prepare.latest_snapshots(board).drop("season"), season),
         **reference,
     }
 
 
-def _within(df: DataFrame) -> list[str]:
-    """Facts by race lie together by race inside their season."""
-    return [c for c in ("race_number",) if c in df.columns]
+# --- writing ------------------------------------------------------------------------------------
 
+class _Writer:
+    """Writes the tables of a build of one season and keeps the record that it would make."""
 
-def build_marts(tables: dict[str, DataFrame], folder: str, as_of: date) -> dict[str, DataFrame]:
-    """Write the five marts below folder; later ones read the written earlier ones."""
-    races = tables["races"]
+    def __init__(self, spark: SparkSession, out: str, build_id: str, season: int):
+        self.spark, self.season = spark, season
+        self.start = self.record = builds.latest_record(spark, out)
+        self.folder = f"{out}/{build_id}/{season}"
+        self.made: dict[str, Table] = {}
+        self.races: dict[str, set[int]] = {}
+        if any(f.startswith(f"{self.folder}/") for f in self.start.folders()):
+            raise ValueError(f"build {build_id} of season {season} is published already")
 
-    def written(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{folder}/{name}", ["season"], _within(df))
+    def write(self, name: str, df: DataFrame, races: Iterable[int] | None = None) -> DataFrame:
+        """Write a table of the season, or its rows of some races only, and read what was written."""
+        by = ["season"] if name in WHOLE else builds.by_of(df.columns)
+        read, self.made[name] = builds.written(df, f"{self.folder}/{name}", by, self.season)
+        if races is not None:
+            self.races[name] = set(races)
+        self.record = self._applied(self.start, {})
+        return read
 
-    built = {}
-    built["mart_asset_value_changes_by_race"] = written(
-        "mart_asset_value_changes_by_race", marts.asset_value_changes(tables["asset_race"])
-    )
-    built["mart_assets_latest"] = written(
-        "mart_assets_latest", marts.assets_latest(tables["asset_race"], races, as_of)
-    )
-    built["mart_team_assets_latest"] = written(
-        "mart_team_assets_latest",
-        marts.team_assets_latest(tables["team_race_asset"], tables["team_race"],
-                                 built["mart_assets_latest"], races),
-    )
-    values = marts.roster_values(
-        tables["team_race_asset"], tables["asset_race"], tables["team_chip_usage"]
-    )
-    metrics = stage(marts.team_metrics(tables["team_race"], values, races), "team_metrics")
-    built["mart_team_race"] = written("mart_team_race", marts.team_race_mart(metrics, races))
-    built["mart_team_chips"] = written(
-        "mart_team_chips",
-        marts.team_chips(tables["team_race"], tables["team_chip_usage"], tables["chips"], races,
-                         built["mart_team_race"]),
-    )
-    built["loaded_races"] = written("loaded_races", loaded_races(built["mart_team_race"]))
-    return built
+    def _applied(self, before: Record, notes: dict) -> Record:
+        return before.with_parts(self.made, self.season, notes, self.races)
 
+    def now(self, name: str, races: Iterable[int] | None = None) -> DataFrame:
+        """A table of the season as it will be published."""
+        return Published(self.spark, self.record).table(name, self.season, races)
 
-def _publish(
-    spark: SparkSession, tables: dict[str, DataFrame], folder: str, seasons: list[int],
-) -> None:
-    for name, df in tables.items():
-        if name in DIMENSIONS:
-            publish(spark, name, df, f"{folder}/{name}")
-        else:
-            publish(spark, name, df, f"{folder}/{name}", "season", seasons)
-    drop_tables(spark, V.RETIRED_MARTS)
+    def loaded(self, name: str) -> list[int]:
+        return self.record.races(name, self.season)
 
+    def race_frame(self, races: Iterable[int]) -> DataFrame:
+        return self.spark.createDataFrame(
+            [(self.season, race) for race in races], "season BIGINT, race_number BIGINT")
+
+    def changed(self, before: Record, notes: dict, rows: bool) -> Record:
+        """The record to publish; it raises if it would lose what is published."""
+        after = self._applied(before, notes)
+        builds.require_no_loss(before, after, rows, V.MAY_BE_EMPTY)
+        return after
+
+
+def _season_marts(writer: _Writer, as_of: date) -> None:
+    """Write all marts of a season from its sources."""
+    now, races = writer.now, writer.now("races")
+    writer.write("mart_asset_value_changes_by_race", marts.asset_value_changes(now("asset_race")))
+    writer.write("mart_assets_latest", marts.assets_latest(now("asset_race"), races, as_of))
+    values = marts.roster_values(now("team_race_asset"), now("asset_race"), now("team_chip_usage"))
+    metrics = stage(marts.team_metrics(now("team_race"), values, races), "team_metrics")
+    writer.write("mart_team_race", marts.team_race_mart(metrics, races))
+    loaded = writer.race_frame(writer.loaded("mart_team_race"))
+    writer.write("team_state", marts.team_state(metrics, loaded))
+    writer.write("mart_team_chips", marts.team_chips(
+        now("team_race"), now("team_chip_usage"), now("chips"), races, now("mart_team_race")))
+    _latest_marts(writer)
+
+
+def _latest_marts(writer: _Writer) -> None:
+    """Write what comes of the last race alone, and the loaded races."""
+    last = writer.loaded("team_race_asset")[-1:]
+    writer.write("mart_team_assets_latest", marts.team_assets_latest(
+        writer.now("team_race_asset"), writer.now("team_race"), writer.now("mart_assets_latest"),
+        writer.now("races"), writer.race_frame(last)))
+    writer.write("loaded_races", writer.race_frame(writer.loaded("mart_team_race")))
+
+
+def _notes(build_id: str, as_of: date, versions: dict | None) -> dict:
+    return {"build": build_id, "as_of": as_of.isoformat(), "versions": versions or {}}
+
+
+# --- builds -------------------------------------------------------------------------------------
 
 def build(
     spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
     season: int, as_of: date, build_id: str, retrieved_at: Column | None = None,
+    versions: dict | None = None,
 ) -> Build:
-    """Run the whole build of a season and publish it. What it staged is removed at the end."""
+    """Run the whole build of a season and publish it. What it staged is removed at the end.
+
+    Other seasons stay as they are, in every table. Rows of a season may change and races may be
+    added; a race that is published and would go raises `LostRowsError`. `versions` are those of the
+    landed documents, for later refreshes.
+    """
+    with staging(spark):
+        reference = reference_tables(spark, reference_folder, season)
+        require_documents(landed, reference["races"], season, as_of)
+        require_whole_numbers(landed, season)
+        writer = _Writer(spark, out, build_id, season)
+        source = source_tables(
+            landed, reference, season, as_of,
+            F.current_timestamp() if retrieved_at is None else retrieved_at)
+        gaps = quality.raise_on_violation(
+            {name: writer.write(name, df) for name, df in source.items()})
+        # One row per optional measure.
+        found = [row.asDict() for row in gaps.filter("n > 0").collect()]
+        _season_marts(writer, as_of)
+        notes = _notes(build_id, as_of, versions)
+        done = builds.publish(spark, out, lambda before: writer.changed(before, notes, False))
+        drop_tables(spark, V.RETIRED_MARTS)
+    return Build(done, found)
+
+
+def rebuild_marts(spark: SparkSession, out: str, as_of: date, build_id: str) -> Published:
+    """Build the marts of all published seasons again, season by season, and publish them at once.
+
+    A season, race or row that is published and would go raises `LostRowsError`.
+    """
+    start = builds.latest_record(spark, out)
+    absent = [name for name in V.KEYS if name not in start.tables]
+    if absent:
+        raise quality.DataQualityError(f"missing tables: {absent}")
+    writers = []
     with staging(spark):
-        return _built(spark, landed, reference_folder, out, season, as_of, build_id, retrieved_at)
+        for season in start.seasons():
+            writers.append(_Writer(spark, out, build_id, season))
+            _season_marts(writers[-1], as_of)
 
+        def change(before: Record) -> Record:
+            after = before
+            for w in writers:
+                require_unchanged(start, before, w.season)
+                notes = before.notes.get(w.season, {})
+                after = w.changed(after, notes | {"build": build_id, "as_of": as_of.isoformat()}, True)
+            return after
 
-def _built(
-    spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
-    season: int, as_of: date, build_id: str, retrieved_at: Column | None,
-) -> Build:
-    folder = f"{out}/{build_id}"
-    reference = reference_tables(spark, reference_folder)
-    require_documents(landed, reference["races"], season, as_of)
-    require_whole_numbers(landed, season)
-    source = source_tables(
-        landed, reference, season, as_of,
-        F.current_timestamp() if retrieved_at is None else retrieved_at,
-    )
-    tables = {
-        name: write_table(df, f"{folder}/{name}", [] if name in DIMENSIONS else ["season"],
-                          [] if name in DIMENSIONS else _within(df))
-        for name, df in source.items()
-    }
-    gaps = quality.raise_on_violation(tables)
-    # One row per optional measure.
-    found = [row.asDict() for row in gaps.filter("n > 0").collect()]
-    tables |= build_marts(tables, folder, as_of)
-    _publish(spark, tables, folder, [season])
-    return Build(tables, found)
+        done = builds.publish(spark, out, change)
+        drop_tables(spark, V.RETIRED_MARTS)
+    return done
 
 
-def rebuild_marts(spark: SparkSession, out: str, as_of: date, build_id: str) -> None:
-    """Build the marts of all published seasons again from the published source tables."""
-    absent = quality.missing_tables(spark, list(V.KEYS))
-    if absent:
-        raise quality.DataQualityError(f"missing tables: {absent}")
-    folder = f"{out}/{build_id}"
-    tables = {name: spark.table(name) for name in V.KEYS}
-    # One row per published season.
-    seasons = [r.season for r in tables["team_race"].select("season").distinct().collect()]
+def require_unchanged(start: Record, before: Record, season: int) -> None:
+    """Raise if a season was published anew since work on it began."""
+    def parts(record: Record) -> dict:
+        return {(name, place): part for name, t in record.tables.items()
+                for place, part in t.parts.items() if place[0] == season}
+
+    if parts(start) != parts(before):
+        raise RuntimeError(f"season {season} was published by another build meanwhile")
+
+
+# --- refresh ------------------------------------------------------------------------------------
+
+def changed_races(published: Published, season: int, versions: dict) -> list[int]:
+    """Races of which a document landed, changed or went since the season's last build."""
+    known = published.record.notes.get(season, {}).get("versions", {})
+    return sorted({
+        int(race) for dataset in {*known, *versions}
+        for race in {*known.get(dataset, {}), *versions.get(dataset, {})}
+        if known.get(dataset, {}).get(race) != versions.get(dataset, {}).get(race)})
+
+
+def _require_same_reference(writer: _Writer, reference: dict[str, DataFrame]) -> None:
+    for name, df in reference.items():
+        old = writer.now(name)
+        if not df.exceptAll(old.select(*df.columns)).isEmpty() or not old.select(
+                *df.columns).exceptAll(df).isEmpty():
+            raise ValueError(f"{name} changed: the season needs a whole build")
+
+
+def _latest_races(later: DataFrame, state: DataFrame) -> DataFrame:
+    """The last race in which each team stands: TEAM_KEY, race_number."""
+    return prepare.latest_snapshots(
+        later.select(*V.TEAM_RACE_KEY).unionByName(
+            state.select(*V.TEAM_KEY, F.col("last_race").alias("race_number"))))
+
+
+def _refreshed_usage(
+    writer: _Writer, landed: DataFrame, latest: DataFrame, changed: list[int],
+) -> DataFrame:
+    """Chip use of all teams: from documents where a team's latest one changed, else as it was."""
+    old = writer.start
+    was = Published(writer.spark, old).table(
+        "team_state", writer.season, old.races("team_state", writer.season)[-1:]
+    ).select(*V.TEAM_KEY, F.col("last_race").alias("__was"))
+    stays = F.coalesce(F.col("race_number") == F.col("__was"), F.lit(False)) & ~F.col(
+        "race_number").isin(changed)
+    teams = stage(latest.join(was, V.TEAM_KEY, "left").withColumn("__stays", stays), "latest")
+    other = teams.filter(~F.col("__stays")).drop("__was", "__stays")
+    # Races, at most those of the season.
+    needed = [r.race_number for r in other.select("race_number").distinct().collect()]
+    read = _usage(landed.filter(F.col("race_number").isin(needed)), other.drop("season"),
+                  writer.season)
+    kept = writer.now("team_chip_usage").join(
+        teams.filter("__stays").select(*V.TEAM_KEY), V.TEAM_KEY, "left_semi")
+    return read.unionByName(kept.select(*read.columns))
+
+
+def refresh(
+    spark: SparkSession, landed: dict[str, DataFrame], reference_folder: str, out: str,
+    season: int, as_of: date, build_id: str, changed: Iterable[int],
+    retrieved_at: Column | None = None, versions: dict | None = None,
+) -> Build:
+    """Bring a published season up to date with documents of `changed` races and newly due ones.
+
+    The result equals a build of the whole season, but for the times of retrieval of rows that did
+    not change. Documents of other races are read only where a team fell back to an earlier latest
+    document. Of the marts, races from the first that a change bears on are written anew: a changed
+    race, or one for which the use of the chip that takes a roster out of valuation changed.
+    The calendar and the chips have to be those of the last build. If the season is published by
+    another run meanwhile, this one raises and publishes nothing.
+    """
     with staging(spark):
-        _publish(spark, build_marts(tables, folder, as_of), folder, seasons)
+        writer = _Writer(spark, out, build_id, season)
+        if season not in writer.start.seasons():
+            raise ValueError(f"season {season} has no build to refresh")
+        reference = reference_tables(spark, reference_folder, season)
+        _require_same_reference(writer, reference)
+        calendar = writer.now("races")
+        # Race numbers of one season.
+        done = [r.race_number for r in prepare.completed_races(calendar, as_of).collect()]
+        feeds = [r.race_number for r in prepare.price_feed_coverage(calendar, as_of).collect()]
+        due = {*changed, *(set(done) - set(writer.loaded("team_race"))),
+               *(set(feeds) - set(writer.loaded("asset_race")))}
+        prices, teams = sorted(due & set(feeds)), sorted(due & set(done))
+        gaps = []
+        if prices or teams:
+            gaps = _refreshed(writer, landed, as_of, prices, teams, max(done, default=0),
+                              F.current_timestamp() if retrieved_at is None else retrieved_at)
+        notes = _notes(build_id, as_of, versions)
+
+        def change(before: Record) -> Record:
+            require_unchanged(writer.start, before, season)
+            return writer.changed(before, notes, False)
+
+        return Build(builds.publish(spark, out, change), gaps)
+
+
+def _refreshed(
+    writer: _Writer, landed: dict[str, DataFrame], as_of: date, prices: list[int],
+    teams: list[int], last_done: int, retrieved_at: Column,
+) -> list[dict]:
+    """Write what changed documents of these races change; gives the optional gaps."""
+    season, now, races = writer.season, writer.now, writer.now("races")
+    of_season = {name: df.filter(F.col("season") == season) for name, df in landed.items()}
+    read = {name: df.filter(F.col("race_number").isin(prices if name == "asset_snapshot" else teams))
+            for name, df in of_season.items()}
+    require_documents(read, races, season, as_of, [*prices, *teams])
+    require_whole_numbers(read, season)
+    read = {name: df.drop("season") for name, df in read.items()}
+
+    # Sources of the changed races.
+    writer.write("asset_race", documents.asset_race(read["asset_snapshot"], season, retrieved_at),
+                 prices)
+    affected: list[int] = []
+    used: set[int] = set()
+    if teams:
+        _, _, roster, team_race = team_tables(read, season, retrieved_at)
+        writer.write("team_race", team_race, teams)
+        writer.write("team_race_asset", roster, teams)
+        latest = _latest_races(now("team_race", _from(writer, teams[0])), _state(writer, teams[0]))
+        before = stage(now("team_chip_usage"), "usage")
+        usage = writer.write("team_chip_usage", _refreshed_usage(
+            writer, of_season["detailed_teams"].drop("season"), latest, teams))
+        key = [*V.TEAM_KEY, "chip_id", "race_used"]
+        differing = usage.select(key).exceptAll(before.select(key)).unionByName(
+            before.select(key).exceptAll(usage.select(key)))
+        # Chips and races of one season.
+        moved = differing.select("chip_id", "race_used").distinct().collect()
+        used = {r.race_used for r in moved}
+        unvalued = {r.race_used for r in moved if r.chip_id == V.LIMITLESS}
+        affected = sorted({*teams, *unvalued} & set(writer.loaded("team_race")))
+
+    # What changed, with the races that changed uses refer to. That every team of a use has a row is
+    # so by the way uses are gathered; it would take all races to see here.
+    last = writer.loaded("team_race")[-1:]
+    checked = sorted({*(teams or last), *used})
+    gaps = quality.raise_on_violation({
+        "asset_race": now("asset_race", {*prices, *checked}), "team_race": now("team_race", checked),
+        "team_race_asset": now("team_race_asset", teams or last),
+        "team_chip_usage": now("team_chip_usage").filter(F.col("race_used").isin(checked)),
+        "races": races, "chips": now("chips"),
+    }, [r for r in V.RELATIONSHIPS if r[:2] != ("team_chip_usage", "team_race")])
+
+    # Marts.
+    writer.write("mart_asset_value_changes_by_race",
+                 marts.asset_value_changes(now("asset_race", prices)), prices)
+    newest = {*writer.loaded("asset_race")[-1:], last_done}
+    writer.write("mart_assets_latest",
+                 marts.assets_latest(now("asset_race", newest), races, as_of))
+    if teams:
+        _refreshed_marts(writer, affected, used)
+    _latest_marts(writer)
+    return [row.asDict() for row in gaps.filter("n > 0").collect()]
+
+
+def _from(writer: _Writer, first: int) -> list[int]:
+    return [race for race in writer.loaded("team_race") if race >= first]
+
+
+def _state(writer: _Writer, first: int) -> DataFrame:
+    """The state of all teams before a race; no rows if it is the first."""
+    before = [race for race in writer.record.races("team_state", writer.season) if race < first]
+    return writer.now("team_state", before[-1:])
+
+
+def _refreshed_marts(writer: _Writer, affected: list[int], used: set[int]) -> None:
+    """Write the team marts from the first affected race on, out of the state before it."""
+    now, races, first = writer.now, writer.now("races"), affected[0]
+    later = _from(writer, first)
+    values = marts.roster_values(
+        now("team_race_asset", affected), now("asset_race", affected), now("team_chip_usage"))
+    rest = [race for race in later if race not in affected]
+    old = now("mart_team_race", rest).select(*V.TEAM_RACE_KEY, "calculated_asset_value")
+    carried = _state(writer, first)
+    metrics = stage(marts.team_metrics(
+        now("team_race", later), stack([values.select(*old.columns), old]), races, carried),
+        "team_metrics")
+    replaced = {*later, *[r for r in writer.start.races("mart_team_race", writer.season) if r >= first]}
+    writer.write("mart_team_race", marts.team_race_mart(
+        metrics.filter(F.col("race_number") >= first), races), replaced)
+    writer.write("team_state", marts.team_state(metrics, writer.race_frame(later)), replaced)
+
+    # Scores of uses at earlier races, unless they are new, stand in the chip mart already.
+    scored = sorted({*later, *used} & set(writer.loaded("mart_team_race")))
+    score = [*V.TEAM_RACE_KEY, "race_points", "league_average_race_points"]
+    known = now("mart_team_chips").filter(
+        F.col("chip_race_points").isNotNull() & ~F.col("race_used").isin(scored)
+    ).withColumnsRenamed({"race_used": "race_number", "chip_race_points": "race_points"})
+    last = now("team_state", writer.loaded("team_state")[-1:])
+    writer.write("mart_team_chips", marts.team_chips(
+        last.select(*V.TEAM_KEY, F.col("last_race").alias("race_number"), "team_name"),
+        now("team_chip_usage"), now("chips"), races,
+        now("mart_team_race", scored).select(*score).unionByName(known.select(*score).distinct())))

@@ -73,16 +73,20 @@ def assets_latest(asset_race: DataFrame, races: DataFrame, as_of: date) -> DataF
 
 def team_assets_latest(
     roster: DataFrame, team_race: DataFrame, assets: DataFrame, races: DataFrame,
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Every roster entry of each season's latest roster race, with the asset's latest figures.
 
-    Both rows of a swap stay. `assets` is the latest-asset mart.
+    Both rows of a swap stay. `assets` is the latest-asset mart, `loaded` the races that the roster has
+    rows of: with it, one race of rosters and of standings is read.
     """
     current = rows_of_last_races(
-        roster.select(*V.TEAM_RACE_KEY, "asset_id"), races, 1
+        roster.select(*V.TEAM_RACE_KEY, "asset_id"), races, 1, loaded
     ).drop("recency")
     # The standings row decides what is shown: without one, team number and name are null.
     named = team_race.select(*V.TEAM_RACE_KEY, "team_name", F.lit(True).alias("__stands"))
+    if loaded is not None:
+        named = rows_of_last_races(named, races, 1, loaded).drop("recency")
     with_team = current.join(named, V.TEAM_RACE_KEY, "left")
     figures = assets.select(
         "season", "asset_id", "asset_type", "display_name", "current_value",
@@ -138,10 +142,14 @@ def with_wealth_change(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("wealth_change", F.round(F.col("total_wealth") - before, 1))
 
 
-def team_metrics(team_race: DataFrame, values: DataFrame, races: DataFrame) -> DataFrame:
+def team_metrics(
+    team_race: DataFrame, values: DataFrame, races: DataFrame, carried: DataFrame | None = None,
+) -> DataFrame:
     """Performance and finances of each team and race, without the league averages.
 
-    Running points and wealth change share one window, so one shuffle and one sort by team.
+    Running points and wealth change share one window, so one shuffle and one sort by team. If
+    `team_race` begins in the middle of a season, `carried` is the state of all teams before it, see
+    `team_state`. It comes back as a row of each team's last race, with points so far for its points.
     """
     recorded = F.col("recorded_asset_value")
     calculated = F.col("calculated_asset_value")
@@ -159,9 +167,35 @@ def team_metrics(team_race: DataFrame, values: DataFrame, races: DataFrame) -> D
             .otherwise("unavailable").alias("valuation_source"),
         )
     )
+    if carried is not None:
+        rows = rows.unionByName(carried.select(
+            "season", F.col("last_race").alias("race_number"), "user_guid", "team_no", "team_name",
+            F.col("cumulative_points").alias("race_points"), "total_wealth",
+        ), allowMissingColumns=True)
     return with_wealth_change(with_cumulative_points(rows))
 
 
+#: What the races after one need to know of each team.
+STATE = [*V.TEAM_RACE_KEY, "last_race", "team_name", "cumulative_points", "total_wealth"]
+
+
+def team_state(metrics: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Each team's last row as of every race of `loaded`: race_number is the race it holds after.
+
+    A team that is not on the board of a race keeps the row of the race before.
+    """
+    after = F.lead("race_number").over(_team_history())
+    known = loaded.groupBy("season").agg(F.collect_list("race_number").alias("__loaded"))
+    rows = attach_small(
+        metrics.select(*V.TEAM_RACE_KEY, "team_name", "cumulative_points", "total_wealth",
+                       after.alias("__next")), known, ["season"], proof=loaded)
+    holds = F.filter("__loaded", lambda r: (r >= F.col("race_number")) & (
+        F.col("__next").isNull() | (r < F.col("__next"))))
+    return rows.select(
+        "season", F.explode(holds).alias("race_number"), "user_guid", "team_no",
+        F.col("race_number").alias("last_race"), "team_name", "cumulative_points", "total_wealth")
+
+
 def league_averages(metrics: DataFrame) -> DataFrame:
     """One row per race: the values a whole-race window average would repeat on every row.
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _named: dict[str, str] = {}
 _staged: list[str] = []
-_EMPTY = "_empty"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -92,46 +91,10 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
-def write_table(
-    df: DataFrame, path: str, by: list[str], within: list[str] | None = None,
-) -> DataFrame:
-    """Write df as a whole to path and read it back.
-
-    Rows are gathered and sorted by partition and then by `within`, so a file and a row group hold
-    few of its values and a filter on it passes over the others.
-    """
-    near = [*by, *(within or [])]
-    gathered = _balanced(df, near)
-    if within:
-        gathered = gathered.sortWithinPartitions(*near)
-    gathered.write.partitionBy(*by).mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def publish(
-    spark: SparkSession, name: str, df: DataFrame, path: str, by: str | None = None,
-    values: list[int] | None = None,
-) -> None:
-    """Point a catalog table at the files that df was read from.
-
-    A table without `by` is swapped as a whole, a partitioned one partition by partition, for the
-    values given; other partitions stay. Each swap is one change of a location, so a reader finds
-    the old files or the new ones, and the table is always there.
-    """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    if by is None:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    else:
-        # Its own folder stays empty: every partition has a location of its own.
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-                  f"PARTITIONED BY ({by}) LOCATION '{path}/{_EMPTY}'")
-        for value in values or []:
-            part, place = f"PARTITION ({by}={value})", f"{path}/{by}={value}"
-            make_folder(spark, place)  # a table may have no rows for a value
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{place}'")
-            spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{place}'")
-    spark.catalog.refreshTable(name)
+def write_parts(df: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Write df as a whole to path, a folder per value of `by`, and read it back."""
+    _balanced(df, by).write.partitionBy(*by).mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def replace_table(df: DataFrame | None, name: str) -> int | None:

@@ -80,6 +80,26 @@ def read_bronze(
     return attach_small(landed, older, [*key, "path"], "left_anti").drop(*_FILE, "batch")
 
 
+def versions(spark: SparkSession, bronze: str, season: int) -> dict[str, dict[str, str]]:
+    """What tells the landed documents of each race from earlier ones, by data set and race.
+
+    Files are named by path and time, and only keys and names are read. What comes to the driver is a
+    text per data set and race of the season.
+    """
+    found: dict[str, dict[str, str]] = {}
+    for dataset in documents.SCHEMAS:
+        key = keys_of(dataset)
+        newest = (
+            read_all(spark, dataset, bronze).filter(F.col("season") == season)
+            .groupBy(*key).agg(F.max(F.struct("modified_at", "path")).alias("file"))
+        )
+        marks = newest.groupBy("race_number").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64(*key, "file").cast("decimal(38,0)")).alias("sum"))
+        found[dataset] = {str(r.race_number): f"{r.n}:{r.sum}" for r in marks.collect()}
+    return found
+
+
 def _incoming(
     spark: SparkSession, dataset: str, folder: str, season: int, files_per_batch: int,
 ) -> DataFrame:

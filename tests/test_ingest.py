@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from conftest import (
     CHIP_FLAGS, TEAMS, asset_document, put, rows, standings_document, team_document, write_race,
+    write_reference,
 )
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from pitlane.functions import columns as C
 from pitlane.operators import prepare, quality
 from pitlane.operators.joins import CardinalityError, require_unique
 from pitlane.plans import job
-from pitlane.sources import csv_tables, documents, tables
+from pitlane.sources import builds, csv_tables, documents, tables
 from pitlane.streaming import landing
 
 
@@ -358,8 +359,8 @@ def test_end_to_end_build_and_mart_refresh(spark, raw, tmp_path):
         ("team_race", "recorded_asset_value"): 2}
     assert sorted(staged.glob("*")) == before
     assert not spark.catalog.tableExists("mart_team_values_latest")
-    assert spark.table("asset_race").count() == 27
-    mart = spark.table("mart_team_race")
+    assert built.tables["asset_race"].count() == 27
+    mart = built.tables["mart_team_race"]
     assert mart.schema["season"].dataType.simpleString() == "bigint"
     got = {(r.user_guid, r.race_number): r for r in mart.collect()}
     assert len(got) == 6
@@ -376,17 +377,23 @@ def test_end_to_end_build_and_mart_refresh(spark, raw, tmp_path):
     ann = [(0 + 1 + k) % 9 + 1 for k in range(7)]
     assert got["ann", 1].calculated_asset_value == round(sum(10 + a + 0.1 for a in ann), 1)
     chips = {(r.user_guid, r.chip_id): r.chip_status
-             for r in spark.table("mart_team_chips").collect()}
+             for r in built.tables["mart_team_chips"].collect()}
     assert len(chips) == 18
     assert (chips["ann", 3], chips["ann", 6], chips["bob", 1], chips["cat", 1]) == (
         "used", "upcoming", "used", "unused")
-    latest = spark.table("mart_assets_latest").filter("asset_id = 1").first()
+    latest = built.tables["mart_assets_latest"].filter("asset_id = 1").first()
     assert (latest.points_race_number, latest.price_feed_race_number) == (2, 3)
     # A refresh of the marts gives the same rows.
-    before = rows(spark.table("mart_team_race"), "user_guid", "race_number", "total_wealth")
-    job.rebuild_marts(spark, str(out), date(2026, 3, 1), "b2")
-    assert rows(spark.table("mart_team_race"), "user_guid", "race_number",
-                "total_wealth") == before
+    before = {name: rows(df) for name, df in built.tables.items()}
+    again = job.rebuild_marts(spark, str(out), date(2026, 3, 1), "b2")
+    assert {name: rows(df) for name, df in again.tables().items()} == before
+    assert set(before) == {*V.KEYS, *MARTS}
+    # For SQL, a session names the tables of one record.
+    again.as_views()
+    assert spark.sql("SELECT count(*) FROM mart_team_race JOIN races USING (season, race_number)"
+                     ).first()[0] == 6
+    for name in again.names():
+        spark.catalog.dropTempView(name)
 
 
 def test_failed_build_publishes_nothing(spark, raw, tmp_path):
@@ -394,17 +401,10 @@ def test_failed_build_publishes_nothing(spark, raw, tmp_path):
     broken["Data"]["Value"][0]["Value"] = "junk"
     put(raw / "asset_snapshot", "asset_snapshot_race_2.json", broken)
     landed = land_all(spark, raw, tmp_path)
-    tables.drop_tables(spark, ["asset_race", "mart_team_race"])
     with pytest.raises(quality.DataQualityError, match="null measure"):
         job.build(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1),
                   "bad", now())
-    assert not spark.catalog.tableExists("asset_race")
-
-
-@pytest.fixture
-def no_tables(spark):
-    names = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
-    tables.drop_tables(spark, names)
+    assert builds.published(spark, str(tmp_path)).names() == []
 
 
 def built(spark, raw, out, landed, season=2026, name="b1"):
@@ -412,7 +412,7 @@ def built(spark, raw, out, landed, season=2026, name="b1"):
                      date(season, 3, 1), name, now())
 
 
-def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path, no_tables):
+def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path):
     cut(raw / "league_standings" / "league_standings_race_2.json", 300)
     (raw / "asset_snapshot" / "asset_snapshot_race_3.json").unlink()
     (raw / "detailed_teams" / "cat_team_2_race_1.json").unlink()
@@ -424,7 +424,7 @@ def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path, no_tables
     for part in ("('asset_snapshot', 2026, 3", "('league_standings', 2026, 2",
                  "('detailed_teams', 2026, 1, 'cat', 2)"):
         assert part in said
-    assert not spark.catalog.tableExists("mart_team_race")
+    assert builds.published(spark, str(tmp_path)).names() == []
     # The corrections alone are enough to go on.
     write_race(raw / "again", 2)
     for dataset in ("league_standings", "detailed_teams"):
@@ -432,13 +432,27 @@ def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path, no_tables
             put(raw / dataset / "again", file.name, json.loads(file.read_text()))
     put(raw / "asset_snapshot", "asset_snapshot_race_3.json", asset_document(3))
     put(raw / "detailed_teams", "cat_team_2_race_1.json", team_document(TEAMS[2], 1))
-    built(spark, raw, tmp_path, land_all(spark, raw, tmp_path))
-    assert spark.table("mart_team_race").count() == 6
+    done = built(spark, raw, tmp_path, land_all(spark, raw, tmp_path))
+    assert done.tables["mart_team_race"].count() == 6
+
+
+MARTS = ["mart_asset_value_changes_by_race", "mart_assets_latest", "mart_team_assets_latest",
+         "mart_team_race", "mart_team_chips", "team_state", "loaded_races"]
+
 
+def seasons(spark, out, name):
+    found = builds.published(spark, str(out)).table(name).groupBy("season").count().collect()
+    return {r.season: r["count"] for r in found}
 
-def test_seasons_do_not_replace_each_other(spark, raw, tmp_path, no_tables):
+
+@pytest.mark.parametrize("calendars", ["in one folder", "each alone"])
+def test_seasons_do_not_replace_each_other(spark, raw, tmp_path, calendars):
     calendar = (raw / "reference" / "races_2026.csv").read_text()
-    (raw / "reference" / "races_2027.csv").write_text(calendar.replace("2026", "2027"))
+    reference = raw if calendars == "in one folder" else raw / "next"
+    write_reference(reference / "reference")
+    (reference / "reference" / "races_2027.csv").write_text(calendar.replace("2026", "2027"))
+    if calendars == "each alone":
+        (reference / "reference" / "races_2026.csv").unlink()
     landed = land_all(spark, raw, tmp_path)
     built(spark, raw, tmp_path, landed, 2026, "first")
     write_race(raw / "next", 1)
@@ -447,46 +461,225 @@ def test_seasons_do_not_replace_each_other(spark, raw, tmp_path, no_tables):
     landed = land_all(spark, raw / "next", tmp_path, 2027)
     assert rows(landed["league_standings"], "season", "race_number") == [
         (2026, 1), (2026, 2), (2027, 1), (2027, 2)]
-    built(spark, raw, tmp_path, landed, 2027, "second")
-    both = {(2026,): 6, (2027,): 6}
-
-    def seasons(name):
-        return {(r.season,): r["count"] for r in spark.table(name).groupBy("season").count().collect()}
-
-    assert seasons("mart_team_race") == seasons("team_race") == both
+    built(spark, reference, tmp_path, landed, 2027, "second")
+    for name in [*V.KEYS, *MARTS]:
+        assert set(seasons(spark, tmp_path, name)) == {2026, 2027}, name
+    assert seasons(spark, tmp_path, "mart_team_race") == {2026: 6, 2027: 6}
+    before = rows(builds.published(spark, str(tmp_path)).table("mart_team_chips", 2027))
     # A repeat of one season, with another result, leaves the other alone.
     put(raw / "league_standings" / "again", "league_standings_race_2.json",
         standings_document(2, TEAMS[:2]))
     landed = land_all(spark, raw, tmp_path)
     built(spark, raw, tmp_path, landed, 2026, "third")
-    assert seasons("mart_team_race") == {(2026,): 5, (2027,): 6}
-    places = [f for f in spark.table("mart_team_race").inputFiles()]
-    assert {p.split("/")[-4] for p in places} <= {"second", "third"} or {
-        p.split("/")[-3] for p in places} <= {"second", "third", "mart_team_race"}
     job.rebuild_marts(spark, str(tmp_path), date(2027, 3, 1), "fourth")
-    assert seasons("mart_team_race") == {(2026,): 5, (2027,): 6}
+    assert seasons(spark, tmp_path, "mart_team_race") == {2026: 5, 2027: 6}
+    assert seasons(spark, tmp_path, "races") == {2026: 9, 2027: 9}
+    assert rows(builds.published(spark, str(tmp_path)).table("mart_team_chips", 2027)) == before
 
 
-def test_publishing_that_fails_half_way_leaves_every_table_readable(
-    spark, raw, tmp_path, no_tables, monkeypatch,
-):
+def test_a_rebuild_that_loses_rows_is_refused(spark, raw, tmp_path):
+    landed = land_all(spark, raw, tmp_path)
+    built(spark, raw, tmp_path, landed)
+    before = builds.latest_record(spark, str(tmp_path))
+    # The calendar of the published season loses a race.
+    calendar = before.tables["races"]
+    part = calendar.parts[2026, builds.NO_RACE]
+    fewer = builds.read_table(spark, calendar).filter("race_number != 2")
+    _, table = builds.written(fewer, str(tmp_path / "less"), ["season"], 2026)
+    assert part.rows == 9
+
+    def shorten(record):
+        return record.with_parts({"races": table}, 2026, {})
+
+    builds.publish(spark, str(tmp_path), shorten)
+    with pytest.raises(builds.LostRowsError, match="mart_team_race"):
+        job.rebuild_marts(spark, str(tmp_path), date(2026, 3, 1), "b2")
+    assert seasons(spark, tmp_path, "mart_team_race") == {2026: 6}
+    # So is a build whose calendar lacks a race that is published.
+    lines = (raw / "reference" / "races_2026.csv").read_text().splitlines()
+    (raw / "reference" / "races_2026.csv").write_text(
+        "\n".join(line for line in lines if not line.startswith("2026,2,")) + "\n")
+    with pytest.raises((builds.LostRowsError, quality.DataQualityError)):
+        built(spark, raw, tmp_path, landed, name="b3")
+
+
+def test_a_reader_keeps_one_build_and_a_failure_publishes_nothing(spark, raw, tmp_path, monkeypatch):
     landed = land_all(spark, raw, tmp_path)
     built(spark, raw, tmp_path, landed, name="first")
-    names = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
-    before = {name: spark.table(name).count() for name in names}
-    publish, calls = job.publish, []
+    reader = builds.published(spark, str(tmp_path))
+    put(raw / "league_standings" / "again", "league_standings_race_2.json",
+        standings_document(2, TEAMS[:2]))
+    landed = land_all(spark, raw, tmp_path)
+
+    def failing(*_):
+        raise OSError("the store is gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(builds, "_appears", failing)
+        with pytest.raises(OSError, match="store"):
+            built(spark, raw, tmp_path, landed, name="second")
+    assert builds.latest_record(spark, str(tmp_path)) == reader.record
+    built(spark, raw, tmp_path, landed, name="third")
+    counts = {name: (reader.table(name).count(), builds.published(spark, str(tmp_path)).table(name).count())
+              for name in ("team_race", "mart_team_race", "mart_team_chips")}
+    assert counts == {"team_race": (6, 5), "mart_team_race": (6, 5), "mart_team_chips": (18, 18)}
+    with pytest.raises(ValueError, match="published already"):
+        built(spark, raw, tmp_path, landed, name="third")
+    # Old folders go when no reader holds them.
+    gone = builds.remove_old(spark, str(tmp_path), keep=1)
+    assert gone and all("/first/" in folder for folder in gone)
+    assert builds.published(spark, str(tmp_path)).table("mart_team_race").count() == 5
+
+
+def test_two_that_publish_at_once_keep_both_changes(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    made = {}
+    for season in (1, 2):
+        df = spark.range(3).select(F.lit(season).cast("bigint").alias("season"), "id")
+        made[season] = builds.written(df, f"{out}/t{season}", ["season"], season)[1]
+    other = []
+
+    def change(record):
+        if not other:
+            other.append(builds.publish(spark, out, lambda r: r.with_parts({"t": made[2]}, 2, {})))
+        return record.with_parts({"t": made[1]}, 1, {"build": "a"})
+
+    done = builds.publish(spark, out, change)
+    assert done.record.number == 2 and done.record.seasons() == [1, 2]
+    assert builds.latest_record(spark, out) == done.record
+    assert builds.published(spark, out).table("t", 2).count() == 3
+
+
+# --- refresh ------------------------------------------------------------------------------------
+
+def write_season(raw, last, r, teams=TEAMS):
+    """Races up to `last`, each with some of the teams and other scores."""
+    for race in range(1, last + 1):
+        write_race(raw, race)
+        correct(raw, race, r, teams)
+    put(raw / "asset_snapshot", f"asset_snapshot_race_{last + 1}.json", asset_document(last + 1))
+
+
+def correct(raw, race, r, teams=TEAMS):
+    """New standings, prices and details of a race, as later files."""
+    there = [t for t in teams if r.random() < 0.8] or [teams[0]]
+    board = standings_document(race, there)
+    for row in board["Value"]["leaderboard"]:
+        row["cur_points"] = r.randint(0, 300) / 4
+    folder = f"v{r.random()}"
+    put(raw / "league_standings" / folder, f"league_standings_race_{race}.json", board)
+    prices = asset_document(race)
+    for asset in prices["Data"]["Value"]:
+        asset["Value"] = str(r.randint(50, 300) / 10)
+    put(raw / "asset_snapshot" / folder, f"asset_snapshot_race_{race}.json", prices)
+    for team in there:
+        document = team_document(team, race)
+        own = document["Data"]["Value"]["userTeam"][0]
+        own["teambal"] = r.randint(0, 50) / 10
+        if r.random() < 0.6:
+            own.pop("teamval", None)
+        if r.random() < 0.5:
+            own["maxteambal"] = None
+        # Uses at races where the team may or may not stand, and at races to come.
+        stood = [n for n in range(1, race + 1)]
+        for chip, (flag, at) in V.CHIP_FIELDS.items():
+            own[flag], own[at] = 0, None
+            if chip in (2, 4) and r.random() < 0.5:
+                own[flag], own[at] = chip, 9
+        if r.random() < 0.7:
+            own["islimitlesstaken"], own["limitlesstakengd"] = 1, race
+        own["playerid"] = [p for p in own["playerid"] if p["isfinal"] != 1]
+        for row in board["Value"]["leaderboard"]:
+            if row["user_guid"] == team[0]:
+                row["user_team"] = [p["id"] for p in own["playerid"]]
+        put(raw / "detailed_teams" / folder, f"{team[0]}_team_{team[1]}_race_{race}.json", document)
+    put(raw / "league_standings" / folder, f"league_standings_race_{race}.json", board)
+
+
+def everything(published):
+    dropped = ("retrieved_at_utc",)
+    return {name: rows(df.drop(*dropped)) for name, df in published.tables().items()}
+
+
+def test_a_refresh_equals_a_whole_build(spark, raw, tmp_path):
+    import random
+
+    r = random.Random(11)
+    out = tmp_path / "out"
+    write_season(raw, 5, r)
+    reference = str(raw / "reference")
+    landed = land_all(spark, raw, out)
+    versions = landing.versions(spark, str(out / "bronze"), 2026)
+    day = [None, *[date(2026, n, 20) for n in range(1, 10)]]
+    job.build(spark, landed, reference, str(out / "live"), 2026, day[4], "b0", now(), versions)
+    steps = [([], 5), ([2], 5), ([5, 3], 5), ([6, 1], 6)]
+    for n, (races, last) in enumerate(steps):
+        if last == 6 and not (raw / "league_standings" / "league_standings_race_6.json").exists():
+            write_race(raw, 6)
+            put(raw / "asset_snapshot", "asset_snapshot_race_7.json", asset_document(7))
+        for race in races:
+            correct(raw, race, r)
+        landed = land_all(spark, raw, out)
+        versions = landing.versions(spark, str(out / "bronze"), 2026)
+        live = builds.published(spark, str(out / "live"))
+        changed = job.changed_races(live, 2026, versions)
+        assert set(races) <= set(changed) <= {*races, 6, 7}
+        try:
+            whole = job.build(spark, landed, reference, str(out / f"whole{n}"), 2026, day[last],
+                              f"w{n}", now(), versions).published
+        except quality.DataQualityError as error:
+            with pytest.raises(quality.DataQualityError):
+                job.refresh(spark, landed, reference, str(out / "live"), 2026, day[last], f"r{n}",
+                            changed, now(), versions)
+            pytest.fail(f"the fixture is no valid season: {error}")
+        fresh = job.refresh(spark, landed, reference, str(out / "live"), 2026, day[last], f"r{n}",
+                            changed, now(), versions).published
+        assert everything(fresh) == everything(whole)
+        assert job.changed_races(fresh, 2026, versions) == []
+    # Races before the first change are still the files of the first build.
+    parts = builds.latest_record(spark, str(out / "live")).tables["team_race"].parts
+    assert "/b0/" in parts[2026, 4].folder and "/r3/" in parts[2026, 1].folder
+
+
+def test_a_refresh_reads_only_what_the_change_touches(spark, raw, tmp_path, monkeypatch):
+    import random
 
-    def failing(spark, name, *rest):
-        calls.append(name)
-        if len(calls) == 8:
-            raise OSError("the catalog is gone")
-        publish(spark, name, *rest)
+    out = tmp_path / "out"
+    write_season(raw, 5, random.Random(3))
+    landed = land_all(spark, raw, out)
+    job.build(spark, landed, str(raw / "reference"), str(out / "live"), 2026, date(2026, 5, 20), "b0",
+              now())
+    read = []
+    real = builds.read_table
+
+    def noted(spark, table, season=None, races=None):
+        df = real(spark, table, season, races)
+        read.extend(f.split("/out/live/")[1] for f in df.inputFiles())
+        return df
+
+    monkeypatch.setattr(builds, "read_table", noted)
+    correct(raw, 4, random.Random(1))
+    landed = land_all(spark, raw, out)
+    job.refresh(spark, landed, str(raw / "reference"), str(out / "live"), 2026, date(2026, 5, 20), "r1",
+                [4], now())
+    old = [f for f in read if f.startswith("b0/") and "race_number=" in f
+           and not f.startswith("b0/2026/races") and "mart_team_race" in f]
+    assert not [f for f in old if any(f"race_number={n}/" in f for n in (1, 2, 3))], old
+    states = {f.split("race_number=")[1][0] for f in read if f.startswith("b0/2026/team_state")}
+    assert states <= {"3", "5"}
 
-    monkeypatch.setattr(job, "publish", failing)
-    with pytest.raises(OSError, match="catalog"):
-        built(spark, raw, tmp_path, landed, name="second")
-    assert {name: spark.table(name).count() for name in names} == before
-    assert calls[:6] == list(V.KEYS) or set(calls[:6]) == set(V.KEYS)
+
+def test_a_refresh_needs_a_build_and_the_same_calendar(spark, raw, tmp_path):
+    landed = land_all(spark, raw, tmp_path)
+    with pytest.raises(ValueError, match="no build"):
+        job.refresh(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1), "r",
+                    [1], now())
+    built(spark, raw, tmp_path, landed)
+    text = (raw / "reference" / "races_2026.csv").read_text()
+    (raw / "reference" / "races_2026.csv").write_text(text.replace("Race 2", "Another"))
+    with pytest.raises(ValueError, match="races changed"):
+        job.refresh(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1), "r",
+                    [1], now())
 
 
 @pytest.mark.parametrize("write", [str, int, float], ids=["text", "whole", "decimal"])
@@ -512,7 +705,7 @@ def test_feed_numbers_of_any_type_are_equal(spark, tmp_path, write):
     assert len(prepared(document, tmp_path / "a")[2]) == 2
 
 
-def test_a_fraction_in_a_whole_number_field_stops_the_build(spark, raw, tmp_path, no_tables):
+def test_a_fraction_in_a_whole_number_field_stops_the_build(spark, raw, tmp_path):
     feed = asset_document(2)
     feed["Data"]["Value"][0]["GamedayPoints"] = "7.5"
     put(raw / "asset_snapshot", "asset_snapshot_race_2.json", feed)
