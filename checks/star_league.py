@@ -220,9 +220,14 @@ class StarLeague:
     def mart_assets_latest(self) -> DataFrame:
         return stage(marts.assets_latest(self.asset_race, self.races, AS_OF), "assets_latest")
 
+    @cached_property
+    def loaded_rosters(self) -> DataFrame:
+        return stage(loaded_races(self.team_race_asset).coalesce(1), "loaded_rosters")
+
     def build_team_assets_latest(self) -> DataFrame:
         return marts.team_assets_latest(
-            self.team_race_asset, self.team_race, self.mart_assets_latest, self.races
+            self.team_race_asset, self.team_race, self.mart_assets_latest, self.races,
+            self.loaded_rosters,
         )
 
     @cached_property

@@ -221,8 +221,8 @@ def _latest_marts(writer: _Writer) -> None:
     """Write what comes of the last race alone, and the loaded races."""
     last = writer.loaded("team_race_asset")[-1:]
     writer.write("mart_team_assets_latest", marts.team_assets_latest(
-        writer.now("team_race_asset"), writer.now("team_race"), writer.now("mart_assets_latest"),
-        writer.now("races"), writer.race_frame(last)))
+        writer.now("team_race_asset", last), writer.now("team_race", last),
+        writer.now("mart_assets_latest"), writer.now("races"), writer.race_frame(last)))
     writer.write("loaded_races", writer.race_frame(writer.loaded("mart_team_race")))
 
 

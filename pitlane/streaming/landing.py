@@ -6,7 +6,8 @@ key: the corrected file lands like any new one. Of several valid documents of on
 file counts, whenever it came, so a correction replaces what it corrects and an old copy does not.
 
 Bronze is laid out by season, race and micro-batch. A batch that is repeated after a lost executor
-or driver replaces the partitions that it had begun to write; no batch reads what is landed.
+or driver replaces the partitions that it had begun to write; no batch reads what is landed. Many
+small batches of a race are compacted into one from time to time.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from pitlane.operators.joins import attach_small
 from pitlane.sources import documents
-from pitlane.sources.tables import overwrite_partitions
+from pitlane.sources.tables import delete, overwrite_partitions
 
 LAYOUT = ["season", "race_number", "batch"]
 REJECTS = "rejects"
@@ -63,21 +64,57 @@ def read_bronze(
     """The valid documents of a data set, the newest version of each; of one season if given.
 
     Only keys and file names are grouped. Keys with several versions are few, and their older files
-    are taken out by a join that leaves the documents where they are.
+    are taken out by a join that leaves the documents where they are. A document that lies in two
+    batches, as it does while a compaction is under way, counts once.
     """
     landed = read_all(spark, dataset, bronze)
     if season is not None:
         landed = landed.filter(F.col("season") == season)
-    key = keys_of(dataset)
-    file = F.struct("modified_at", "path")
+    return _newest(landed, dataset).drop(*_FILE, "batch")
+
+
+def _newest(landed: DataFrame, dataset: str) -> DataFrame:
+    key, copy = keys_of(dataset), ["path", "batch"]
     several = (
-        landed.select(*key, *_FILE).groupBy(*key)
-        .agg(F.max(file).alias("newest"), F.count(F.lit(1)).alias("versions"))
+        landed.select(*key, *_FILE, "batch").groupBy(*key)
+        .agg(F.max(F.struct("modified_at", *copy)).alias("newest"), F.count(F.lit(1)).alias("versions"))
         .filter("versions > 1").select(*key, "newest")
     )
-    older = landed.select(*key, *_FILE).join(several, key).filter(
-        F.col("path") != F.col("newest.path")).select(*key, "path")
-    return attach_small(landed, older, [*key, "path"], "left_anti").drop(*_FILE, "batch")
+    other = landed.select(*key, *copy).join(several, key).filter(
+        (F.col("path") != F.col("newest.path")) | (F.col("batch") != F.col("newest.batch"))
+    ).select(*key, *copy)
+    return attach_small(landed, other, [*key, *copy], "left_anti")
+
+
+def compact(spark: SparkSession, dataset: str, bronze: str, season: int, least: int = 2) -> int:
+    """Rewrite the races of a season that lie in `least` batches or more, each into one batch.
+
+    The newest version of each document stays; earlier ones remain among the incoming files only. What
+    is read afterwards is the same. A run that is cut short leaves copies in two batches, which read
+    as one document, and the next run finishes its work. Batches that land meanwhile are left alone.
+    For a time when nobody reads the season, as the old folders go. Gives the number of races.
+    """
+    landed = read_all(spark, dataset, bronze).filter(F.col("season") == season)
+    # One row per folder of the season.
+    folders = [(r.race_number, r.batch) for r in
+               landed.select("race_number", "batch").distinct().collect()]
+    batches: dict[int, list[int]] = {}
+    for race, batch in folders:
+        batches.setdefault(race, []).append(batch)
+    races = sorted(race for race, found in batches.items() if len(found) >= least)
+    if not races:
+        return 0
+    # Streams count their batches upwards from 0; compacted ones go down from -2.
+    new = min(-1, *[batch for _, batch in folders]) - 1
+    here = landed.filter(F.col("race_number").isin(races) & F.col("batch").isin(
+        sorted({batch for race in races for batch in batches[race]})))
+    target = f"{bronze}/{dataset}"
+    one = _newest(here, dataset).withColumn("batch", F.lit(new).cast("bigint"))
+    overwrite_partitions(one.select(*bronze_schema(dataset).names), target, LAYOUT)
+    for race in races:
+        for batch in batches[race]:
+            delete(spark, f"{target}/season={season}/race_number={race}/batch={batch}")
+    return len(races)
 
 
 def versions(spark: SparkSession, bronze: str, season: int) -> dict[str, dict[str, str]]:

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import date, datetime, timezone
 from pathlib import Path
 
@@ -306,6 +307,43 @@ def test_landing_stream_lands_each_document_once(spark, raw, tmp_path):
     assert every.count() == 5 and set(every.columns) >= {"season", "race_number", "batch", "path"}
 
 
+def test_compaction_leaves_one_batch_per_race_and_the_same_documents(spark, raw, tmp_path, monkeypatch):
+    r = random.Random(2)
+    bronze = str(tmp_path / "bronze")
+    for n in range(4):
+        for race in (1, 2):
+            put(raw / "league_standings" / f"v{n}", f"league_standings_race_{race}.json",
+                standings_document(race, TEAMS[:r.randint(1, 3)]))
+        landing.land(spark, "league_standings", str(raw / "league_standings"), bronze,
+                     str(tmp_path / "marks"), 2026, files_per_batch=1).awaitTermination()
+
+    def folders():
+        return sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "bronze").glob("*/season=2026/*/*"))
+
+    def documents_now():
+        return rows(landing.read_bronze(spark, "league_standings", bronze, 2026), "race_number",
+                    F.to_json("Value"))
+
+    before = documents_now()
+    assert len(folders()) == 10 and len(before) == 2
+    # Cut short after the write: both copies are there, and each document counts once.
+    with monkeypatch.context() as patched:
+        patched.setattr(landing, "delete", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            landing.compact(spark, "league_standings", bronze, 2026)
+    assert len(folders()) == 12 and documents_now() == before
+    assert landing.compact(spark, "league_standings", bronze, 2026) == 2
+    assert len(folders()) == 2 and documents_now() == before
+    assert landing.compact(spark, "league_standings", bronze, 2026) == 0
+    # What lands later still replaces what was compacted.
+    put(raw / "league_standings" / "late", "league_standings_race_1.json", standings_document(1, TEAMS[:1]))
+    run(spark, "league_standings", raw, tmp_path)
+    assert rows(landing.read_bronze(spark, "league_standings", bronze, 2026), "race_number",
+                F.size("Value.leaderboard"))[0] == (1, 1)
+    assert landing.compact(spark, "league_standings", bronze, 2026) == 1
+    assert len(folders()) == 2
+
+
 def cut(path, length):
     path.write_text(path.read_text()[:length])
 
@@ -445,14 +483,13 @@ def seasons(spark, out, name):
     return {r.season: r["count"] for r in found}
 
 
-@pytest.mark.parametrize("calendars", ["in one folder", "each alone"])
-def test_seasons_do_not_replace_each_other(spark, raw, tmp_path, calendars):
+def test_seasons_do_not_replace_each_other(spark, raw, tmp_path):
+    # Each season has a calendar of its own, in a folder of its own.
     calendar = (raw / "reference" / "races_2026.csv").read_text()
-    reference = raw if calendars == "in one folder" else raw / "next"
+    reference = raw / "next"
     write_reference(reference / "reference")
     (reference / "reference" / "races_2027.csv").write_text(calendar.replace("2026", "2027"))
-    if calendars == "each alone":
-        (reference / "reference" / "races_2026.csv").unlink()
+    (reference / "reference" / "races_2026.csv").unlink()
     landed = land_all(spark, raw, tmp_path)
     built(spark, raw, tmp_path, landed, 2026, "first")
     write_race(raw / "next", 1)
@@ -517,7 +554,7 @@ def test_a_reader_keeps_one_build_and_a_failure_publishes_nothing(spark, raw, tm
     with monkeypatch.context() as patched:
         patched.setattr(builds, "_appears", failing)
         with pytest.raises(OSError, match="store"):
-            built(spark, raw, tmp_path, landed, name="second")
+            builds.publish(spark, str(tmp_path), lambda record: record)
     assert builds.latest_record(spark, str(tmp_path)) == reader.record
     built(spark, raw, tmp_path, landed, name="third")
     counts = {name: (reader.table(name).count(), builds.published(spark, str(tmp_path)).table(name).count())
@@ -601,85 +638,52 @@ def everything(published):
     return {name: rows(df.drop(*dropped)) for name, df in published.tables().items()}
 
 
-def test_a_refresh_equals_a_whole_build(spark, raw, tmp_path):
-    import random
-
+def test_a_refresh_equals_a_whole_build(spark, raw, tmp_path, monkeypatch):
     r = random.Random(11)
     out = tmp_path / "out"
     write_season(raw, 5, r)
-    reference = str(raw / "reference")
+    reference, live = str(raw / "reference"), str(out / "live")
     landed = land_all(spark, raw, out)
     versions = landing.versions(spark, str(out / "bronze"), 2026)
-    day = [None, *[date(2026, n, 20) for n in range(1, 10)]]
-    job.build(spark, landed, reference, str(out / "live"), 2026, day[4], "b0", now(), versions)
-    steps = [([], 5), ([2], 5), ([5, 3], 5), ([6, 1], 6)]
-    for n, (races, last) in enumerate(steps):
-        if last == 6 and not (raw / "league_standings" / "league_standings_race_6.json").exists():
-            write_race(raw, 6)
-            put(raw / "asset_snapshot", "asset_snapshot_race_7.json", asset_document(7))
-        for race in races:
-            correct(raw, race, r)
-        landed = land_all(spark, raw, out)
-        versions = landing.versions(spark, str(out / "bronze"), 2026)
-        live = builds.published(spark, str(out / "live"))
-        changed = job.changed_races(live, 2026, versions)
-        assert set(races) <= set(changed) <= {*races, 6, 7}
-        try:
-            whole = job.build(spark, landed, reference, str(out / f"whole{n}"), 2026, day[last],
-                              f"w{n}", now(), versions).published
-        except quality.DataQualityError as error:
-            with pytest.raises(quality.DataQualityError):
-                job.refresh(spark, landed, reference, str(out / "live"), 2026, day[last], f"r{n}",
-                            changed, now(), versions)
-            pytest.fail(f"the fixture is no valid season: {error}")
-        fresh = job.refresh(spark, landed, reference, str(out / "live"), 2026, day[last], f"r{n}",
-                            changed, now(), versions).published
-        assert everything(fresh) == everything(whole)
-        assert job.changed_races(fresh, 2026, versions) == []
-    # Races before the first change are still the files of the first build.
-    parts = builds.latest_record(spark, str(out / "live")).tables["team_race"].parts
-    assert "/b0/" in parts[2026, 4].folder and "/r3/" in parts[2026, 1].folder
-
-
-def test_a_refresh_reads_only_what_the_change_touches(spark, raw, tmp_path, monkeypatch):
-    import random
-
-    out = tmp_path / "out"
-    write_season(raw, 5, random.Random(3))
-    landed = land_all(spark, raw, out)
-    job.build(spark, landed, str(raw / "reference"), str(out / "live"), 2026, date(2026, 5, 20), "b0",
-              now())
+    with pytest.raises(ValueError, match="no build"):
+        job.refresh(spark, landed, reference, live, 2026, date(2026, 5, 20), "r", [1], now())
+    job.build(spark, landed, reference, live, 2026, date(2026, 5, 20), "b0", now(), versions)
     read = []
     real = builds.read_table
 
     def noted(spark, table, season=None, races=None):
         df = real(spark, table, season, races)
-        read.extend(f.split("/out/live/")[1] for f in df.inputFiles())
+        read.extend(f.split("/out/live/")[-1] for f in df.inputFiles())
         return df
 
-    monkeypatch.setattr(builds, "read_table", noted)
-    correct(raw, 4, random.Random(1))
+    # Race 4 is corrected, race 6 is new.
+    write_race(raw, 6)
+    put(raw / "asset_snapshot", "asset_snapshot_race_7.json", asset_document(7))
+    correct(raw, 4, r)
     landed = land_all(spark, raw, out)
-    job.refresh(spark, landed, str(raw / "reference"), str(out / "live"), 2026, date(2026, 5, 20), "r1",
-                [4], now())
-    old = [f for f in read if f.startswith("b0/") and "race_number=" in f
-           and not f.startswith("b0/2026/races") and "mart_team_race" in f]
-    assert not [f for f in old if any(f"race_number={n}/" in f for n in (1, 2, 3))], old
-    states = {f.split("race_number=")[1][0] for f in read if f.startswith("b0/2026/team_state")}
-    assert states <= {"3", "5"}
-
-
-def test_a_refresh_needs_a_build_and_the_same_calendar(spark, raw, tmp_path):
-    landed = land_all(spark, raw, tmp_path)
-    with pytest.raises(ValueError, match="no build"):
-        job.refresh(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1), "r",
-                    [1], now())
-    built(spark, raw, tmp_path, landed)
+    versions = landing.versions(spark, str(out / "bronze"), 2026)
+    changed = job.changed_races(builds.published(spark, live), 2026, versions)
+    assert set(changed) == {4, 6, 7}
+    day = date(2026, 6, 20)
+    whole = job.build(spark, landed, reference, str(out / "whole"), 2026, day, "w", now(),
+                      versions).published
+    with monkeypatch.context() as patched:
+        patched.setattr(builds, "read_table", noted)
+        fresh = job.refresh(spark, landed, reference, live, 2026, day, "r", changed, now(),
+                            versions).published
+    assert everything(fresh) == everything(whole)
+    assert job.changed_races(fresh, 2026, versions) == []
+    # Of the marts by race, only the state before race 4 and what follows it was read.
+    by_race = [f for f in read if f.startswith("b0/") and "race_number=" in f
+               and f.split("/")[2] in ("mart_team_race", "team_state", "team_race")]
+    assert {f.split("race_number=")[1][0] for f in by_race} <= {"3", "4", "5"}
+    parts = builds.latest_record(spark, live).tables["mart_team_race"].parts
+    assert [parts[2026, k].folder.split("/")[-3] for k in range(1, 7)] == [
+        "b0", "b0", "b0", "r", "r", "r"]
     text = (raw / "reference" / "races_2026.csv").read_text()
     (raw / "reference" / "races_2026.csv").write_text(text.replace("Race 2", "Another"))
     with pytest.raises(ValueError, match="races changed"):
-        job.refresh(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1), "r",
-                    [1], now())
+        job.refresh(spark, landed, reference, live, 2026, date(2026, 6, 20), "r", [1], now())
 
 
 @pytest.mark.parametrize("write", [str, int, float], ids=["text", "whole", "decimal"])

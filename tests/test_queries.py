@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from conftest import TESTDATA
 
@@ -25,6 +29,15 @@ def test_query_equals_its_sql(spark, connection, name):
     assert not df.isEmpty()
 
 
+@pytest.mark.parametrize("absent", ["ahocorasick", "corpus_pipeline", "pitlane.llm"])
+def test_the_entry_does_without_the_corpus_operators(absent):
+    code = (f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; "
+            "print(sorted(e.queries()) == sorted(e.oracle_sql()), len(e.queries()))")
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], capture_output=True, text=True,
+                          cwd=Path(entry.__file__).parent, timeout=120)
+    assert done.stdout.split() == ["True", str(len(QUERIES))], done.stderr
+
+
 def test_comparison_sees_differences(spark, connection):
     df = spark.sql("SELECT 1L AS a, 'x' AS b")
     assert differences(df, connection, "SELECT CAST(1 AS BIGINT) AS a, 'x' AS b") == []
