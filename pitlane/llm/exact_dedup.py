@@ -121,17 +121,15 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     The texts are shuffled once, by id and digest, which spreads the copies of a group.
     """
     _, groups = duplicate_groups(docs)
-    keys = ["__digest", "__proof", "__id", "__no_id"]
     text = normalised()
-    rows = docs.withColumns({
-        "__digest": F.sha2(text, 256), "__proof": F.xxhash64(text),
-        "__id": F.coalesce("doc_id", F.lit(0)), "__no_id": F.col("doc_id").isNull(),
-    })
-    staying = groups.select(
-        F.col("digest").alias("__digest"), F.col("proof").alias("__proof"),
-        F.coalesce("smallest", F.lit(0)).alias("__id"), F.col("smallest").isNull().alias("__no_id"))
-    first = Window.partitionBy(*keys).orderBy(*keys)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+                       F.sha2(text, 256).alias("digest"), F.xxhash64(text).alias("proof"))
+    staying = groups.select("smallest", F.col("digest").alias("of"), F.col("proof").alias("proven"))
+    same = (F.col("digest") == F.col("of")) & (F.col("proof") == F.col("proven")) & F.col(
+        "id").eqNullSafe(F.col("smallest"))
+    keys = ["digest", "proof", "id"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     return (
-        rows.join(staying, keys, "left_semi").withColumn("__row", F.row_number().over(first))
-        .filter("__row = 1").select(*docs.columns)
+        rows.join(staying, same, "left_semi").withColumn("place", place).filter("place = 1")
+        .select("row.*")
     )

@@ -10,6 +10,7 @@ Columns only: no Python runs on the executors. Matches are found with their plac
 mark around each and measuring what lies between the marks.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,50 @@ WEAK = (
 )
 KINDS = BASE + WEAK
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: Items of a list that are folded at a time.
+CHUNK = 64
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _some(items: Column, begin: Column, end: Column) -> Column:
+    """The items from `begin` on and before `end`, which is larger."""
+    return F.transform(F.sequence(begin, end - 1), lambda i: F.get(items, i))
+
+
+def _folded(
+    items: Column, kind: str, emit: Callable[[Column, Column], tuple[Column, Column]],
+) -> Column:
+    """Walk over a list from place 0 on: the last place, and all that is emitted, as an array.
+
+    `emit` takes the place and an item, and gives the next place and an array of none or some. What is
+    emitted is gathered chunk by chunk, so nothing is copied as often as there are items.
+    """
+    none = F.array().cast(kind)
+    # Items are taken one by one: a slice would read the whole list each time.
+    chunks = _let(items, lambda every: F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(every) / CHUNK).cast("int") - 1),
+        lambda i: _some(every, i * CHUNK, F.least(i * CHUNK + CHUNK, F.size(every)))))
+
+    def one(state: Column, item: Column) -> Column:
+        place, out = emit(state["at"], item)
+        return F.struct(place.alias("at"), F.concat(state["found"], out).alias("found"))
+
+    def chunk(state: Column, part: Column) -> Column:
+        last = state["last"]
+        begin = F.struct(last["at"].alias("at"), none.alias("found"))
+        return F.struct(F.aggregate(part, begin, one).alias("last"),
+                        F.concat(state["found"], F.array(last["found"])).alias("found"))
+
+    start = F.struct(F.struct(F.lit(0).alias("at"), none.alias("found")).alias("last"),
+                     F.array().cast(f"array<{kind}>").alias("found"))
+    return F.aggregate(
+        chunks, start, chunk,
+        lambda s: F.struct(s["last"]["at"].alias("at"), F.flatten(
+            F.concat(s["found"], F.array(s["last"]["found"]))).alias("found")))
 
 
 def spans(text: Column, number: int) -> Column:
@@ -70,38 +115,34 @@ def spans(text: Column, number: int) -> Column:
     kind = KINDS[number]
     marked = F.regexp_replace(
         F.translate(text, MARK, OTHER), f"({kind.pattern})", f"{MARK}$1{MARK}")
-    parts = F.split(marked, MARK)  # what lies between matches, and every second one a match
-    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"),
-                     F.array().cast(_SPANS).alias("found"))
-
-    def step(state: Column, part: Column) -> Column:
-        end = state["at"] + F.length(part)
-        span = F.array(F.struct(
-            state["at"].alias("start"), F.lit(number).alias("kind"), end.alias("end")))
-        good = state["inside"] & (F.lit(True) if kind.keep is None else part.rlike(kind.keep))
-        return F.struct(
-            end.alias("at"), (~state["inside"]).alias("inside"),
-            F.when(good, F.concat(state["found"], span)).otherwise(state["found"]).alias("found"))
-
-    found = F.aggregate(parts, begin, step, lambda state: state["found"])
+    # What lies between matches, and every second one a match.
+    parts = F.transform(F.split(marked, MARK), lambda part, i: F.struct(
+        part.alias("part"), (i % 2 == 1).alias("inside")))
+
+    def emit(at: Column, item: Column) -> tuple[Column, Column]:
+        end = at + F.length(item["part"])
+        span = F.array(F.struct(at.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
+        good = item["inside"] & (F.lit(True) if kind.keep is None else item["part"].rlike(kind.keep))
+        return end, F.when(good, span).otherwise(F.array().cast(_SPANS))
+
+    found = _folded(parts, _SPANS, emit)["found"]
     return F.when(text.rlike(kind.only), found).otherwise(F.array().cast(_SPANS))
 
 
 _KEYS = ["id", "no_id", "digest"]
 
 
-def _keys(kind: str = "bigint") -> dict[str, Column]:
+def _keys() -> dict[str, Column]:
     """What tells texts apart, without nulls; rows that agree in it have the same spans."""
     return {
-        "id": F.coalesce("doc_id", F.lit(0).cast(kind)), "no_id": F.col("doc_id").isNull(),
-        "digest": F.sha2(plain_text(), 256),
+        "id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        "no_id": F.col("doc_id").isNull(), "digest": F.sha2(plain_text(), 256),
     }
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, keys of the text, and the spans of the base kinds and of the weak ones."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", *[c.alias(n) for n, c in _keys(kind).items()],
+    texts = docs.select("doc_id", *[c.alias(n) for n, c in _keys().items()],
                         plain_text().alias("text"))
     found = lambda first, kinds: F.array_sort(F.concat(*[
         spans(F.col("text"), first + i) for i in range(len(kinds))]))
@@ -168,42 +209,63 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(every).alias("spans"))
 
 
+#: Characters of the pieces that stretches of a text are put together from.
+PIECE = 64
+_STRETCHES = "array<struct<start:int,end:int>>"
+
+
 def _masked(text: Column, spans: Column) -> Column:
-    """The text with a mask in place of every stretch that spans cover."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with a mask in place of every stretch that spans cover, which are sorted.
+
+    What stays between masks is put together from the pieces that it touches: to look for a place
+    in the text itself would begin at its first character each time.
+    """
+    def emit(at: Column, span: Column) -> tuple[Column, Column]:
+        apart = (span["start"] >= at) & (span["end"] > at)
+        stretch = F.array(F.struct(at.alias("start"), span["start"].alias("end")))
+        return (F.greatest(at, span["end"]),
+                F.when(apart, stretch).otherwise(F.array().cast(_STRETCHES)))
+
+    stays = _let(_folded(spans, _STRETCHES, emit), lambda walk: F.concat(
+        walk["found"], F.array(F.struct(
+            walk["at"].alias("start"), F.length(text).alias("end")))))
 
-    def step(state: Column, span: Column) -> Column:
-        between = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        apart = F.concat(state["out"], between, F.lit(MASK))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when((span["start"] >= state["at"]) & (span["end"] > state["at"]), apart)
-            .otherwise(state["out"]).alias("out"))
+    def between(pieces: Column, stretch: Column) -> Column:
+        first = F.floor(stretch["start"] / PIECE).cast("int")
+        last = F.ceil(stretch["end"] / PIECE).cast("int")
+        near = F.array_join(_some(pieces, first, last), "")
+        cut = F.substring(near, stretch["start"] % PIECE + 1, stretch["end"] - stretch["start"])
+        return F.when(stretch["end"] > stretch["start"], cut).otherwise("")
 
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    return F.aggregate(spans, begin, step, rest)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{PIECE}}})"))
+    return F.array_join(_let(pieces, lambda every: F.transform(
+        stays, lambda stretch: between(every, stretch))), MASK)
 
 
 def mask_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """All rows of docs with their columns, every reported span replaced by a mask.
 
     Where a text changes, n_chars, if there is such a column, becomes its new length. Texts that
-    hold nothing stay as they are, null ones too.
+    hold nothing stay as they are, null ones too. Other columns stay, whatever their names.
     """
     found = stage(candidates(docs), "candidates")
     every = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(_SPANS))))
     hit = (
         found.dropDuplicates(_KEYS).join(link(found, scope), _KEYS, "left")
-        .select(*[F.col(k).alias(f"__{k}") for k in _KEYS], every.alias("__spans"))
-        .filter(F.size("__spans") > 0)
+        .select(*_KEYS, every.alias("spans")).filter(F.size("spans") > 0)
     )
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.withColumns({f"__{n}": c for n, c in _keys(kind).items()})
-    met = keyed.join(hit, [f"__{k}" for k in _KEYS], "left")
-    changed = F.col("__spans").isNotNull()
-    met = met.withColumn("text", F.when(changed, _masked(F.col("text"), F.col("__spans")))
-                         .otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        met = met.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return met.select(*docs.columns)
+    met = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in _keys().items()]).join(
+        hit, _KEYS, "left")
+    row = F.col("row")
+    changed = F.col("spans").isNotNull()
+    text = F.when(changed, _masked(row.getField("text"), F.col("spans"))).otherwise(
+        row.getField("text"))
+
+    def column(name: str) -> Column:
+        held = row.getField(name)
+        if name == "n_chars":
+            length = F.length("masked").cast(docs.schema[name].dataType)
+            held = F.when(changed, length).otherwise(held)
+        return (F.col("masked") if name == "text" else held).alias(name)
+
+    return met.withColumn("masked", text).select(*[column(name) for name in docs.columns])

@@ -229,15 +229,13 @@ def keep_one_each(
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     by_print = rows.groupBy("fingerprint").agg(F.min(order).alias("first"))
     first = by_print.join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-    keys = ["__id", "__no_id", "__digest"]
-    staying = first.select(
-        F.coalesce("first.doc_id", F.lit(0)).alias("__id"),
-        F.col("first.doc_id").isNull().alias("__no_id"), F.col("first.digest").alias("__digest"))
-    keyed = docs.withColumns({
-        "__id": F.coalesce("doc_id", F.lit(0)), "__no_id": F.col("doc_id").isNull(),
-        "__digest": F.sha2(F.coalesce("text", F.lit("")), 256)})
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    staying = first.select(F.col("first.doc_id").alias("of"), F.col("first.digest").alias("kept"))
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("kept"))
+    place = F.row_number().over(Window.partitionBy("id", "digest").orderBy("id"))
     return (
-        keyed.join(staying, keys, "left_semi").withColumn("__row", place).filter("__row = 1")
-        .select(*docs.columns)
+        keyed.join(staying, same, "left_semi").withColumn("place", place).filter("place = 1")
+        .select("row.*")
     )

@@ -82,7 +82,7 @@ def write_archive(pages: DataFrame, path: str, date: str | None = None) -> None:
     full = records(pages)
     resolved = resolve(full.drop("payload"))
     keys = ["digest", "uri", "__id", "__no_id"]
-    number = {"__id": F.coalesce("page_id", F.lit(0)), "__no_id": F.col("page_id").isNull()}
+    number = {"__id": F.coalesce(F.col("page_id").cast("string"), F.lit("")), "__no_id": F.col("page_id").isNull()}
     met = full.withColumns(number).join(
         resolved.withColumns(number).drop("page_id", "size"), keys)
     copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))

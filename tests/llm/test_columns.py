@@ -1,0 +1,47 @@
+"""Stages leave all columns alone, whatever they are called, and take ids of any type."""
+
+import pytest
+
+from pitlane.llm.exact_dedup import drop_duplicates, exact_duplicates
+from pitlane.llm.secret_scan import mask_secrets, scan
+from pitlane.llm.simhash import keep_one_each, near_duplicate_components
+from pitlane.llm.warc import archive_pages
+
+#: Names that operators use, or used, inside.
+NAMES = ["__row", "__digest", "__proof", "__id", "__no_id", "__spans", "row", "digest", "proof", "id",
+         "no_id", "spans", "place", "masked", "pieces", "of", "kept", "first", "smallest", "proven",
+         "copies", "base", "weak", "linked", "fingerprint", "root", "node", "a.b"]
+TEXTS = ["one two three four five", "one  two three four five", None, "", "user: bob token=abcdefghijklmnop",
+         "one two three four five", "quite another text of some words", "é" * 200]
+
+
+def table(spark, kind):
+    rows = [(n // 2, text, *[f"{name} of {n}" for name in NAMES]) for n, text in enumerate(TEXTS)]
+    columns = ", ".join(f"`{name}` string" for name in NAMES)
+    df = spark.createDataFrame(rows, f"doc_id long, text string, {columns}")
+    return df.withColumn("doc_id", df["doc_id"].cast(kind))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("stage", [drop_duplicates, keep_one_each, mask_secrets])
+def test_values_of_all_columns_stay(spark, stage, kind):
+    docs = table(spark, kind)
+    out = stage(docs)
+    assert out.columns == docs.columns
+    given = {tuple(r[2:]): r for r in docs.collect()}
+    found = out.collect()
+    assert 0 < len(found) <= len(TEXTS)
+    for row in found:
+        before = given[tuple(row[2:])]
+        assert row.doc_id == before.doc_id
+        assert row.text == before.text or (stage is mask_secrets and "[secret]" in row.text)
+
+
+def test_text_ids(spark):
+    docs = table(spark, "string")
+    assert exact_duplicates(docs).count() == near_duplicate_components(docs).count() == len(TEXTS)
+    assert scan(docs).count() == len(TEXTS)
+    pages = docs.selectExpr("concat('p', doc_id) page_id", "'http://x.org/' || doc_id url",
+                            "repeat(text, 9) html")
+    found = archive_pages(pages).collect()
+    assert len(found) == len(TEXTS) and {r.page_id for r in found} == {"p0", "p1", "p2", "p3"}

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -106,3 +107,27 @@ def test_no_python_runs(docs):
 def test_empty(empty):
     assert scan(empty).collect() == []
     assert mask_secrets(empty).collect() == []
+
+
+def many(spark, count):
+    text = " ".join(f"AKIA{n:016} user: bob{n} aB3dE5gH7jK9mN1pQ3sT5vW7xY9zA{n:08}" for n in range(count))
+    return spark.createDataFrame([(1, text)], "doc_id long, text string"), text
+
+
+def test_many_matches_in_one_text(spark):
+    docs, text = many(spark, 1500)
+    found = scan(docs).collect()[0]
+    assert found.spans == written(every(text)) and found.n_access == 1500
+    assert mask_secrets(docs).collect()[0].text == masked(text)
+
+
+def test_time_is_linear_in_the_matches(spark):
+    def seconds(count):
+        docs, _ = many(spark, count)
+        begin = time.monotonic()
+        scan(docs).collect()
+        mask_secrets(docs).collect()
+        return time.monotonic() - begin
+
+    seconds(1000)
+    assert seconds(33_000) < 60  # about 100,000 matches
