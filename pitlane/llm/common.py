@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pitlane.sources.tables import stage
 
-__all__ = ["REMEMBERED", "Remembered", "documents", "find_on_executors", "map_texts",
+__all__ = ["REMEMBERED", "Remembered", "documents", "find_on_executors", "id_keys", "map_texts",
            "plain_text", "stage"]
 
 #: Most words or pieces of text of which a Python worker remembers the result, twice.
@@ -38,6 +38,12 @@ def plain_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def id_keys(column: str) -> dict[str, Column]:
+    """An id of any type as keys without nulls, for joins and windows that share a shuffle."""
+    return {"id": F.coalesce(F.col(column).cast("string"), F.lit("")),
+            "no_id": F.col(column).isNull()}
+
+
 def map_texts(
     docs: DataFrame, text: str, fields: list[T.StructField],
     start: Callable[[], Callable[[str], tuple]],

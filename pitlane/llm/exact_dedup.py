@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import plain_text, stage
+from pitlane.llm.common import id_keys, plain_text, stage
 
 #: Bits of a leaf's number that one round merges away, as many as a hex digit of the digest has.
 ROUND_BITS = 4
@@ -122,14 +122,13 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     """
     _, groups = duplicate_groups(docs)
     text = normalised()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
-                       F.sha2(text, 256).alias("digest"), F.xxhash64(text).alias("proof"))
-    staying = groups.select("smallest", F.col("digest").alias("of"), F.col("proof").alias("proven"))
-    same = (F.col("digest") == F.col("of")) & (F.col("proof") == F.col("proven")) & F.col(
-        "id").eqNullSafe(F.col("smallest"))
-    keys = ["digest", "proof", "id"]
+    rows = docs.select(
+        F.struct("*").alias("row"), *[c.alias(n) for n, c in id_keys("doc_id").items()],
+        F.sha2(text, 256).alias("digest"), F.xxhash64(text).alias("proof"))
+    keys = ["id", "no_id", "digest", "proof"]
+    staying = groups.withColumns(id_keys("smallest")).select(*keys)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     return (
-        rows.join(staying, same, "left_semi").withColumn("place", place).filter("place = 1")
+        rows.join(staying, keys, "left_semi").withColumn("place", place).filter("place = 1")
         .select("row.*")
     )

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import plain_text, stage
+from pitlane.llm.common import id_keys, plain_text, stage
 
 #: Most characters between two parts of one credential.
 SCOPE = 200
@@ -134,10 +134,7 @@ _KEYS = ["id", "no_id", "digest"]
 
 def _keys() -> dict[str, Column]:
     """What tells texts apart, without nulls; rows that agree in it have the same spans."""
-    return {
-        "id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-        "no_id": F.col("doc_id").isNull(), "digest": F.sha2(plain_text(), 256),
-    }
+    return id_keys("doc_id") | {"digest": F.sha2(plain_text(), 256)}
 
 
 def candidates(docs: DataFrame) -> DataFrame:

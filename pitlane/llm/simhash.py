@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitlane.llm.common import map_texts, stage
+from pitlane.llm.common import id_keys, map_texts, stage
 from pitlane.llm.components import components
 
 SHINGLE = 4
@@ -226,16 +226,16 @@ def keep_one_each(
     equal in both any one stays. Texts are shuffled once, by id and digest.
     """
     rows, roots = near_duplicates(docs, shingle, radius, tile)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     by_print = rows.groupBy("fingerprint").agg(F.min(order).alias("first"))
     first = by_print.join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-    staying = first.select(F.col("first.doc_id").alias("of"), F.col("first.digest").alias("kept"))
+    keys = ["id", "no_id", "digest"]
+    staying = first.select("first.*").withColumns(id_keys("doc_id")).select(*keys)
     keyed = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+        F.struct("*").alias("row"), *[c.alias(n) for n, c in id_keys("doc_id").items()],
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("kept"))
-    place = F.row_number().over(Window.partitionBy("id", "digest").orderBy("id"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     return (
-        keyed.join(staying, same, "left_semi").withColumn("place", place).filter("place = 1")
+        keyed.join(staying, keys, "left_semi").withColumn("place", place).filter("place = 1")
         .select("row.*")
     )
