@@ -659,7 +659,8 @@ def test_a_refresh_equals_a_whole_build(spark, raw, tmp_path, monkeypatch):
     # Race 4 is corrected, race 6 is new.
     write_race(raw, 6)
     put(raw / "asset_snapshot", "asset_snapshot_race_7.json", asset_document(7))
-    correct(raw, 4, r)
+    for race in (4, 6):
+        correct(raw, race, r)
     landed = land_all(spark, raw, out)
     versions = landing.versions(spark, str(out / "bronze"), 2026)
     changed = job.changed_races(builds.published(spark, live), 2026, versions)
@@ -683,7 +684,7 @@ def test_a_refresh_equals_a_whole_build(spark, raw, tmp_path, monkeypatch):
     text = (raw / "reference" / "races_2026.csv").read_text()
     (raw / "reference" / "races_2026.csv").write_text(text.replace("Race 2", "Another"))
     with pytest.raises(ValueError, match="races changed"):
-        job.refresh(spark, landed, reference, live, 2026, date(2026, 6, 20), "r", [1], now())
+        job.refresh(spark, landed, reference, live, 2026, date(2026, 6, 20), "r2", [1], now())
 
 
 @pytest.mark.parametrize("write", [str, int, float], ids=["text", "whole", "decimal"])
