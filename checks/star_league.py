@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pitlane import fixed_values as V
 from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank
-from pitlane.plans import marts
+from pitlane.plans import marts, profiles
 from pitlane.plans.views import loaded_races
-from pitlane.sources.tables import stage
+from pitlane.sources.tables import stage, stage_by
 
 AS_OF = date(2001, 9, 1)
 
@@ -195,22 +195,43 @@ class StarLeague:
 
     # --- marts --------------------------------------------------------------------------------
 
-    def build_team_race_mart(self) -> DataFrame:
+    def build_team_metrics(self) -> DataFrame:
         values = marts.roster_values(self.team_race_asset, self.asset_race, self.team_chip_usage)
-        metrics = stage(marts.team_metrics(self.team_race, values, self.races), "team_metrics")
-        return marts.team_race_mart(metrics, self.races)
+        return stage_by(marts.team_metrics(self.team_race, values, self.races), "team_metrics",
+                        V.TEAM_KEY)
+
+    def build_team_race_mart(self) -> DataFrame:
+        return marts.team_race_mart(self.build_team_metrics(), self.races)
+
+    @cached_property
+    def team_metrics(self) -> DataFrame:
+        return self.build_team_metrics()
+
+    @cached_property
+    def usage_by_team(self) -> DataFrame:
+        return stage_by(self.team_chip_usage, "usage_by_team", V.TEAM_KEY)
+
+    @cached_property
+    def averages(self) -> DataFrame:
+        return stage(marts.league_averages(self.team_metrics), "averages")
 
     @cached_property
     def mart_team_race(self) -> DataFrame:
-        return stage(self.build_team_race_mart(), "mart_team_race", V.RACE_KEY)
+        return stage(marts.team_race_mart(self.team_metrics, self.races, self.averages),
+                     "mart_team_race", V.RACE_KEY)
+
+    @cached_property
+    def profile_team_race(self) -> DataFrame:
+        return stage(profiles.profile(self.team_race), "profile_team_race", V.RACE_KEY)
 
     @cached_property
     def loaded_races(self) -> DataFrame:
         return stage(loaded_races(self.mart_team_race).coalesce(1), "loaded_races")
 
     def build_team_chips(self) -> DataFrame:
-        return marts.team_chips(self.team_race, self.team_chip_usage, self.chips, self.races,
-                                self.mart_team_race)
+        return marts.team_chips(
+            self.team_metrics, self.usage_by_team, self.chips, self.races,
+            marts.team_race_mart(self.team_metrics, self.races, self.averages))
 
     @cached_property
     def mart_team_chips(self) -> DataFrame:

@@ -59,6 +59,11 @@ def teams_by_race_filtered(league):
     ))
 
 
+@registered("SELECT * FROM mart_team_race WHERE user_guid IN ('1', '7', '10', 'none')")
+def rows_of_users(league):
+    return views.of_users(league.mart_team_race, ["1", "7", "10", "none"])
+
+
 LATEST = """SELECT season, race_number, race_name, user_guid, team_no, team_name, race_points,
     race_rank, cumulative_points, league_rank, asset_value, remaining_budget, total_wealth,
     wealth_change, valuation_source FROM standings"""

@@ -21,10 +21,10 @@ from pitlane import schemas
 from pitlane.functions.columns import coerce_integer
 from pitlane.operators import prepare, quality
 from pitlane.operators.joins import attach_small
-from pitlane.plans import marts
+from pitlane.plans import marts, profiles
 from pitlane.sources import builds, csv_tables, documents
 from pitlane.sources.builds import Published, Record, Table
-from pitlane.sources.tables import drop_tables, stack, stage, staging
+from pitlane.sources.tables import drop_tables, stack, stage, stage_by, staging
 
 #: Tables that have races but are small and published by season.
 WHOLE = ["races", "loaded_races"]
@@ -208,12 +208,15 @@ def _season_marts(writer: _Writer, as_of: date) -> None:
     writer.write("mart_asset_value_changes_by_race", marts.asset_value_changes(now("asset_race")))
     writer.write("mart_assets_latest", marts.assets_latest(now("asset_race"), races, as_of))
     values = marts.roster_values(now("team_race_asset"), now("asset_race"), now("team_chip_usage"))
-    metrics = stage(marts.team_metrics(now("team_race"), values, races), "team_metrics")
-    writer.write("mart_team_race", marts.team_race_mart(metrics, races))
+    # All that is by team comes out of these buckets without a shuffle by team.
+    metrics = stage_by(marts.team_metrics(now("team_race"), values, races), "team_metrics", V.TEAM_KEY)
+    usage = stage_by(now("team_chip_usage"), "usage_by_team", V.TEAM_KEY)
+    mart = marts.team_race_mart(metrics, races, stage(marts.league_averages(metrics), "averages"))
+    writer.write("mart_team_race", mart)
     loaded = writer.race_frame(writer.loaded("mart_team_race"))
     writer.write("team_state", marts.team_state(metrics, loaded))
-    writer.write("mart_team_chips", marts.team_chips(
-        now("team_race"), now("team_chip_usage"), now("chips"), races, now("mart_team_race")))
+    writer.write("mart_team_chips", marts.team_chips(metrics, usage, now("chips"), races, mart))
+    writer.write("profile_team_race", profiles.profile(now("team_race")))
     _latest_marts(writer)
 
 
@@ -409,6 +412,8 @@ def _refreshed(
         _, _, roster, team_race = team_tables(read, season, retrieved_at)
         writer.write("team_race", team_race, teams)
         writer.write("team_race_asset", roster, teams)
+        profiled = teams if "profile_team_race" in writer.start.tables else None
+        writer.write("profile_team_race", profiles.profile(now("team_race", profiled)), profiled)
         latest = _latest_races(now("team_race", _from(writer, teams[0])), _state(writer, teams[0]))
         before = stage(now("team_chip_usage"), "usage")
         usage = writer.write("team_chip_usage", _refreshed_usage(
@@ -464,9 +469,9 @@ def _refreshed_marts(writer: _Writer, affected: list[int], used: set[int]) -> No
     rest = [race for race in later if race not in affected]
     old = now("mart_team_race", rest).select(*V.TEAM_RACE_KEY, "calculated_asset_value")
     carried = _state(writer, first)
-    metrics = stage(marts.team_metrics(
+    metrics = stage_by(marts.team_metrics(
         now("team_race", later), stack([values.select(*old.columns), old]), races, carried),
-        "team_metrics")
+        "team_metrics", V.TEAM_KEY)
     replaced = {*later, *[r for r in writer.start.races("mart_team_race", writer.season) if r >= first]}
     writer.write("mart_team_race", marts.team_race_mart(
         metrics.filter(F.col("race_number") >= first), races), replaced)

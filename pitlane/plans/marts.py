@@ -221,13 +221,16 @@ TEAM_RACE_MART = [
 ]
 
 
-def team_race_mart(metrics: DataFrame, races: DataFrame) -> DataFrame:
-    """Metrics with the league averages of their race.
+def team_race_mart(
+    metrics: DataFrame, races: DataFrame, averages: DataFrame | None = None,
+) -> DataFrame:
+    """Metrics with the league averages of their race, which are computed here if not given.
 
     The metrics are read twice, so a caller with large facts stages them first. There are at most
-    as many averages as races in the calendar, which is what the broadcast is checked against.
+    as many averages as races in the calendar, which is what the broadcast is checked against. The
+    rows stay where they lie, so what comes of metrics in buckets is in buckets.
     """
-    averages = league_averages(metrics)
+    averages = league_averages(metrics) if averages is None else averages
     return attach_small(metrics, averages, V.RACE_KEY, proof=races).select(*TEAM_RACE_MART)
 
 
@@ -239,8 +242,9 @@ def team_chips(
     """Every chip of every team with its status, race, score and league average.
 
     A team's uses, one per chip at most, and its scores, one per race at most, are gathered by team
-    and meet its row there. Only then are the chips spread out, so the grid is never moved. The chips
-    are a declared dimension; its size is checked before its rows become part of the plan.
+    and meet its row there. Only then are the chips spread out, so the grid is never moved. Of tables
+    that lie in buckets by team (`stage_by`) no row moves at all. The chips are a declared dimension;
+    its size is checked before its rows become part of the plan.
     """
     if not fits(chips, MOST_CHIPS):
         raise ValueError(f"more than {MOST_CHIPS} chips")

@@ -90,6 +90,15 @@ def teams_by_race(
     )
 
 
+def of_users(rows: DataFrame, user_guids: list[str]) -> DataFrame:
+    """All rows of some users, from a table that is laid out by race.
+
+    The list reaches the files as a filter. Published files are sorted by user and carry bloom filters
+    (`write_parts`), so what is read follows the number of users and not that of rows.
+    """
+    return rows.filter(F.col("user_guid").isin(list(user_guids)))
+
+
 def loaded_races(mart: DataFrame) -> DataFrame:
     """The races that a table has rows of, from its partitions where it is laid out by race."""
     return mart.select(*V.RACE_KEY).distinct()

@@ -114,7 +114,7 @@ def written(df: DataFrame, folder: str, by: list[str], season: int) -> tuple[Dat
 
     The count reads file footers only: it asks for nothing but the columns of the layout.
     """
-    read = write_parts(df, folder, by)
+    read = write_parts(df, folder, by, V.LOOKED_UP)
     # One row per race of the season at most.
     counted = read.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).collect()
     parts = {(row.season, row["race_number"] if len(by) > 1 else NO_RACE): Part(folder, row["rows"])

@@ -1,7 +1,7 @@
 """Writing tables: shared staging, partition replacement, catalog tables."""
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _named: dict[str, str] = {}
-_staged: list[str] = []
+#: Folders that were staged, with the catalog's name for those that have one.
+_staged: list[tuple[str, str | None]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,12 +57,37 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     size of what follows.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    path = _staging_folder(spark, name, uuid.uuid4().hex)
+    _staged.append((path, None))
     _balanced(df, by or []).write.partitionBy(*by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _staging_folder(spark: SparkSession, name: str, unique: str) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{unique}"
+
+
+def stage_by(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Write df to the shared folder in buckets of `keys` and read it back.
+
+    There are as many buckets as a shuffle has partitions, each one sorted file. So aggregates and
+    windows by these keys, and joins of several such tables, take the buckets as they lie: rows move
+    once, for the writing, and not at all if df is dealt out by the keys already. The keys have to be
+    those of bounded groups, as a bucket is one task. The session's catalog holds the layout under a
+    name of its own until the end of `staging`.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = uuid.uuid4().hex
+    path, table = _staging_folder(spark, name, unique), f"staged_{name}_{unique}"
+    _staged.append((path, table))
+    (
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        .format("parquet").option("path", path).saveAsTable(table)
+    )
+    return spark.table(table).select(*df.columns)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end, what was staged inside; for work whose results are written elsewhere."""
@@ -69,7 +95,9 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _staged[before:]:
+        for path, table in _staged[before:]:
+            if table is not None:
+                drop_tables(spark, [table])
             delete(spark, path)
         del _staged[before:]
 
@@ -91,9 +119,20 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
-def write_parts(df: DataFrame, path: str, by: list[str]) -> DataFrame:
-    """Write df as a whole to path, a folder per value of `by`, and read it back."""
-    _balanced(df, by).write.partitionBy(*by).mode("overwrite").parquet(path)
+def write_parts(
+    df: DataFrame, path: str, by: list[str], looked_up: Iterable[str] = (),
+) -> DataFrame:
+    """Write df as a whole to path, a folder per value of `by`, and read it back.
+
+    Files are sorted by the columns of `looked_up`, so their page indexes lead to the rows of a few
+    values, and carry bloom filters of them, which tell files apart that hold none. The sort is the
+    one that writing by folders needs anyway, with more columns.
+    """
+    rows, columns = _balanced(df, by), [c for c in looked_up if c in df.columns]
+    if columns:
+        rows = rows.sortWithinPartitions(*by, *columns)
+    filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    rows.write.options(**filters, **{"parquet.bloom.filter.adaptive.enabled": "true"}).partitionBy(*by).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -8,9 +8,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pitlane import fixed_values as V
 from pitlane.operators import joins, ranking
-from pitlane.plans import marts
-from pitlane.sources.tables import stage
+from pitlane.plans import marts, profiles, views
+from pitlane.sources import builds
+from pitlane.sources.tables import stage, stage_by, staging
 
 
 def brute_ranks(records):
@@ -338,3 +340,109 @@ def test_properties_of_the_chip_mart(league):
     teams = league.team_race.select("season", "user_guid", "team_no").distinct().count()
     assert chips.count() == teams * 6
     assert chips.filter("(race_used IS NULL) != (chip_status = 'unused')").isEmpty()
+
+
+# --- buckets by team ----------------------------------------------------------------------------
+
+def final_plan(df):
+    """The plan that ran, without what adaptive execution started from."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def no_small_sides(spark):
+    """Joins without a hint take no side for small, as with tables of a real size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_chips_and_state_of_bucketed_teams_move_no_row(spark, league, no_small_sides):
+    loaded = league.loaded_races
+    chips = league.build_team_chips()
+    plain = marts.team_chips(league.team_race, league.team_chip_usage, league.chips, league.races,
+                             league.mart_team_race)
+    assert rows(chips) == rows(plain)
+    by_team = "hashpartitioning(season"
+    assert "user_guid" in final_plan(plain).split(by_team)[1][:60]
+    assert by_team not in final_plan(chips) and "SinglePartition" not in final_plan(chips)
+    assert "SortMergeJoin" in final_plan(chips)
+    state = marts.team_state(league.team_metrics, loaded)
+    # The races of a season are gathered; teams stay where they are.
+    assert "user_guid" not in "".join(
+        part[:60] for part in final_plan(state).split("hashpartitioning(")[1:])
+    assert rows(state) == rows(marts.team_state(league.mart_team_race, loaded))
+
+
+def test_buckets_are_written_with_one_shuffle_and_one_file_each(spark, league):
+    values = marts.roster_values(league.team_race_asset, league.asset_race, league.team_chip_usage)
+    metrics = marts.team_metrics(league.team_race, values, league.races)
+    with staging(spark):
+        staged = stage_by(metrics, "team_metrics", V.TEAM_KEY)
+        assert rows(staged) == rows(metrics)
+        files = staged.inputFiles()
+        assert 0 < len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        names = [t.name for t in spark.catalog.listTables() if t.name.startswith("staged_team_metrics")]
+    left = [t.name for t in spark.catalog.listTables()]
+    # The name and the folder of what was staged inside are gone.
+    assert len([n for n in names if n not in left]) == 1
+    assert not Path(files[0].removeprefix("file:")).exists()
+
+
+def test_an_empty_table_in_buckets(spark):
+    with staging(spark):
+        empty = stage_by(spark.createDataFrame([], "season BIGINT, user_guid STRING, team_no BIGINT"),
+                         "none", V.TEAM_KEY)
+        assert empty.count() == 0 and empty.groupBy(*V.TEAM_KEY).count().count() == 0
+
+
+# --- a few teams out of many --------------------------------------------------------------------
+
+def rows_scanned(df):
+    """Rows that came out of the files of a plan without a shuffle."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_user_is_found_without_reading_the_race(spark, tmp_path):
+    users = spark.range(300_000).select(
+        F.lit(2026).cast("bigint").alias("season"), F.lit(1).cast("bigint").alias("race_number"),
+        F.md5(F.col("id").cast("string")).alias("user_guid"), (F.col("id") % 7).alias("points"))
+    read, table = builds.written(users, str(tmp_path / "mart"), V.RACE_KEY, 2026)
+    assert table.parts[2026, 1].rows == 300_000
+    wanted = [r.user_guid for r in users.filter("id IN (5, 77777)").collect()]
+    found = views.of_users(read, wanted)
+    assert rows(found) == rows(users.filter(F.col("user_guid").isin(wanted)))
+    # Pages hold 20,000 rows at most.
+    assert 2 <= rows_scanned(found) <= 80_000
+    # A user that isn't there, between those that are, is ruled out by the filters of the files.
+    assert rows_scanned(views.of_users(read, [wanted[0][:-1] + "x"])) == 0
+    assert views.of_users(read, []).count() == 0
+
+
+# --- profiles -----------------------------------------------------------------------------------
+
+def test_profiles_of_parts_add_up(spark):
+    many = spark.range(60_000).select(
+        (F.col("id") % 3 + 2024).alias("season"), (F.col("id") % 5 + 1).alias("race_number"),
+        F.when(F.col("id") % 4 > 0, F.col("id")).alias("key"), (F.col("id") % 9).alias("few"),
+        F.lit(None).cast("string").alias("none"), (F.col("id") % 2000 / 7).alias("share"))
+    parts = profiles.profile(many)
+    assert parts.count() == 15 * 4
+    exact = {"key": 45_000, "few": 9, "none": 0, "share": 2000}
+    for by in ([], ["season"], V.RACE_KEY):
+        seen = {}
+        for r in profiles.summed(parts, by).collect():
+            seen.setdefault(r["column"], []).append(r)
+        groups = {0: 1, 1: 3, 2: 15}[len(by)]
+        assert {c: len(found) for c, found in seen.items()} == dict.fromkeys(exact, groups)
+        assert sum(r.rows for r in seen["few"]) == 60_000
+        assert sum(r.nulls for r in seen["key"]) == 15_000
+        assert all(r.nulls == r.rows and r.distinct_estimate == 0 for r in seen["none"])
+        assert all(r.distinct_estimate <= 9 for r in seen["few"])
+    whole = {r["column"]: r.distinct_estimate for r in profiles.summed(parts).collect()}
+    for column, number in exact.items():
+        assert abs(whole[column] - number) <= 1 + profiles.SKETCH_ERROR * number
+    assert profiles.summed(profiles.profile(many.limit(0))).count() == 0
