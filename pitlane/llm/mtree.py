@@ -35,6 +35,9 @@ PIVOTS = 1024
 SLACK = 1e-6
 #: The score of no entry.
 NONE = -(1 << 63)
+#: No product exceeds the largest squared norm, so all fit a long if it is below this (2^63, less what
+#: summing doubles may round).
+LARGEST = 2.0**63 * (1 - 2.0**-40)
 
 _PAGE = ("cell int, tree int, page int, parent int, leaf boolean, router binary, radius double, "
          "to_parent double, rows binary, ids array<bigint>, vectors binary, to_router binary")
@@ -254,7 +257,8 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     Queries are the rows whose vec_id is divisible by `every`, candidates all rows but the query's
     own; ties go to the smaller vec_id. A vector that is null or holds null or non-finite components
     takes no part; vectors of unequal length are compared as if filled up with zeros. Products are
-    exact as long as they fit a long. A row without vec_id is a candidate that comes after others of
+    exact. A vector whose squared norm, after scaling, leaves the range of a long raises a ValueError
+    that names its vec_id, as its scores have no column that holds them. A row without vec_id is a candidate that comes after others of
     its score. Rows that repeat a vec_id are rows of their own, as queries too. An empty table gives
     an empty one; other columns are not read.
     """
@@ -264,6 +268,10 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     count, size, largest, most = rows.agg(
         F.count(F.lit(1)), F.max(F.size("vector")), F.max(norm), F.max(top)).first()
     size, most = size or 0, most or 0
+    if largest is not None and largest >= LARGEST:
+        # Components beyond a long were set to its ends, so their norms are too large as well.
+        worst = rows.filter(norm >= LARGEST).orderBy("vec_id").first()
+        raise ValueError(f"the vector of vec_id {worst.vec_id} is too large for scores in a long")
     space = Space(size, largest or 0.0, size * most * most < 1 << 52)
     # A bounded sample, by a hash of the row: at most PIVOTS vectors.
     wanted = min(PIVOTS, -(-count // TREE)) or 1

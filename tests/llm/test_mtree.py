@@ -88,5 +88,17 @@ def test_large_components_stay_exact(spark):
     assert sorted(map(tuple, top_products(table(spark, rows)).collect()), key=repr) == brute(rows)
 
 
+@pytest.mark.parametrize("large", [[1e20, 1.0], [3e37, 1.0], [-9e6, 9e6]])
+def test_vectors_beyond_a_long_are_refused(spark, large):
+    rows = [(0, [1.0, 2.0]), (50, large), (2, [3.0, 1.0])]
+    with pytest.raises(ValueError, match="vec_id 50"):
+        top_products(table(spark, rows))
+
+
+def test_products_up_to_a_long(spark):
+    rows = [(0, [8e6, -8e6]), (1, [-8e6, 8e6]), (50, [8e6, 8e6]), (2, [8e6, -8e6]), (3, [0.0, 1.0])]
+    assert sorted(map(tuple, top_products(table(spark, rows)).collect()), key=repr) == brute(rows)
+
+
 def test_empty(spark):
     assert top_products(table(spark, [])).collect() == []
