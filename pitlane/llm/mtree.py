@@ -10,7 +10,8 @@ vector of the page above, and a leaf the distances of its entries to its routing
 A block of queries goes through a tree best first. By the triangle inequality the stored distances
 bound the distance to a page or an entry from below, and what lies beyond the worst of a query's best
 so far is never computed. Queries search the cell that they lie in first, which bounds what the other
-cells can add, then the cells that may still hold something better.
+cells can add, then the cells that may still hold something better. Blocks are made of queries that
+lie near each other, and a tree meets the blocks that ask for it and no other.
 """
 
 import heapq
@@ -222,14 +223,45 @@ def search(
     return best.found
 
 
+def query_blocks(asked: dict[int, int], pivots: np.ndarray) -> dict[int, tuple[int, int]]:
+    """For each cell its first block and how many it has, from its number of queries.
+
+    Cells that follow each other from nearest pivot to nearest pivot share a block until it is full,
+    and a cell of more queries has several of its own. So there are about as many blocks as queries
+    fill, and those of one block reach much the same trees.
+    """
+    left, at, chain = set(asked), None, []
+    while left:
+        near = sorted(left)
+        at = near[0] if at is None else near[distances(pivots[[at]], pivots[near])[0].argmin()]
+        left.remove(at)
+        chain.append(at)
+    blocks, block, held = {}, 0, 0
+    for cell in chain:
+        if held and held + asked[cell] > BLOCK:
+            block, held = block + 1, 0
+        blocks[cell] = (block, -(-asked[cell] // BLOCK) or 1)
+        block, held = (block, held + asked[cell]) if asked[cell] <= BLOCK else (
+            block + blocks[cell][1], 0)
+    return blocks
+
+
+def pages_asked_for(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The pages of each tree, once for each block that asks for it.
+
+    `wanted` has cell, tree and block, one row for each that some query needs.
+    """
+    return index.join(wanted, ["cell", "tree"])
+
+
 def _search_trees(
-    queries: DataFrame, index: DataFrame, space: Space, blocks: int, most: int,
+    queries: DataFrame, wanted: DataFrame, index: DataFrame, space: Space, most: int,
 ) -> DataFrame:
     """query, query_id, score, no_id, vec_id and row: the best of each tree for its queries.
 
     `queries` has row, vec_id, vector, floor (a score), block, cell and tree.
     """
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    spread = pages_asked_for(index, stage(wanted, "wanted"))
     schema = "query long, query_id long, score long, no_id boolean, vec_id long, row long"
 
     def one(asked: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
@@ -262,6 +294,7 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     its score. Rows that repeat a vec_id are rows of their own, as queries too. An empty table gives
     an empty one; other columns are not read.
     """
+    spark = embeddings.sparkSession
     rows = stage(quantised(embeddings), "vectors")
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     top = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
@@ -277,7 +310,7 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     wanted = min(PIVOTS, -(-count // TREE)) or 1
     pivots = rows.orderBy(F.xxhash64("row")).limit(wanted).select("vector").collect()
     routing = space.lifted(space.matrix([p.vector for p in pivots] or [[]]))
-    shared = rows.sparkSession.sparkContext.broadcast(routing)
+    shared = spark.sparkContext.broadcast(routing)
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -289,22 +322,28 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
     # One row per pivot: how many trees its cell has, and how far its vectors are from it.
     cells = celled.groupBy("cell").agg(
         F.ceil(F.count(F.lit(1)) / TREE).cast("int").alias("trees"),
-        F.max("away").alias("radius")).collect()
+        F.max("away").alias("radius"),
+        F.count_if((F.col("vec_id") % every) == 0).alias("asked")).collect()
     trees = {c.cell: c.trees for c in cells}
     radius = {c.cell: c.radius for c in cells}
-    tree_count = F.create_map(*[F.lit(x) for c in cells for x in (c.cell, c.trees)]) if cells else (
+    blocks = query_blocks({c.cell: c.asked for c in cells}, routing)
+    layout = spark.createDataFrame(
+        [(c, trees[c], *blocks[c]) for c in trees], "cell int, trees int, first int, blocks int")
+    tree_count = F.create_map(*[F.lit(x) for c in trees for x in (c, trees[c])]) if trees else (
         F.create_map(F.lit(0), F.lit(1)))
+    every_tree = F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree")
     in_trees = celled.withColumn("tree", F.pmod(
         F.xxhash64("row"), tree_count[F.col("cell")]).cast("int")).drop("away")
     index = stage(build(in_trees, space), "pages")
 
-    asked = celled.filter((F.col("vec_id") % every) == 0)
-    blocks = -(-asked.count() // BLOCK) or 1
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int"))
-    home = asked.withColumn("floor", F.lit(NONE).cast("long")).drop("away")
-    home = home.select("*", F.explode(F.sequence(
-        F.lit(0), tree_count[F.col("cell")] - 1)).alias("tree"))
-    first = stage(_top(_search_trees(home, index, space, blocks, best), best), "nearest")
+    # The layout has a row per pivot, so it is small.
+    asked = celled.filter((F.col("vec_id") % every) == 0).join(F.broadcast(layout), "cell").select(
+        "row", "vec_id", "vector", "cell", "trees", (F.col("first") + F.pmod(
+            F.xxhash64("row", F.lit(1)), F.col("blocks"))).cast("int").alias("block"))
+    home = asked.select("row", "vec_id", "vector", F.lit(NONE).cast("long").alias("floor"), "block",
+                        "cell", every_tree)
+    at_home = asked.select("cell", "trees", "block").distinct().select("cell", "block", every_tree)
+    first = stage(_top(_search_trees(home, at_home, index, space, best), best), "nearest")
 
     worst = first.filter(F.col("rank") == best).select(F.col("query").alias("row"), F.col("score"))
     bounded = asked.join(worst, "row", "left").select(
@@ -312,19 +351,25 @@ def top_products(embeddings: DataFrame, every: int = EVERY, best: int = BEST) ->
         "block", "cell")
 
     def elsewhere(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row per query and tree that may hold something better; not of the query's own cell."""
+        """Each query with the cells that may hold something better; not its own."""
         for batch in batches:
             queries = space.matrix(batch["vector"]).astype(float)
             norms = (queries**2).sum(axis=1)
             reach = _reach(norms, batch["floor"].to_numpy(np.int64), space)
             away = distances(np.column_stack([queries, np.zeros(len(queries))]), shared.value)
-            for cell in trees:
-                near = (away[:, cell] - radius[cell] <= reach) & (batch["cell"] != cell).to_numpy()
-                for tree in range(trees[cell] if near.any() else 0):
-                    yield batch[near].assign(cell=cell, tree=tree)
-
-    further = bounded.mapInPandas(
-        elsewhere, f"{vector}, floor long, block int, cell int, tree int")
-    second = _search_trees(further, index, space, blocks, best)
+            near = np.stack([away[:, cell] - radius[cell] <= reach for cell in trees], axis=1)
+            near &= batch["cell"].to_numpy()[:, None] != np.array(list(trees))[None]
+            yield batch.drop(columns="cell").assign(
+                cells=[list(itertools.compress(trees, row)) for row in near])
+
+    further = stage(bounded.mapInPandas(
+        elsewhere, f"{vector}, floor long, block int, cells array<int>"), "further")
+    reached = further.select("block", F.explode("cells").alias("cell")).distinct().join(
+        F.broadcast(layout), "cell").select("cell", "block", every_tree)
+    spread = further.select("row", "vec_id", "vector", "floor", "block",
+                            F.explode("cells").alias("cell"))
+    spread = spread.join(F.broadcast(layout.select("cell", "trees")), "cell").select(
+        "row", "vec_id", "vector", "floor", "block", "cell", every_tree)
+    second = _search_trees(spread, reached, index, space, best)
     return _top(first.drop("rank").unionByName(second), best).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

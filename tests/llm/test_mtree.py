@@ -88,6 +88,34 @@ def test_large_components_stay_exact(spark):
     assert sorted(map(tuple, top_products(table(spark, rows)).collect()), key=repr) == brute(rows)
 
 
+def test_blocks_are_of_near_cells_and_full(monkeypatch):
+    monkeypatch.setattr(mtree, "BLOCK", 10)
+    pivots = np.array([[0.0], [100.0], [1.0], [101.0], [2.0], [50.0]])
+    blocks = mtree.query_blocks({0: 4, 1: 5, 2: 3, 3: 5, 4: 3, 5: 35}, pivots)
+    assert blocks == {0: (0, 1), 2: (0, 1), 4: (0, 1), 5: (1, 4), 1: (5, 1), 3: (5, 1)}
+    assert mtree.query_blocks({}, pivots) == {}
+
+
+def test_pages_do_not_grow_with_blocks_that_do_not_ask(spark, small, monkeypatch):
+    """Far clusters: each tree meets the blocks of its own cluster, however many there are."""
+    r = np.random.default_rng(1)
+    rows = [(c * 1000 + i, [float(x) for x in r.normal(0, 0.01, 4) + 3 * np.eye(4)[c]])
+            for c in range(4) for i in range(300)]
+    met, plain = [], mtree.pages_asked_for
+
+    def counted(index, wanted):
+        met.append((index.count(), plain(index, wanted).count(),
+                    wanted.select("block").distinct().count()))
+        return plain(index, wanted)
+
+    monkeypatch.setattr(mtree, "pages_asked_for", counted)
+    found = sorted(map(tuple, top_products(table(spark, rows)).collect()), key=repr)
+    assert found == brute(rows)
+    pages_of_all, met_first, blocks = met[0]
+    assert blocks >= 4 and met_first <= 2.5 * pages_of_all
+    assert met[1][1] <= pages_of_all * blocks / 2
+
+
 @pytest.mark.parametrize("large", [[1e20, 1.0], [3e37, 1.0], [-9e6, 9e6]])
 def test_vectors_beyond_a_long_are_refused(spark, large):
     rows = [(0, [1.0, 2.0]), (50, large), (2, [3.0, 1.0])]
