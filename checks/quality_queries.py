@@ -86,6 +86,20 @@ def dq_optional_gaps(league):
     return quality.optional_gaps(planted_tables(league))
 
 
+def _violating(table):
+    key = ", ".join(f"{k}: {k}" for k in V.KEYS[table])
+    rules = [f"CASE WHEN {_count_null(V.KEYS[table])} THEN 'null key' END"] + [
+        f"CASE WHEN {c} IS NULL THEN 'null measure {c}' END" for c in V.REQUIRED.get(table, [])]
+    return (f"SELECT '{table}' AS source, CAST(to_json({{{key}}}) AS VARCHAR) AS key, "
+            f"concat_ws(',', {', '.join(rules)}) AS broken FROM {_view(table)}")
+
+
+@registered("SELECT * FROM (" + "\n    UNION ALL ".join(_violating(t) for t in V.KEYS)
+            + ") WHERE broken <> ''", **VIEWS)
+def dq_violating_rows(league):
+    return quality.violating_rows(planted_tables(league))
+
+
 def _references(view):
     """Rows whose key is not found in the related table; a key with a null is found nowhere."""
     return "\n    UNION ALL ".join(

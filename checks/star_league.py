@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pitlane import fixed_values as V
 from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank
-from pitlane.plans import marts, profiles
+from pitlane.plans import marts, names, profiles
 from pitlane.plans.views import loaded_races
 from pitlane.sources.tables import stage, stage_by
 
@@ -224,6 +224,10 @@ class StarLeague:
     def profile_team_race(self) -> DataFrame:
         return stage(profiles.profile(self.team_race), "profile_team_race", V.RACE_KEY)
 
+    @cached_property
+    def team_names(self) -> DataFrame:
+        return stage(names.index(names.first_names(self.team_race)), "team_names", V.RACE_KEY)
+
     @cached_property
     def loaded_races(self) -> DataFrame:
         return stage(loaded_races(self.mart_team_race).coalesce(1), "loaded_races")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import registered
 from pitlane.functions.columns import as_json, contains_fold
-from pitlane.plans import views
+from pitlane.plans import names, views
 
 ASSETS = """SELECT season, asset_id, asset_type, display_name, points_race_number,
     price_feed_race_number, race_causing_change, current_value, previous_value,
@@ -103,6 +103,29 @@ def name_contains(league):
     )
 
 
+FIRST_NAMES = """SELECT season, user_guid, team_no, team_name, MIN(race_number) AS race_number
+    FROM team_race GROUP BY season, user_guid, team_no, team_name"""
+
+
+@registered("""SELECT DISTINCT season, race_number, user_guid, team_no, team_name,
+        lower(unnest(list_append([team_name[i:i + 2] FOR i IN range(1, length(team_name) - 1)], '')))
+        AS run FROM first_names""", first_names=FIRST_NAMES)
+def team_name_index(league):
+    return league.team_names
+
+
+@registered("SELECT * FROM first_names WHERE lower(team_name) LIKE '%m%17_%'",
+            first_names=FIRST_NAMES)
+def team_names_containing(league):
+    return names.containing(league.team_names, "M%17_")
+
+
+@registered(BY_RACE + " WHERE lower(team_name) LIKE '%eam 42%'")
+def teams_by_race_by_index(league):
+    return _dates_as_text(views.teams_by_race(
+        league.mart_team_race, league.races, team_name="EAM 42", index=league.team_names))
+
+
 # The columns of a record, in order.
 _JSON = ["season", "asset_id", "asset_type", "display_name", "points_race_number",
          "price_feed_race_number", "race_causing_change", "current_value", "previous_value",

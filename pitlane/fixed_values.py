@@ -112,7 +112,7 @@ LINEUP_COLUMNS = {
 TEAM_KEY = ["season", "user_guid", "team_no"]
 RACE_KEY = ["season", "race_number"]
 TEAM_RACE_KEY = ["season", "race_number", "user_guid", "team_no"]
-LOOKED_UP = ["user_guid"]
+LOOKED_UP = ["run", "user_guid"]
 KEYS = {
     "asset_race": ["season", "race_number", "asset_id"],
     "team_race": TEAM_RACE_KEY,

@@ -1,10 +1,12 @@
 """Data quality as tables of violations, and a wrapper that raises on them."""
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.functions.columns import any_null, loses_fraction
+from pitlane.functions.columns import any_null, as_json, loses_fraction
 from pitlane.operators.joins import attach_small
 from pitlane.sources.tables import stack
 
@@ -41,12 +43,12 @@ def _named(check: str, source: str, related: str | None, n: Column) -> list[Colu
     ]
 
 
-def _row_rules(tables: Tables) -> Rules:
-    return {name: [("rows", None, F.count(F.lit(1)))] for name in tables}
+def _row_rules(names: Iterable[str]) -> Rules:
+    return {name: [("rows", None, F.count(F.lit(1)))] for name in names}
 
 
-def _key_rules(tables: Tables) -> Rules:
-    return {name: [("null key", None, F.count_if(any_null(V.KEYS[name])))] for name in tables}
+def _key_rules(names: Iterable[str]) -> Rules:
+    return {name: [("null key", None, F.count_if(any_null(V.KEYS[name])))] for name in names}
 
 
 def _null_rules(check: str, columns: dict[str, list[str]]) -> Rules:
@@ -169,35 +171,107 @@ def unmatched_chip_rows(usage: DataFrame, team_race: DataFrame) -> DataFrame:
     return usage.join(played, [*V.TEAM_KEY, "race_used"], "left_anti").select(*usage.columns)
 
 
-def violations(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
-    """Every fatal rule with the number of rows that break it, zero rows left out.
+def _fatal(names: Iterable[str]) -> Rules:
+    """Rules on single rows; how many rows there are is one."""
+    return _merged(_row_rules(names), _key_rules(names), _null_rules(
+        "null measure", {name: V.REQUIRED[name] for name in names if name in V.REQUIRED}))
 
-    All rules on single rows are counted in one scan per table; only keys and references shuffle.
-    """
-    counted = _counted(tables, _merged(
-        _row_rules(tables), _key_rules(tables), _null_rules("null measure", V.REQUIRED)
-    ))
-    is_rows = F.col("check") == "rows"
-    empty = is_rows & (F.col("n") == 0) & ~F.col("source").isin(V.MAY_BE_EMPTY)
+
+def _broken(counted: DataFrame) -> DataFrame:
+    """The fatal ones among counted rules."""
+    is_rows, n = F.col("check") == "rows", F.col("n")
+    empty = is_rows & (n == 0) & ~F.col("source").isin(V.MAY_BE_EMPTY)
+    return counted.filter(
+        empty | (~F.col("check").isin("rows", "optional gap") & (n > 0))
+    ).withColumn("check", F.when(is_rows, "empty table").otherwise(F.col("check")))
+
+
+def _between_rows(tables: Tables, relationships: list) -> DataFrame:
+    """The rules that more than one row takes part in, zero rows left out."""
     return stack([
-        counted.filter(empty | (~is_rows & (F.col("n") > 0)))
-        .withColumn("check", F.when(is_rows, "empty table").otherwise(F.col("check"))),
         duplicate_keys(tables).filter("n > 0"), referential(tables, relationships).filter("n > 0"),
         historical_usage(tables).filter("n > 0"),
     ])
 
 
-def raise_on_violation(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
-    """Check schemas, then rules; raise with all findings, or return the optional gaps.
+def violations(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
+    """Every fatal rule with the number of rows that break it, zero rows left out.
 
-    What is collected is one row per broken rule, a list fixed by the declarations.
+    All rules on single rows are counted in one scan per table; only keys and references shuffle.
+    """
+    return stack([_broken(_counted(tables, _fatal(tables))), _between_rows(tables, relationships)])
+
+
+# --- rules that a write counts ------------------------------------------------------------------
+
+def _rules_of(name: str) -> list[tuple[str, str | None, Column]]:
+    gaps = {name: V.OPTIONAL[name]} if name in V.OPTIONAL else {}
+    return _merged(_fatal([name]), _null_rules("optional gap", gaps))[name]
+
+
+def measures(name: str) -> dict[str, Column]:
+    """The rules on single rows of a source table, as aggregates that its write can take."""
+    return {f"n{i}": rule for i, (_, _, rule) in enumerate(_rules_of(name))}
+
+
+def counted_by_write(spark: SparkSession, found: dict[str, dict]) -> DataFrame:
+    """(check, source, related, n) of the values of `measures`, by table."""
+    return spark.createDataFrame([
+        (check, name, related, values[f"n{i}"]) for name, values in found.items()
+        for i, (check, related, _) in enumerate(_rules_of(name))
+    ], "check string, source string, related string, n bigint")
+
+
+def violating_rows(tables: Tables) -> DataFrame:
+    """source, key and broken: the rows that break rules on single rows, and the rules they break.
+
+    `key` is the row's key as JSON, `broken` names the rules in their order, each null measure with
+    its column. Rows that repeat a key are listed each. One scan per table, and no shuffle.
     """
+    def found(name: str, df: DataFrame) -> DataFrame:
+        broken = F.concat_ws(
+            ",", F.when(any_null(V.KEYS[name]), "null key"),
+            *[F.when(F.col(c).isNull(), f"null measure {c}") for c in V.REQUIRED.get(name, [])])
+        return df.select(F.lit(name).alias("source"), as_json(V.KEYS[name]).alias("key"),
+                         broken.alias("broken")).filter(F.col("broken") != "")
+
+    return stack([found(name, df) for name, df in tables.items()])
+
+
+def require_schemas(tables: Tables) -> None:
+    """Raise if a table or a needed column is absent."""
     absent = [name for name in V.KEYS if name not in tables]
     if absent:
         raise DataQualityError(f"missing tables: {absent}")
     lacking = missing_columns(tables)
     if lacking:
         raise DataQualityError(f"missing columns: {lacking}")
+
+
+def raise_on_counted(
+    tables: Tables, counted: DataFrame, keep: Callable[[DataFrame], str],
+    relationships: list = V.RELATIONSHIPS,
+) -> DataFrame:
+    """Raise with all findings, the rules on single rows being counted already; or give the gaps.
+
+    Rows are read again for such rules only if some break one. `keep` writes these rows, and the error
+    names the place that it gives.
+    """
+    found = [tuple(row) for row in _broken(counted).collect()]
+    concerned = {name: tables[name] for check, name, *_ in found if check != "empty table"}
+    place = f"; rows in {keep(violating_rows(concerned))}" if concerned else ""
+    found += [tuple(row) for row in _between_rows(tables, relationships).collect()]
+    if found:
+        raise DataQualityError(f"violations (check, source, related, rows): {found}{place}")
+    return counted.filter(F.col("check") == "optional gap")
+
+
+def raise_on_violation(tables: Tables, relationships: list = V.RELATIONSHIPS) -> DataFrame:
+    """Check schemas, then rules; raise with all findings, or return the optional gaps.
+
+    What is collected is one row per broken rule, a list fixed by the declarations.
+    """
+    require_schemas(tables)
     found = [tuple(row) for row in violations(tables, relationships).collect()]
     if found:
         raise DataQualityError(f"violations (check, source, related, rows): {found}")

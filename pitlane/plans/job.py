@@ -21,7 +21,7 @@ from pitlane import schemas
 from pitlane.functions.columns import coerce_integer
 from pitlane.operators import prepare, quality
 from pitlane.operators.joins import attach_small
-from pitlane.plans import marts, profiles
+from pitlane.plans import marts, names, profiles
 from pitlane.sources import builds, csv_tables, documents
 from pitlane.sources.builds import Published, Record, Table
 from pitlane.sources.tables import drop_tables, stack, stage, stage_by, staging
@@ -169,13 +169,21 @@ class _Writer:
         self.folder = f"{out}/{build_id}/{season}"
         self.made: dict[str, Table] = {}
         self.races: dict[str, set[int]] = {}
+        self.found: dict[str, dict] = {}
         if any(f.startswith(f"{self.folder}/") for f in self.start.folders()):
             raise ValueError(f"build {build_id} of season {season} is published already")
 
-    def write(self, name: str, df: DataFrame, races: Iterable[int] | None = None) -> DataFrame:
-        """Write a table of the season, or its rows of some races only, and read what was written."""
+    def write(
+        self, name: str, df: DataFrame, races: Iterable[int] | None = None,
+        measures: dict[str, Column] | None = None,
+    ) -> DataFrame:
+        """Write a table of the season, or its rows of some races only, and read what was written.
+
+        The values of `measures`, aggregates that the write takes, are in `found` then.
+        """
         by = ["season"] if name in WHOLE else builds.by_of(df.columns)
-        read, self.made[name] = builds.written(df, f"{self.folder}/{name}", by, self.season)
+        read, self.made[name], self.found[name] = builds.measured(
+            df, f"{self.folder}/{name}", by, self.season, measures or {})
         if races is not None:
             self.races[name] = set(races)
         self.record = self._applied(self.start, {})
@@ -198,7 +206,8 @@ class _Writer:
     def changed(self, before: Record, notes: dict, rows: bool) -> Record:
         """The record to publish; it raises if it would lose what is published."""
         after = self._applied(before, notes)
-        builds.require_no_loss(before, after, rows, V.MAY_BE_EMPTY)
+        # A corrected race may bring no name any more that is new.
+        builds.require_no_loss(before, after, rows, [*V.MAY_BE_EMPTY, "team_names"])
         return after
 
 
@@ -217,6 +226,7 @@ def _season_marts(writer: _Writer, as_of: date) -> None:
     writer.write("team_state", marts.team_state(metrics, loaded))
     writer.write("mart_team_chips", marts.team_chips(metrics, usage, now("chips"), races, mart))
     writer.write("profile_team_race", profiles.profile(now("team_race")))
+    writer.write("team_names", names.index(names.first_names(now("team_race"))))
     _latest_marts(writer)
 
 
@@ -229,6 +239,23 @@ def _latest_marts(writer: _Writer) -> None:
     writer.write("loaded_races", writer.race_frame(writer.loaded("mart_team_race")))
 
 
+def _checked(writer: _Writer, source: dict[str, DataFrame]) -> DataFrame:
+    """Write the sources, which counts the rules on single rows, and check them; gives the gaps.
+
+    Rows that break a rule are kept beside the tables, in a folder that the error names.
+    """
+    def keep(rows: DataFrame) -> str:
+        folder = f"{writer.folder}/violations"
+        rows.write.mode("overwrite").parquet(folder)
+        return folder
+
+    quality.require_schemas(source)
+    written = {name: writer.write(name, df, None, quality.measures(name))
+               for name, df in source.items()}
+    return quality.raise_on_counted(
+        written, quality.counted_by_write(writer.spark, writer.found), keep)
+
+
 def _notes(build_id: str, as_of: date, versions: dict | None) -> dict:
     return {"build": build_id, "as_of": as_of.isoformat(), "versions": versions or {}}
 
@@ -254,8 +281,7 @@ def build(
         source = source_tables(
             landed, reference, season, as_of,
             F.current_timestamp() if retrieved_at is None else retrieved_at)
-        gaps = quality.raise_on_violation(
-            {name: writer.write(name, df) for name, df in source.items()})
+        gaps = _checked(writer, source)
         # One row per optional measure.
         found = [row.asDict() for row in gaps.filter("n > 0").collect()]
         _season_marts(writer, as_of)
@@ -414,6 +440,7 @@ def _refreshed(
         writer.write("team_race_asset", roster, teams)
         profiled = teams if "profile_team_race" in writer.start.tables else None
         writer.write("profile_team_race", profiles.profile(now("team_race", profiled)), profiled)
+        _refresh_names(writer, teams[0])
         latest = _latest_races(now("team_race", _from(writer, teams[0])), _state(writer, teams[0]))
         before = stage(now("team_chip_usage"), "usage")
         usage = writer.write("team_chip_usage", _refreshed_usage(
@@ -450,6 +477,18 @@ def _refreshed(
     return [row.asDict() for row in gaps.filter("n > 0").collect()]
 
 
+def _refresh_names(writer: _Writer, first: int) -> None:
+    """Write the names that come first at a race or later ones; a build without an index gets all."""
+    if "team_names" not in writer.start.tables:
+        writer.write("team_names", names.index(names.first_names(writer.now("team_race"))))
+        return
+    held = writer.record.races("team_names", writer.season)
+    known = names.names_in(writer.now("team_names", [race for race in held if race < first]))
+    later = _from(writer, first)
+    writer.write("team_names", names.index(names.first_names(
+        writer.now("team_race", later), known)), {*later, *[r for r in held if r >= first]})
+
+
 def _from(writer: _Writer, first: int) -> list[int]:
     return [race for race in writer.loaded("team_race") if race >= first]
 

@@ -1,6 +1,7 @@
 """Parameterised queries over the marts.
 
-Text filters are skipped when empty, numeric ones when None. Every order is total: the published
+Text filters are skipped when empty, numeric ones when None. Given the index of names (`plans.names`)
+of the same build, a filter on a team's name reads the rows of the users that it finds there. Every order is total: the published
 order comes first, then keys that settle ties, with nulls where they are stated.
 """
 
@@ -11,6 +12,7 @@ from pitlane import fixed_values as V
 from pitlane.functions.columns import all_of, any_of, contains_fold
 from pitlane.operators.joins import attach_small
 from pitlane.operators.ranking import competition_rank
+from pitlane.plans import names
 
 
 def _kept(df: DataFrame, *conditions) -> DataFrame:
@@ -30,6 +32,13 @@ def _contains(column: str, text):
     return contains_fold(column, text) if text else None
 
 
+def _teams_named(rows: DataFrame, text, index: DataFrame | None, season=None) -> DataFrame:
+    """Rows of teams whose name contains a text, through the index of names if there is one."""
+    if not text or index is None:
+        return _kept(rows, _contains("team_name", text))
+    return names.named(rows, index, text, season)
+
+
 def assets_latest(
     mart: DataFrame, asset_type: str | None = None, display_name: str | None = None,
 ) -> DataFrame:
@@ -75,9 +84,11 @@ def teams_assets_latest(mart: DataFrame, team_name: str | None = None) -> DataFr
 def teams_by_race(
     mart: DataFrame, races: DataFrame, season: int | None = None,
     race_number: int | None = None, team_name: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    rows = _kept(mart, _equals("season", season), _equals("race_number", race_number),
-                 _contains("team_name", team_name))
+    rows = _teams_named(
+        _kept(mart, _equals("season", season), _equals("race_number", race_number)), team_name,
+        index, season)
     days = races.select(*V.RACE_KEY, "race_date", "sprint_weekend")
     return attach_small(rows, days, V.RACE_KEY, "left", proof=races).select(
         "season", "race_number", "race_name", "race_date", "sprint_weekend", "user_guid",
@@ -169,12 +180,12 @@ def teams_latest(
 
 def team_chips(
     mart: DataFrame, season: int | None = None, team_name: str | None = None,
-    chip_id: int | None = None, chip_status: str | None = None,
+    chip_id: int | None = None, chip_status: str | None = None, index: DataFrame | None = None,
 ) -> DataFrame:
-    return _kept(
-        mart, _equals("season", season), _contains("team_name", team_name),
-        _equals("chip_id", chip_id), _folded("chip_status", chip_status, str.lower),
-    ).select(
+    return _teams_named(_kept(
+        mart, _equals("season", season), _equals("chip_id", chip_id),
+        _folded("chip_status", chip_status, str.lower),
+    ), team_name, index, season).select(
         "season", "user_guid", "team_no", "team_name", "last_observed_race", "chip_id",
         "chip_name", "chip_short_name", "available_first_race", "race_used", "race_used_name",
         "race_used_short_name", "chip_status", "chip_race_points", "league_average_race_points",

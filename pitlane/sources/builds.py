@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,11 +110,18 @@ def by_of(columns: list[str]) -> list[str]:
 
 
 def written(df: DataFrame, folder: str, by: list[str], season: int) -> tuple[DataFrame, Table]:
-    """Write the rows of a season below a folder of its own and count them part by part.
+    """Write the rows of a season below a folder of its own and count them part by part."""
+    return measured(df, folder, by, season, {})[:2]
+
+
+def measured(
+    df: DataFrame, folder: str, by: list[str], season: int, measures: dict[str, Column],
+) -> tuple[DataFrame, Table, dict]:
+    """`written`, with aggregates of the rows that the write takes as they pass by.
 
     The count reads file footers only: it asks for nothing but the columns of the layout.
     """
-    read = write_parts(df, folder, by, V.LOOKED_UP)
+    read, found = write_parts(df, folder, by, V.LOOKED_UP, measures)
     # One row per race of the season at most.
     counted = read.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).collect()
     parts = {(row.season, row["race_number"] if len(by) > 1 else NO_RACE): Part(folder, row["rows"])
@@ -122,7 +129,7 @@ def written(df: DataFrame, folder: str, by: list[str], season: int) -> tuple[Dat
     strange = {place[0] for place in parts} - {season}
     if strange:
         raise ValueError(f"rows of other seasons: {sorted(strange)}")
-    return read, Table(df.schema, by, parts)
+    return read, Table(df.schema, by, parts), found
 
 
 def read_table(

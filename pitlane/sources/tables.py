@@ -4,7 +4,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -121,19 +121,29 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 def write_parts(
     df: DataFrame, path: str, by: list[str], looked_up: Iterable[str] = (),
-) -> DataFrame:
+    measures: dict[str, Column] | None = None,
+) -> tuple[DataFrame, dict]:
     """Write df as a whole to path, a folder per value of `by`, and read it back.
 
+    Aggregates in `measures` are taken from the rows as they pass by, after the last shuffle, where a
+    task that runs again counts once. Their values come with what was read.
+
     Files are sorted by the columns of `looked_up`, so their page indexes lead to the rows of a few
     values, and carry bloom filters of them, which tell files apart that hold none. The sort is the
-    one that writing by folders needs anyway, with more columns.
+    one that writing by folders needs anyway, with more columns. Observing the rows before it also
+    keeps the planner from dropping a constant season from the sort, which would then not be the one
+    that the writer asks for, and be replaced by it.
     """
-    rows, columns = _balanced(df, by), [c for c in looked_up if c in df.columns]
+    seen, columns = Observation(), [c for c in looked_up if c in df.columns]
+    rows = _balanced(df, by).observe(seen, F.count(F.lit(1)).alias("__rows"), *[
+        measure.alias(name) for name, measure in (measures or {}).items()])
     if columns:
         rows = rows.sortWithinPartitions(*by, *columns)
     filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
-    rows.write.options(**filters, **{"parquet.bloom.filter.adaptive.enabled": "true"}).partitionBy(*by).mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    filters["parquet.bloom.filter.adaptive.enabled"] = "true"
+    rows.write.options(**filters).partitionBy(*by).mode("overwrite").parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return read, {name: seen.get[name] for name in measures or {}}
 
 
 def replace_table(df: DataFrame | None, name: str) -> int | None:

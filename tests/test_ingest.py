@@ -443,6 +443,49 @@ def test_failed_build_publishes_nothing(spark, raw, tmp_path):
         job.build(spark, landed, str(raw / "reference"), str(tmp_path), 2026, date(2026, 3, 1),
                   "bad", now())
     assert builds.published(spark, str(tmp_path)).names() == []
+    # The rows that broke a rule lie beside the tables of the failed build.
+    listed = spark.read.parquet(str(tmp_path / "bad" / "2026" / "violations")).collect()
+    assert [(r.source, json.loads(r.key)["race_number"], r.broken) for r in listed] == [
+        ("asset_race", 2, "null measure value")]
+
+
+def test_the_write_counts_what_a_scan_counts(spark, tmp_path):
+    """Row rules from the write equal those of a scan, over tables with nulls and an empty one."""
+    made = {}
+    for i, name in enumerate(V.KEYS):
+        columns = dict.fromkeys(
+            ["season", *V.KEYS[name], *V.REQUIRED.get(name, []), *V.OPTIONAL.get(name, [])])
+        made[name] = spark.range(0 if name == "team_chip_usage" else 60, numPartitions=4).select(*[
+            F.lit(2026).cast("bigint").alias(c) if c == "season" else
+            F.when(F.pmod(F.hash("id", F.lit(c)), F.lit(7)) != 0, F.col("id") % (3 + i)).alias(c)
+            for c in columns])
+    found, read = {}, {}
+    for name, df in made.items():
+        read[name], _, found[name] = builds.measured(
+            df, str(tmp_path / name), ["season"], 2026, quality.measures(name))
+    counted = quality.counted_by_write(spark, found)
+    parts = [quality.row_counts(made), quality.null_keys(made), quality.null_measures(made),
+             quality.optional_gaps(made)]
+    assert rows(counted) == rows(tables.stack(parts))
+    assert counted.filter("source = 'team_chip_usage' AND n > 0").count() == 0
+    broken = quality.violating_rows(read)
+    null_keys = {r["source"]: r["n"] for r in quality.null_keys(made).collect() if r["n"]}
+    assert {r["source"]: r["count"] for r in broken.filter("broken LIKE '%null key%'").groupBy(
+        "source").count().collect()} == null_keys
+
+
+def test_files_are_sorted_though_the_season_is_a_constant(spark, tmp_path):
+    df = spark.range(20_000).select(
+        F.lit(2026).cast("bigint").alias("season"), (F.col("id") % 2).alias("race_number"),
+        F.md5(F.col("id").cast("string")).alias("user_guid"))
+    read, _ = builds.written(df, str(tmp_path / "t"), V.RACE_KEY, 2026)
+    seen = [r.users for r in read.groupBy(F.input_file_name(), "race_number").agg(
+        F.collect_list("user_guid").alias("users")).collect()]
+    assert sum(map(len, seen)) == 20_000
+    files = [p for p in (tmp_path / "t").rglob("*.parquet")]
+    for path in files:
+        users = [r.user_guid for r in spark.read.parquet(str(path)).coalesce(1).collect()]
+        assert users == sorted(users)
 
 
 def built(spark, raw, out, landed, season=2026, name="b1"):
@@ -475,7 +518,8 @@ def test_a_build_stops_when_a_document_is_absent(spark, raw, tmp_path):
 
 
 MARTS = ["mart_asset_value_changes_by_race", "mart_assets_latest", "mart_team_assets_latest",
-         "mart_team_race", "mart_team_chips", "team_state", "loaded_races", "profile_team_race"]
+         "mart_team_race", "mart_team_chips", "team_state", "loaded_races", "profile_team_race",
+         "team_names"]
 
 
 def seasons(spark, out, name):

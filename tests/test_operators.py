@@ -9,8 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
+from pitlane.functions.columns import contains_fold
 from pitlane.operators import joins, ranking
-from pitlane.plans import marts, profiles, views
+from pitlane.plans import marts, names, profiles, views
 from pitlane.sources import builds
 from pitlane.sources.tables import stage, stage_by, staging
 
@@ -422,6 +423,61 @@ def test_a_user_is_found_without_reading_the_race(spark, tmp_path):
     assert views.of_users(read, []).count() == 0
 
 
+# --- names --------------------------------------------------------------------------------------
+
+NAME_ROWS = "season BIGINT, race_number BIGINT, user_guid STRING, team_no BIGINT, team_name STRING"
+
+
+def test_names_through_the_index_equal_a_scan(spark):
+    """10,000 names, and texts cut out of them with other case, wildcards, and letters that fold oddly."""
+    r = random.Random(7)
+    letters = "abcABC %_\\'ßẞİıΣσςéÉ🏁😀\n"
+    made = ["".join(r.choice(letters) for _ in range(r.randint(0, 9))) for _ in range(10_000)]
+    rows_ = [(2026, 1 + i % 3, f"u{i // 2}", i % 2, name) for i, name in enumerate(made)]
+    rows_ += [(2026, 1, "none", 1, None), (2026, 2, "u1", 1, "x" * 5000), (2026, 3, "u2", 0, made[4])]
+    table = stage(spark.createDataFrame(rows_, NAME_ROWS), "name_rows")
+    indexed = stage(names.index(names.first_names(table)), "name_index")
+    assert rows(names.names_in(indexed).select("user_guid", "team_no", "team_name")) == rows(
+        table.filter("team_name IS NOT NULL").select("user_guid", "team_no", "team_name").distinct())
+    texts = ["", "%", "_", "xxxx", "a_b%c", "\\", "ΑΣ", "nobody has this"]
+    for name in r.sample([n for n in made if len(n) > 4], 12):
+        start = r.randint(0, 2)
+        texts.append(r.choice([str.upper, str.lower, str])(name[start:start + r.randint(3, 5)]))
+    for text in texts:
+        plain = table.filter(contains_fold("team_name", text))
+        assert rows(names.named(table, indexed, text)) == rows(plain), text
+        assert rows(names.named(table, indexed, text, most=0)) == rows(plain), text
+
+
+def test_a_name_is_kept_at_its_first_race(spark):
+    table = spark.createDataFrame(
+        [(1, 2, "a", 1, "One"), (1, 3, "a", 1, "One"), (1, 4, "a", 1, "Two"), (1, 5, "a", 1, "One"),
+         (1, 3, "a", 2, "One"), (2, 1, "a", 1, "One"), (2, 2, "a", 1, None)], NAME_ROWS)
+    assert rows(names.first_names(table).select("season", "team_no", "team_name", "race_number")) == [
+        (1, 1, "One", 2), (1, 1, "Two", 4), (1, 2, "One", 3), (2, 1, "One", 1)]
+    early, late = table.filter("race_number < 4"), table.filter("race_number >= 4")
+    known = names.names_in(names.index(names.first_names(early)))
+    assert rows(names.first_names(late, known).select("team_name", "race_number")) == [("Two", 4)]
+    assert names.index(names.first_names(table.limit(0))).count() == 0
+
+
+def test_a_name_is_found_without_reading_the_others(spark, tmp_path):
+    table = spark.range(200_000).select(
+        F.lit(2026).cast("bigint").alias("season"), F.lit(1).cast("bigint").alias("race_number"),
+        F.md5(F.col("id").cast("string")).alias("user_guid"), F.lit(1).cast("bigint").alias("team_no"),
+        F.concat(F.lit("Team "), F.col("id").cast("string")).alias("team_name"))
+    mart, _ = builds.written(table, str(tmp_path / "mart"), V.RACE_KEY, 2026)
+    indexed, _ = builds.written(
+        names.index(names.first_names(table)), str(tmp_path / "names"), V.RACE_KEY, 2026)
+    found = names.containing(indexed, "TEAM 123456")
+    assert rows(found.select("team_name")) == [("Team 123456",)]
+    # All names have "tea"; few have the rarest run of the text. The whole index has 1.7 million rows.
+    assert rows_scanned(found) <= 100_000
+    of_team = names.named(mart, indexed, "team 123456")
+    assert rows(of_team.select("team_name")) == [("Team 123456",)]
+    assert rows_scanned(of_team) <= 60_000
+
+
 # --- profiles -----------------------------------------------------------------------------------
 
 def test_profiles_of_parts_add_up(spark):
