@@ -5,7 +5,9 @@ identifier and a count, and belongs to one of the tree's leaves. A round stands
 binomial exchange at once: leaves that differ in their last bits only send their runs to one node,
 where they are merged and rows of one digest become one. As the runs of a node grow by a factor, the
 node is split by digest into as many slices, so every round has the same number of equal parts and
-no task ever holds more than its share; a digest of any number of copies is one row per run.
+no task ever holds more than its share; a digest of any number of copies is one row per run. There
+are as many rounds as the leaves need to become one node, so the number of parts follows that of the
+input's partitions.
 
 Two texts count as equal if two independent digests of the normalised text agree.
 """
@@ -21,7 +23,6 @@ from pitlane.llm.common import id_keys, plain_text, stage
 
 #: Bits of a leaf's number that one round merges away, as many as a hex digit of the digest has.
 ROUND_BITS = 4
-ROUNDS = 2
 _RUN = "node int, digest string, proof long, smallest {id}, copies long"
 
 
@@ -39,9 +40,14 @@ def _merged(table: pa.Table) -> pa.Table:
     return merged.select(table.column_names).sort_by([(k, "ascending") for k in keys])
 
 
+def rounds_of(leaves: int) -> int:
+    """Rounds after which so many leaves are one node; at least one, which merges the leaf's runs."""
+    return max(1, -(-max(leaves - 1, 0).bit_length() // ROUND_BITS))
+
+
 def _leaf_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted run per batch, for the leaf of this task."""
-    leaf = TaskContext.get().partitionId() % (1 << ROUND_BITS * ROUNDS)
+    """A sorted run per batch; each task is a leaf."""
+    leaf = TaskContext.get().partitionId()
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         nodes = pa.array([leaf] * batch.num_rows, pa.int32())
@@ -51,10 +57,18 @@ def _leaf_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by key: merge neighbours, holding one batch and one open row."""
-    held = None
+    """Rows arrive sorted by key: merge neighbours, holding one batch and one open row.
+
+    That they are sorted is verified, as rows of a key that don't meet would each keep an identifier.
+    """
+    held, last = None, None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
+        ends = [tuple(rows[k][i].as_py() for k in ("node", "digest", "proof"))
+                for i in ((0, -1) if rows.num_rows else ())]
+        if ends and last is not None and ends[0] < last:
+            raise ValueError(f"a run isn't sorted: {ends[0]} comes after {last}")
+        last = ends[1] if ends else last
         merged = _merged(rows if held is None else pa.concat_tables([held, rows]))
         held = merged.slice(merged.num_rows - 1)
         yield from merged.slice(0, merged.num_rows - 1).to_batches()
@@ -68,14 +82,17 @@ def tree_merge(rows: DataFrame) -> DataFrame:
     `rows` has the columns digest (hex text), proof (long) and smallest (any ordered type). A group
     that has null identifiers only has none.
     """
+    # Known from the plan: rows come from staged files.
+    rounds = rounds_of(rows.rdd.getNumPartitions())
     schema = _RUN.format(id=rows.schema["smallest"].dataType.simpleString())
     runs = rows.select("digest", "proof", "smallest").mapInArrow(_leaf_runs, schema)
-    for done in range(1, ROUNDS + 1):
+    for done in range(1, rounds + 1):
         node = F.shiftright("node", ROUND_BITS).alias("node")
         met = runs.select(node, "digest", "proof", "smallest", "copies")
-        # The exchange brings sorted runs together, and the sort merges them, on disk if need be.
+        # The exchange brings sorted runs together, and the sort merges them, on disk if need be. One
+        # more digit than the round has makes slices small enough to be dealt out evenly.
         runs = (
-            met.repartition("node", F.substring("digest", 1, done))
+            met.repartition("node", F.substring("digest", 1, done + 1))
             .sortWithinPartitions("node", "digest", "proof").mapInArrow(_merge_runs, schema)
         )
     return runs.drop("node")
