@@ -114,16 +114,16 @@ def team_name_index(league):
     return league.team_names
 
 
-@registered("SELECT * FROM first_names WHERE lower(team_name) LIKE '%m%17_%'",
+@registered("SELECT * FROM first_names WHERE lower(team_name) LIKE '%eam%1_%'",
             first_names=FIRST_NAMES)
 def team_names_containing(league):
-    return names.containing(league.team_names, "M%17_")
+    return names.containing(league.team_names, "EAM%1_")
 
 
-@registered(BY_RACE + " WHERE lower(team_name) LIKE '%eam 42%'")
+@registered(BY_RACE + " WHERE lower(team_name) LIKE '%eam 14%'")
 def teams_by_race_by_index(league):
     return _dates_as_text(views.teams_by_race(
-        league.mart_team_race, league.races, team_name="EAM 42", index=league.team_names))
+        league.mart_team_race, league.races, team_name="EAM 14", index=league.team_names))
 
 
 # The columns of a record, in order.
