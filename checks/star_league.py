@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.operators.joins import attach_small
+from pitlane.operators.joins import TASK_ROWS, attach_small, parts_for
 from pitlane.operators.ranking import competition_rank
 from pitlane.plans import marts, names, profiles
 from pitlane.plans.views import loaded_races
@@ -174,9 +174,12 @@ class StarLeague:
             "season", "cust", F.col("race_used").alias("race_number")
         ).agg(F.max(F.col("chip_id") == 3).alias("fix"), F.max(F.col("chip_id") == 6).alias("x3"))
         zero = F.lit(0).cast("bigint")
+        # Teams are dealt out by race before their seven or eight rows are spread out. Ranges split a
+        # race that very many teams share.
         rows = (
             self._team_sums.join(active, ["season", "cust", "race_number"], "left")
             .na.fill(False, ["fix", "x3"])
+            .repartitionByRange(parts_for(self._team_sums, TASK_ROWS // 8), *V.RACE_KEY, "cust")
             .withColumn("k", F.explode(F.sequence(zero, F.when(F.col("fix"), zero + 7)
                                                   .otherwise(zero + 6))))
         )
@@ -191,7 +194,7 @@ class StarLeague:
             (F.col("k") + 1).alias("player_position"),
             F.when(~F.col("fix"), 0).when(F.col("k") == 6, 2).when(F.col("k") == 7, 1)
             .otherwise(0).cast("bigint").alias("is_final"),
-        ), "team_race_asset", V.RACE_KEY)
+        ), "team_race_asset", V.RACE_KEY, dealt=True)
 
     # --- marts --------------------------------------------------------------------------------
 

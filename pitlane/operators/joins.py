@@ -14,6 +14,10 @@ from pitlane.functions.columns import all_of
 
 # Rows a broadcast side may have; dimension rows here are a few hundred bytes at most.
 BROADCAST_ROWS = 200_000
+# Rows that a task may hold while it sorts or groups them, and the most tasks. Into so many parts
+# Spark's shuffle writes rows as they come, without holding them.
+TASK_ROWS = 250_000
+MOST_PARTS = 200
 SALTS = 32
 _SALT = "__salt"
 _row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
@@ -23,11 +27,31 @@ class CardinalityError(ValueError):
     """A join side that must have unique keys does not."""
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most max_rows rows, counted once per frame and summed over its tasks."""
+def row_count(df: DataFrame) -> int:
+    """The rows of df, counted once per frame and summed over its tasks."""
     if df not in _row_counts:
         _row_counts[df] = df.count()
-    return _row_counts[df] <= min(max_rows, BROADCAST_ROWS)
+    return _row_counts[df]
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether df has at most max_rows rows."""
+    return row_count(df) <= min(max_rows, BROADCAST_ROWS)
+
+
+def parts_for(df: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """How many tasks the rows of df are dealt out to."""
+    return min(MOST_PARTS, row_count(df) // task_rows + 1)
+
+
+def deal_out(df: DataFrame, by: list[str], counted: DataFrame | None = None) -> DataFrame:
+    """df dealt out by key before it is grouped, for keys of which next to none repeat.
+
+    Grouping such rows where they are read combines nothing, yet holds every key of a task, which
+    grows with the table, and spills. Dealt out first, no task that reads holds rows, and those that
+    group hold few. `counted` is a table of as many rows that is cheaper to count.
+    """
+    return df.repartition(parts_for(df if counted is None else counted), *by)
 
 
 def attach_small(

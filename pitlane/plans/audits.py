@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
 from pitlane.functions.columns import exact_mean
-from pitlane.operators.joins import attach_small
+from pitlane.operators.joins import attach_small, deal_out
 from pitlane.sources.tables import stack
 
 PRICE_KEY = V.KEYS["asset_race"]
@@ -138,9 +138,11 @@ def valuation_source_summary(mart: DataFrame) -> DataFrame:
 def mart_health(mart: DataFrame) -> DataFrame:
     """Rows, repeated keys and missing measures, in one pass grouped by key."""
     late_gap = (F.col("race_number") > 1) & F.col("wealth_change").isNull()
-    by_key = mart.groupBy(*V.TEAM_RACE_KEY).agg(
-        _rows().alias("n"), F.count_if(F.col("total_wealth").isNull()).alias("no_wealth"),
-        F.count_if(late_gap).alias("no_change"),
+    gaps = mart.select(*V.TEAM_RACE_KEY, F.col("total_wealth").isNull().alias("no_wealth"),
+                       late_gap.alias("no_change"))
+    by_key = deal_out(gaps, V.TEAM_RACE_KEY, mart).groupBy(*V.TEAM_RACE_KEY).agg(
+        _rows().alias("n"), F.count_if("no_wealth").alias("no_wealth"),
+        F.count_if("no_change").alias("no_change"),
     )
     return by_key.agg(
         F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_keys"),

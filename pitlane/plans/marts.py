@@ -150,14 +150,18 @@ def team_metrics(
     Running points and wealth change share one window, so one shuffle and one sort by team. If
     `team_race` begins in the middle of a season, `carried` is the state of all teams before it, see
     `team_state`. It comes back as a row of each team's last race, with points so far for its points.
+
+    The wide rows are sorted in as many tasks as a shuffle has partitions. The runtime planner would
+    merge these until a task spills.
     """
+    parts = int(team_race.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     recorded = F.col("recorded_asset_value")
     calculated = F.col("calculated_asset_value")
     asset_value = F.coalesce(recorded, calculated)
     wealth = F.coalesce("recorded_total_budget", asset_value + F.col("remaining_budget"))
     rows = (
         attach_small(team_race, races.select(*V.RACE_KEY, "race_name"), V.RACE_KEY, proof=races)
-        .join(values, V.TEAM_RACE_KEY, "left")
+        .repartition(parts, *V.TEAM_RACE_KEY).join(values, V.TEAM_RACE_KEY, "left")
         .select(
             "season", "race_number", "race_name", "user_guid", "team_no", "team_name",
             "race_points", "race_rank", "recorded_asset_value", "remaining_budget",
@@ -172,7 +176,7 @@ def team_metrics(
             "season", F.col("last_race").alias("race_number"), "user_guid", "team_no", "team_name",
             F.col("cumulative_points").alias("race_points"), "total_wealth",
         ), allowMissingColumns=True)
-    return with_wealth_change(with_cumulative_points(rows))
+    return with_wealth_change(with_cumulative_points(rows.repartition(parts, *V.TEAM_KEY)))
 
 
 #: What the races after one need to know of each team.

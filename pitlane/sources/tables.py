@@ -50,16 +50,19 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, name: str, by: list[str] | None = None, dealt: bool = False,
+) -> DataFrame:
     """Write df to the shared folder, partitioned if asked for, and read it back.
 
     This cuts the lineage at a place that survives lost executors, and gives the planner the true
-    size of what follows.
+    size of what follows. Rows that are `dealt` out by partition value already aren't moved again.
     """
     spark = df.sparkSession
     path = _staging_folder(spark, name, uuid.uuid4().hex)
     _staged.append((path, None))
-    _balanced(df, by or []).write.partitionBy(*by or []).parquet(path)
+    rows = df if dealt else _balanced(df, by or [])
+    rows.write.partitionBy(*by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
