@@ -220,8 +220,10 @@ class StarLeague:
 
     @cached_property
     def mart_team_race(self) -> DataFrame:
-        return stage(marts.team_race_mart(self.team_metrics, self.races, self.averages),
-                     "mart_team_race", V.RACE_KEY)
+        dealt = self.team_metrics.repartitionByRange(
+            parts_for(self.team_metrics, TASK_ROWS // 4), *V.RACE_KEY, "user_guid")
+        return stage(marts.team_race_mart(dealt, self.races, self.averages), "mart_team_race",
+                     V.RACE_KEY, dealt=True)
 
     @cached_property
     def profile_team_race(self) -> DataFrame:

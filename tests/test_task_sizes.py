@@ -83,3 +83,14 @@ def test_metrics_are_sorted_in_all_parts_of_a_shuffle(spark, league):
     metrics = marts.team_metrics(league.team_race, values, league.races)
     assert plan_of(metrics).count("REPARTITION_BY_NUM") == 2
     assert rows(metrics) == rows(league.team_metrics)
+
+
+def test_the_mart_is_dealt_out_before_the_averages_are_attached(
+        spark, league, many_parts, staged_frames):
+    small = star_league.StarLeague(spark, TESTDATA)
+    assert rows(small.mart_team_race) == rows(league.mart_team_race)
+    plan = plan_of(staged_frames["mart_team_race"])
+    assert plan.index("BroadcastHashJoin") < plan.index("rangepartitioning")
+    assert staged_frames["mart_team_race"].rdd.getNumPartitions() > 4
+    folders = {f.rsplit("/", 1)[0] for f in small.mart_team_race.inputFiles()}
+    assert len(folders) == small.mart_team_race.select(*V.RACE_KEY).distinct().count()
