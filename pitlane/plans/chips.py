@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import fixed_values as V
-from pitlane.operators.joins import join_one_to_one
+from pitlane.operators.joins import deal_out, join_one_to_one
 from pitlane.operators.ranking import sequential_position
+from pitlane.sources.tables import stage
 
 TEAM = [*V.TEAM_KEY, "team_name"]
 
@@ -103,8 +104,9 @@ def chip_timing_matrix(chips: DataFrame, race_numbers: list[int] | None = None)
     """
     race_numbers = races_so_far(chips) if race_numbers is None else race_numbers
     use = F.struct("chip_id", "race_used", "chip_short_name")
-    used = F.collect_list(F.when(F.col("chip_status") == "used", use))
-    teams = chips.groupBy(*V.TEAM_KEY).agg(_name(), F.sort_array(used).alias("uses"))
+    rows = chips.select(*TEAM, F.when(F.col("chip_status") == "used", use).alias("use"))
+    teams = deal_out(rows, V.TEAM_KEY, chips).groupBy(*V.TEAM_KEY).agg(
+        _name(), F.sort_array(F.collect_list("use")).alias("uses"))
 
     def used_at(race):
         there = F.filter("uses", lambda u: u.race_used == race)
@@ -135,13 +137,17 @@ def timing_headers(matrix: DataFrame, chips: DataFrame, race_numbers: list[int])
 
 
 def without_blank_columns(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Drop text columns that are blank in every row, found by one aggregate over all of them."""
+    """Drop text columns that are blank in every row, found by one aggregate over all of them.
+
+    The rows are read twice, for the test and for the result, so they are staged.
+    """
     tested = [c for c in df.columns if c not in keep]
-    filled = df.agg(*[
+    rows = stage(df, "tested_for_blanks")
+    filled = rows.agg(*[
         F.max(F.trim(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) != "").alias(c)
         for c in tested
     ]).first()
-    return df.select(*[f"`{c}`" for c in df.columns if c in keep or filled[c]])
+    return rows.select(*[f"`{c}`" for c in df.columns if c in keep or filled[c]])
 
 
 def races_with_chip_use(chips: DataFrame) -> DataFrame:

@@ -94,3 +94,14 @@ def test_the_mart_is_dealt_out_before_the_averages_are_attached(
     assert staged_frames["mart_team_race"].rdd.getNumPartitions() > 4
     folders = {f.rsplit("/", 1)[0] for f in small.mart_team_race.inputFiles()}
     assert len(folders) == small.mart_team_race.select(*V.RACE_KEY).distinct().count()
+
+
+def test_the_timing_matrix_is_grouped_after_dealing_and_made_once(spark, league, many_parts):
+    matrix = chips.chip_timing_matrix(league.mart_team_chips, list(range(1, 15)))
+    assert groups_after_dealing(matrix)
+    shown = chips.without_blank_columns(matrix, chips.TEAM)
+    assert "Aggregate" not in plan_of(shown) and "Exchange" not in plan_of(shown)
+    assert rows(shown) == rows(matrix, *shown.columns)
+    gone = [c for c in matrix.columns if c not in shown.columns]
+    assert {"r13", "r14"} <= set(gone)
+    assert {v for r in rows(matrix, *gone) for v in r} == {""}
