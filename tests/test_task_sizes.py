@@ -105,3 +105,17 @@ def test_the_timing_matrix_is_grouped_after_dealing_and_made_once(spark, league,
     gone = [c for c in matrix.columns if c not in shown.columns]
     assert {"r13", "r14"} <= set(gone)
     assert {v for r in rows(matrix, *gone) for v in r} == {""}
+
+
+def test_repeated_keys_are_counted_after_the_rows_are_dealt_out(spark, many_parts):
+    made = [(2026, 1 + i % 3, f"u{i % 50}", 1, i % 4) for i in range(900)]
+    made += [(2026, 1, "hot", 1, 1)] * 300 + [(None, None, None, None, None)] * 5
+    roster = spark.createDataFrame(made, f"{SKEWED}, asset_id BIGINT")
+    few = spark.createDataFrame([(1,), (1,), (None,), (2,)], "chip_id BIGINT")
+    found = quality.duplicate_keys({"team_race_asset": roster, "chips": few})
+    assert rows(found, "source", "n") == [
+        ("chips", 1), ("team_race_asset", len(made) - len(set(made)))]
+    assert groups_after_dealing(found)
+    assert "hashpartitioning(season" in plan_of(found)
+    assert not any("asset_id" in x.split("REPARTITION")[0] for x in plan_of(found).splitlines()
+                   if "REPARTITION_BY_NUM" in x)
