@@ -323,6 +323,8 @@ def personal_data(
         each.filter("NOT p.base").select("row", "p.kind", "p.value", "p.start", "p.end"),
         known, _VALUE, "left_semi",
     ).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("found"))
+    # Not broadcast by the size of the files of places, which are far smaller than what is found in them.
+    found = found.hint("merge")
     none = F.array().cast(f"array<struct<{_SPAN}>>")
     base = F.array_sort(F.transform(F.filter("places", lambda p: p["base"]), lambda p: F.struct(
         p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end"))))

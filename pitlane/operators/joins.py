@@ -83,13 +83,15 @@ def salted_join(
 ) -> DataFrame:
     """Inner, left, semi or anti join that spreads every key of `big` over `salts` partitions.
 
-    The salt is a hash of the row, not a random number, so a retried task repeats it.
+    The salt is a hash of the row, not a random number, so a retried task repeats it. Both sides are
+    shuffled whatever the planner takes `small` for: it goes by the size of files, in which neither
+    packing nor copies count, and a broadcast of all copies does not fit the driver.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"no salted form of a {how} join")
     numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     salted = big.withColumn(_SALT, F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    copies = small.withColumn(_SALT, F.explode(numbers))
+    copies = small.withColumn(_SALT, F.explode(numbers)).hint("merge")
     if null_safe:
         return null_safe_join(salted, copies, [*on, _SALT], how).drop(_SALT)
     return salted.join(copies, [*on, _SALT], how).drop(_SALT)

@@ -7,8 +7,11 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pitlane.llm import pii
+from pitlane.llm.common import stage
 from pitlane.llm.pii import (
     ACCEPT, KINDS, PRECISION, SUPPORT, base_spans, candidate_spans, contexts, personal_data, value_of)
+from pitlane.operators import joins
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -133,6 +136,24 @@ def test_every_document(spark, rows):
     assert spans[1083].startswith("phone:5:") and spans[1082] == "" and spans[1086] == ""
 
 
+def test_beyond_the_bound_nothing_is_broadcast(spark, rows, monkeypatch):
+    """As many known values as a large table holds, which the driver cannot gather."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    plans = []
+
+    def recorded(frame, name):
+        plans.append(frame)
+        return stage(frame, name)
+
+    monkeypatch.setattr(pii, "stage", recorded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = personal_data(docs)
+    plans = [p._jdf.queryExecution().executedPlan().toString() for p in [*plans, found]]
+    assert sum("SortMergeJoin" in p for p in plans) > 5
+    assert not any("Broadcast" in p for p in plans)
+    assert Counter(map(tuple, found.collect())) == brute_force(rows)
+
+
 def test_clean_texts_stay_clean(spark):
     texts = [f"in {1900 + n} there were {n * 1000003} of them, or {n}.5 percent" for n in range(200)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

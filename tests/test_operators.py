@@ -179,6 +179,17 @@ def test_salted_join_equals_a_plain_join(spark, how):
     assert rows(joins.attach_small(big, small, ["grp"], how), *plain.columns) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_salted_copies_are_never_broadcast(spark, how, null_safe, tmp_path):
+    # Small by its file, so the planner would broadcast it with all its copies.
+    spark.range(50).write.parquet(str(tmp_path / "small"))
+    big, small = spark.range(100), spark.read.parquet(str(tmp_path / "small"))
+    joined = joins.attach_small(big, small, ["id"], how, max_rows=49, null_safe=null_safe)
+    assert len(joined.collect()) == (100 if how == "left" else 50)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_salted_join_refuses_a_full_join(spark):
     with pytest.raises(ValueError):
         joins.salted_join(spark.range(1), spark.range(1), ["id"], "full")
